@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash
+from . import simhash, substrings
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -17,6 +17,25 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {"op9_simhash": op9_simhash}
+def op5_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.remove_repeats(_read(spark, sf_dir, "documents"), min_words=13)
+    removed = F.aggregate("repeats", F.lit(0).cast("long"), lambda n, r: n + r["end"] - r["start"])
+    return found.select("doc_id", "n_words", removed.alias("n_removed"), F.sha2("kept_text", 256).alias("kept_sha256"))
 
-ORACLE_SQL: dict[str, str] = {}
+
+OP5_SQL = r"""
+with w as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws from documents),
+win as (select doc_id, i, array_to_string(ws[i:i + 12], ' ') as k
+        from (select doc_id, ws, unnest(range(1, len(ws) - 11)) as i from w where len(ws) > 12)),
+firsts as (select k, min(doc_id) as least from win group by k),
+gone as (select distinct win.doc_id, i + unnest(range(0, 13)) as j from win join firsts using (k) where least < win.doc_id),
+each as (select doc_id, unnest(ws) as word, unnest(range(1, len(ws) + 1)) as j from w),
+kept as (select doc_id, string_agg(word, ' ' order by j) as t, count(*) as n from each anti join gone using (doc_id, j) group by doc_id)
+select w.doc_id, cast(len(ws) as bigint) as n_words, cast(len(ws) - coalesce(n, 0) as bigint) as n_removed,
+       sha256(coalesce(t, '')) as kept_sha256
+from w left join kept using (doc_id)
+"""
+
+QUERIES = {"op5_substrings": op5_substrings, "op9_simhash": op9_simhash}
+
+ORACLE_SQL = {"op5_substrings": OP5_SQL}
