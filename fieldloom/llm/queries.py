@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash, substrings
+from . import packing, simhash, simple8b, substrings
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -36,6 +37,16 @@ select w.doc_id, cast(len(ws) as bigint) as n_words, cast(len(ws) - coalesce(n,
 from w left join kept using (doc_id)
 """
 
-QUERIES = {"op5_substrings": op5_substrings, "op9_simhash": op9_simhash}
+def op6_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simple8b.token_index(_read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = packing.pieces(_read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=1, capacity=2048)
+    placed = packing.pack(parts, capacity=2048)
+    return placed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+QUERIES = {"op6_token_ids": op6_token_ids, "op8_packing": op8_packing, "op5_substrings": op5_substrings, "op9_simhash": op9_simhash}
 
 ORACLE_SQL = {"op5_substrings": OP5_SQL}
