@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, simhash, simple8b, substrings
+from . import langid, licenses, packing, simhash, simple8b, substrings
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -18,6 +18,16 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(_read(spark, sf_dir, "documents"), licenses.catalog(spark))
+
+
+def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    model = langid.train(docs.filter(~langid.held_out()))
+    return langid.predict(docs.select("doc_id", langid.held_out().alias("held_out"), "text"), model).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op5_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substrings.remove_repeats(_read(spark, sf_dir, "documents"), min_words=13)
     removed = F.aggregate("repeats", F.lit(0).cast("long"), lambda n, r: n + r["end"] - r["start"])
@@ -47,6 +57,6 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
-QUERIES = {"op6_token_ids": op6_token_ids, "op8_packing": op8_packing, "op5_substrings": op5_substrings, "op9_simhash": op9_simhash}
+QUERIES = {"op3_licenses": op3_licenses, "op4_langid": op4_langid, "op6_token_ids": op6_token_ids, "op8_packing": op8_packing, "op5_substrings": op5_substrings, "op9_simhash": op9_simhash}
 
-ORACLE_SQL = {"op5_substrings": OP5_SQL}
+ORACLE_SQL = {"op3_licenses": licenses.SCAN_SQL, "op5_substrings": OP5_SQL}
