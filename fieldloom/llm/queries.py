@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, licenses, packing, simhash, simple8b, substrings
+from . import chat, decontam, langid, licenses, packing, simhash, simple8b, substrings
+from .shared import written
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -18,6 +19,18 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    rows = _read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(extra)
+    formatted, _ = written(chat.windows(rows, budget=512, history=2, history_budget=128), "chat")
+    return chat.digests(formatted)
+
+
+def op10_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
 def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(_read(spark, sf_dir, "documents"), licenses.catalog(spark))
 
@@ -57,6 +70,6 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
-QUERIES = {"op3_licenses": op3_licenses, "op4_langid": op4_langid, "op6_token_ids": op6_token_ids, "op8_packing": op8_packing, "op5_substrings": op5_substrings, "op9_simhash": op9_simhash}
+QUERIES = {"op2_chat": op2_chat, "op10_decontam": op10_decontam, "op3_licenses": op3_licenses, "op4_langid": op4_langid, "op6_token_ids": op6_token_ids, "op8_packing": op8_packing, "op5_substrings": op5_substrings, "op9_simhash": op9_simhash}
 
-ORACLE_SQL = {"op3_licenses": licenses.SCAN_SQL, "op5_substrings": OP5_SQL}
+ORACLE_SQL = {"op2_chat": chat.digests_sql(), "op10_decontam": decontam.contaminated_sql(), "op3_licenses": licenses.SCAN_SQL, "op5_substrings": OP5_SQL}
