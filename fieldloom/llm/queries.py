@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, langid, licenses, packing, simhash, simple8b, substrings
+from . import ann, chat, decontam, langid, licenses, packing, simhash, simple8b, substrings
 from .shared import written
 
 
@@ -19,6 +19,11 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op1_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _read(spark, sf_dir, "embeddings")
+    return ann.neighbours(vectors, vectors.filter("vec_id % 100 = 0"), k=10)
+
+
 def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
@@ -70,6 +75,6 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
-QUERIES = {"op2_chat": op2_chat, "op10_decontam": op10_decontam, "op3_licenses": op3_licenses, "op4_langid": op4_langid, "op6_token_ids": op6_token_ids, "op8_packing": op8_packing, "op5_substrings": op5_substrings, "op9_simhash": op9_simhash}
+QUERIES = {"op1_ann": op1_ann, "op2_chat": op2_chat, "op10_decontam": op10_decontam, "op3_licenses": op3_licenses, "op4_langid": op4_langid, "op6_token_ids": op6_token_ids, "op8_packing": op8_packing, "op5_substrings": op5_substrings, "op9_simhash": op9_simhash}
 
-ORACLE_SQL = {"op2_chat": chat.digests_sql(), "op10_decontam": decontam.contaminated_sql(), "op3_licenses": licenses.SCAN_SQL, "op5_substrings": OP5_SQL}
+ORACLE_SQL = {"op1_ann": ann.neighbours_sql(), "op2_chat": chat.digests_sql(), "op10_decontam": decontam.contaminated_sql(), "op3_licenses": licenses.SCAN_SQL, "op5_substrings": OP5_SQL}
