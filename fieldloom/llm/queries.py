@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat, decontam, langid, licenses, packing, simhash, simple8b, substrings
+from . import ann, chat, decontam, langid, licenses, lines, packing, simhash, simple8b, substrings
 from .shared import written
 
 
@@ -69,12 +69,34 @@ def op6_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simple8b.token_index(_read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1)
 
 
+def op7_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lines.remove_similar_lines(_read(spark, sf_dir, "documents"), similarity=0.8)
+    return found.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("kept_text", F.lit("")), 256).alias("kept_sha256"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = packing.pieces(_read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=1, capacity=2048)
     placed = packing.pack(parts, capacity=2048)
     return placed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
-QUERIES = {"op1_ann": op1_ann, "op2_chat": op2_chat, "op10_decontam": op10_decontam, "op3_licenses": op3_licenses, "op4_langid": op4_langid, "op6_token_ids": op6_token_ids, "op8_packing": op8_packing, "op5_substrings": op5_substrings, "op9_simhash": op9_simhash}
-
-ORACLE_SQL = {"op1_ann": ann.neighbours_sql(), "op2_chat": chat.digests_sql(), "op10_decontam": decontam.contaminated_sql(), "op3_licenses": licenses.SCAN_SQL, "op5_substrings": OP5_SQL}
+QUERIES = {
+    "op1_ann": op1_ann,
+    "op2_chat": op2_chat,
+    "op3_licenses": op3_licenses,
+    "op4_langid": op4_langid,
+    "op5_substrings": op5_substrings,
+    "op6_token_ids": op6_token_ids,
+    "op7_lines": op7_lines,
+    "op8_packing": op8_packing,
+    "op9_simhash": op9_simhash,
+    "op10_decontam": op10_decontam,
+}
+
+ORACLE_SQL = {
+    "op1_ann": ann.neighbours_sql(),
+    "op2_chat": chat.digests_sql(),
+    "op3_licenses": licenses.SCAN_SQL,
+    "op5_substrings": OP5_SQL,
+    "op10_decontam": decontam.contaminated_sql(),
+}

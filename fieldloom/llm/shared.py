@@ -21,11 +21,23 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+#: A setting of Spark's: the shuffle files of a query go when it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
-    """df written as Parquet and read again, which cuts its lineage and survives lost executors; and its path."""
-    path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path), path
+    """df written as Parquet and read again, which cuts its lineage and survives lost executors; and its path.
+
+    The shuffle files that df took are deleted once it is written, so that they don't add up over the stages.
+    """
+    spark = df.sparkSession
+    path, before = new_path(spark, name), spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path), path
 
 
 def removed(spark: SparkSession, path: str) -> None:
