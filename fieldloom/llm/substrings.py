@@ -10,7 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .words import RunHash, Words, mix, powers, raw, signed, slices
+from .shared import removed, written
+from .words import RunHash, Words, mix, raw, signed, slices
 
 #: Words in an anchor.
 PAIR = 2
@@ -166,6 +167,7 @@ def remove_repeats(docs: DataFrame, min_words: int = 13) -> DataFrame:
     2. Extension: around each shared anchor, the windows that chose it are compared as a whole, by a hash of
        all their words; where a document with a smaller id has the same, the whole run repeats.
     3. Only where an anchor is in different surroundings are single windows compared, one document for each.
+    Each step's rows are written to the shared folder, so that its shuffle files don't add up.
     No pairs are made: the smallest doc_id of an equal group is enough, so that copies cost one row each.
     Windows are equal by 128 bits of hash (the anchor's and the window's).
 
@@ -176,22 +178,29 @@ def remove_repeats(docs: DataFrame, min_words: int = 13) -> DataFrame:
     w = min_words
     if w < PAIR + 1:
         raise ValueError(f"min_words is {PAIR + 1} at least")
+    spark = docs.sparkSession
     rows = docs.select("doc_id", "text", F.coalesce(F.hash("text"), F.lit(0)).alias("tag"))
     named = rows.filter("doc_id is not null")
     texts = named.select("doc_id", "text")
     shared = texts.mapInArrow(lambda it: _anchor_counts(it, w), "anchor long, n long").groupBy("anchor").agg(F.sum("n").alias("n")).filter("n > 1").select("anchor")
     places = texts.mapInArrow(lambda it: _anchor_places(it, w), "anchor long, doc_id long, at long")
-    seeds = places.join(shared, "anchor").groupBy("doc_id").agg(F.collect_list("at").alias("places"))
-    runs = named.join(seeds, "doc_id").mapInArrow(lambda it: _contexts(it, w), "anchor long, context long, doc_id long, place long, many int")
-    same = runs.groupBy("anchor", "context").agg(F.min("doc_id").alias("least"))
+    seeds, seeds_path = written(places.join(shared, "anchor").groupBy("doc_id").agg(F.collect_list("at").alias("places")), "seeds")
+    runs, runs_path = written(named.join(seeds, "doc_id").mapInArrow(lambda it: _contexts(it, w), "anchor long, context long, doc_id long, place long, many int"), "runs")
+    removed(spark, seeds_path)
+    same, same_path = written(runs.groupBy("anchor", "context").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")), "contexts")
     several = same.groupBy("anchor").agg(F.count("*").alias("contexts")).filter("contexts > 1").select("anchor", F.lit(True).alias("mixed"))
-    judged = runs.join(same.join(several, "anchor", "left"), ["anchor", "context"])
-    whole = judged.filter("least < doc_id").select("doc_id", "place", "many")
-    edges = judged.filter("least = doc_id and mixed").groupBy("doc_id").agg(F.collect_list("place").alias("places"))
-    windows = named.join(edges, "doc_id").mapInArrow(lambda it: _windows(it, w), "anchor long, hashed long, doc_id long, place long")
+    judged = runs.join(same.join(several, "anchor", "left").filter("least < most or mixed"), ["anchor", "context"])
+    judged, judged_path = written(judged.filter("least < doc_id or mixed").select("doc_id", "place", "many", (F.col("least") < F.col("doc_id")).alias("gone")), "judged")
+    removed(spark, runs_path)
+    removed(spark, same_path)
+    edges = judged.filter("not gone").groupBy("doc_id").agg(F.collect_list("place").alias("places"))
+    windows, windows_path = written(named.join(edges, "doc_id").mapInArrow(lambda it: _windows(it, w), "anchor long, hashed long, doc_id long, place long"), "windows")
     least = windows.groupBy("anchor", "hashed").agg(F.min("doc_id").alias("least"))
     single = windows.join(least, ["anchor", "hashed"]).filter("least < doc_id").select("doc_id", "place", F.lit(1).alias("many"))
-    spans = whole.union(single).groupBy("doc_id").agg(F.collect_list(F.struct("place", "many")).alias("spans"))
+    whole = judged.filter("gone").select("doc_id", "place", "many")
+    spans, _ = written(whole.union(single).groupBy("doc_id").agg(F.collect_list(F.struct("place", "many")).alias("spans")), "spans")
+    removed(spark, windows_path)
+    removed(spark, judged_path)
     found = named.join(spans, "doc_id", "left").mapInArrow(lambda it: _kept(it, w), KEPT)
     rest = rows.filter("doc_id is null").withColumn("spans", F.lit(None).cast("array<struct<place:long,many:int>>")).mapInArrow(lambda it: _kept(it, w), KEPT)
     return found.union(rest)
