@@ -119,7 +119,7 @@ def _format(batches: Iterator[pa.RecordBatch], budget: int, history: int, histor
         if tokenizer is None:
             costs = [len(_SPACE.findall(x)) for x in texts]
         else:
-            costs = encoder(tokenizer).encode(texts)[1].tolist()
+            costs = encoder(tokenizer).encode_column(pa.array(texts, pa.string()))[1].tolist()
         for conv, role, text, cost in zip(batch.column("conv_id").to_pylist(), batch.column("role").to_pylist(), texts, costs):
             if now is None or now.conv_id != conv:
                 rows += now.close() if now else ()

@@ -9,19 +9,20 @@ from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
-from .words import slices, worker_cache
+from .words import Words, slices, worker_cache
 
 #: Pieces kept in the cache; beyond, those used once are dropped.
 CACHE_PIECES = 400_000
+#: Pieces encoded in one call.
+JOINED = 256
 #: Characters of pieces and ids kept in the cache; beyond, it starts anew.
 CACHE_CHARS = CACHE_IDS = 12_000_000
 #: A blank or line end between two other characters, where byte-level tokenizers always cut.
 CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
-#: The characters that Python takes for white space, but for blank and line end.
-OTHER_SPACE = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+#: First byte, second byte, least and most third byte of white space beyond ASCII in UTF-8 (0: no third).
+WIDE_SPACE = [(0xC2, 0x85, 0, 0), (0xC2, 0xA0, 0, 0), (0xE1, 0x9A, 0x80, 0x80), (0xE1, 0xA0, 0x8E, 0x8E), (0xE2, 0x80, 0x80, 0x8A), (0xE2, 0x80, 0xA8, 0xA9), (0xE2, 0x80, 0xAF, 0xAF), (0xE2, 0x81, 0x9F, 0x9F), (0xE3, 0x80, 0x80, 0x80)]
 
 
 class _Numbered(dict):
@@ -36,9 +37,10 @@ class Encoder:
     """A tokenizer file, applied piece by piece; the ids are those of the whole text.
 
     Both kinds of tokenizer here cut a text into words before they merge anything, so that the pieces between
-    blanks and line ends can be encoded once each.  keeps_space: the blank before a word belongs to it
-    (byte-level vocabularies); otherwise white space only separates words.  A piece is a string, which then
-    has a blank before it unless it starts with a line end, or a tuple of one string as it is.
+    blanks and line ends can be encoded once each.  keeps_space: the blank or line end before a word belongs to
+    its piece (byte-level vocabularies); otherwise white space only separates words.  The pieces of a
+    column are told apart by 64-bit hashes, checked by length and first and last bytes; those kept are
+    looked up by their bytes.
     """
 
     def __init__(self, path: str):
@@ -46,6 +48,9 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.keeps_space = self.tokenizer.encode(" b", add_special_tokens=False).ids != self.tokenizer.encode("b", add_special_tokens=False).ids
+        self.marking = Tokenizer.from_file(path)
+        special = [(i, x.content) for i, x in self.marking.get_added_tokens_decoder().items() if x.special and not (x.lstrip or x.rstrip or x.single_word)]
+        self.mark_id, self.mark = special[-1] if special else (None, None)
         self._empty()
 
     def _empty(self) -> None:
@@ -80,44 +85,97 @@ class Encoder:
         self.used += total
         self.chars += sum(map(len, names))
 
-    def pieces(self, text: str) -> list:
-        if any(x in text for x in OTHER_SPACE):
-            return [(x,) for x in CUT.split(text)] if self.keeps_space else [(text,)]
-        if not self.keeps_space:
-            return text.replace("\n", " ").split(" ")
-        words = text.replace("\n", " \n").split(" ")
-        if "" in words or "\n" in words:  # white space side by side, or at an end
-            return [(x,) for x in CUT.split(text)]
-        words[0] = (words[0],)
-        return words
-
-    def _whole(self, piece) -> str:
-        if isinstance(piece, tuple):
-            return piece[0]
-        return " " + piece if self.keeps_space and piece[0] != "\n" else piece
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all texts, one after the other, and how many each has."""
-        if len(self.names) > CACHE_PIECES or self.used > CACHE_IDS or self.chars > CACHE_CHARS:
-            self._trim()
-        flat, sizes = [], []
-        for x in texts:
-            found = self.pieces(x)
-            sizes.append(len(found))
-            flat += found
-        piece = np.fromiter(map(self.known.__getitem__, flat), np.int64, len(flat))
+    def _spaced(self, w: Words) -> np.ndarray:
+        """Which rows have white space other than one blank or line end between two words."""
+        data, n = w.data, len(w.data)
+        row = w.rows()
+        bad = np.zeros(len(w.counts), bool)
+        inner = np.ones(len(row), bool)
+        inner[w.first[:-1][w.counts > 0]] = False
+        gap = w.starts[1:] - w.ends[:-1]
+        odd = (gap != 1) | ((data[w.starts[1:] - 1] != 0x20) & (data[w.starts[1:] - 1] != 0x0A))
+        bad[row[1:][odd & inner[1:]]] = True
+        some = w.counts > 0
+        bad[some] |= (w.starts[w.first[:-1][some]] != w.offsets[:-1][some]) | (w.ends[w.first[1:][some] - 1] != w.offsets[1:][some])
+        bad |= ~some & (np.diff(w.offsets) > 0)
+        at = [np.flatnonzero((data >= 0x1C) & (data <= 0x1F))]
+        for a, b, low, high in WIDE_SPACE:
+            k = np.flatnonzero(data[: max(0, n - 2 + (low == 0))] == a)
+            k = k[data[k + 1] == b]
+            at.append(k[(data[k + 2] >= low) & (data[k + 2] <= high)] if low else k)
+        at = np.concatenate(at)
+        bad[np.searchsorted(w.offsets, at, side="right") - 1] = True
+        return bad
+
+    def _places(self, pieces: list[bytes]) -> np.ndarray:
+        """Where each piece is in the cache; those not yet in it are encoded."""
+        out = np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
         if len(self.known) > len(self.names):
             fresh = list(islice(self.known, len(self.names), None))
-            encoded = [x.ids for x in self.tokenizer.encode_batch_fast(list(map(self._whole, fresh)), add_special_tokens=False)]
+            self._add(fresh, *self._encode([x.decode() for x in fresh]))
+        self.hits[: len(self.names)] += np.bincount(out, minlength=len(self.names))
+        return out
+
+    def _encode(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of pieces and how many each has.
+
+        Many at a time, with a special token between them, which cuts before anything else does and is cheaper than
+        a call for each; one by one where a piece has that token's string in it.
+        """
+        if self.mark is None or any(self.mark in x for x in pieces):
+            encoded = [x.ids for x in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
             counts = np.fromiter(map(len, encoded), np.int64, len(encoded))
-            self._add(fresh, np.fromiter(chain.from_iterable(encoded), np.uint32, int(counts.sum())), counts)
-        self.hits[: len(self.names)] += np.bincount(piece, minlength=len(self.names))
+            return np.fromiter(chain.from_iterable(encoded), np.uint32, int(counts.sum())), counts
+        joined = [self.mark.join([*pieces[i : i + JOINED], ""]) for i in range(0, len(pieces), JOINED)]
+        ids = np.concatenate([np.array(x.ids, np.uint32) for x in self.marking.encode_batch_fast(joined, add_special_tokens=False)])
+        marks = ids == self.mark_id
+        return ids[~marks], np.diff(np.concatenate(([-1], np.flatnonzero(marks)))) - 1
+
+    def _gather(self, piece: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         size = self.size[piece]
         before = np.cumsum(size) - size
-        out = self.ids[np.repeat(self.start[piece] - before, size) + np.arange(int(size.sum()))]
-        ends = np.cumsum(np.array(sizes, np.int64))
-        marks = np.concatenate((before, [len(out)]))
-        return out, np.diff(np.concatenate(([0], marks[ends])))
+        return self.ids[np.repeat(self.start[piece] - before, size) + np.arange(int(size.sum()))], size
+
+    def encode_column(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts of a column (null: none), one after the other, and how many each has."""
+        if len(self.names) > CACHE_PIECES or self.used > CACHE_IDS or self.chars > CACHE_CHARS:
+            self._trim()
+        w = Words(column)
+        sizes = np.zeros(len(w.counts), np.int64)
+        if not len(w.data):
+            return np.zeros(0, np.uint32), sizes
+        bad = self._spaced(w) if self.keeps_space else np.zeros(len(w.counts), bool)
+        row = w.rows()
+        use = np.flatnonzero(~bad[row])
+        row = row[use]
+        begin, end, key = w.starts[use], w.ends[use], w.hash[use]
+        if self.keeps_space:
+            lead = (begin != w.offsets[row]).astype(np.int64)
+            begin = begin - lead
+            key = key ^ (w.data[begin].astype(np.uint64) * lead.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        _, first, which = np.unique(key, return_index=True, return_inverse=True)
+        length = end - begin
+        alike = (length == length[first][which]) & (w.data[begin] == w.data[begin[first]][which]) & (w.data[end - 1] == w.data[end[first] - 1][which])
+        if not alike.all():  # two words of one hash: each is its own
+            odd = np.flatnonzero(~alike)
+            first = np.concatenate((first, odd))
+            which[odd] = np.arange(len(first) - len(odd), len(first))
+        view = memoryview(w.data)
+        places = self._places([view[a:b].tobytes() for a, b in zip(begin[first].tolist(), end[first].tolist())])
+        ids, size = self._gather(places[which])
+        sizes += np.bincount(row, weights=size, minlength=len(sizes)).astype(np.int64)
+        if not bad.any():
+            return ids, sizes
+        parts, cuts = [], np.concatenate(([0], np.cumsum(sizes)))
+        for i in range(len(sizes)):
+            if bad[i]:
+                pieces = CUT.split(view[w.offsets[i] : w.offsets[i + 1]].tobytes().decode())
+                found, _ = self._gather(self._places([x.encode() for x in pieces if x]))
+                sizes[i] = len(found)
+                parts.append(found)
+            else:
+                parts.append(ids[cuts[i] : cuts[i + 1]])
+        return np.concatenate(parts), sizes
 
 
 def encoder(path: str) -> Encoder:
@@ -132,7 +190,7 @@ def encoded(batches: Iterator[pa.RecordBatch], path: str, end_id: int | None) ->
     """Parts of the batches with the ids of their texts (null: none), each followed by end_id, and the counts."""
     for batch in batches:
         for part in slices(batch):
-            ids, sizes = encoder(path).encode(pc.fill_null(part.column("text"), "").to_pylist())
+            ids, sizes = encoder(path).encode_column(part.column("text"))
             if end_id is not None:
                 ids = np.insert(ids, np.cumsum(sizes), end_id)
                 sizes = sizes + 1

@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -26,7 +27,7 @@ def ids_of(path, text):
 
 @pytest.mark.parametrize("path", FILES)
 def test_pieces_give_the_ids_of_the_whole_text(path):
-    ids, sizes = ENCODERS[path].encode(HARD)
+    ids, sizes = ENCODERS[path].encode_column(pa.array(HARD))
     cuts = np.cumsum(sizes)
     assert [x.tolist() for x in np.split(ids, cuts[:-1])] == [ids_of(path, x) for x in HARD]
 
@@ -36,7 +37,7 @@ def test_pieces_give_the_ids_of_the_whole_text(path):
 def test_pieces_give_the_ids_of_any_text(text):
     for path in FILES:
         e = ENCODERS[path]
-        assert e.encode([text, text])[0].tolist() == 2 * e.tokenizer.encode(text, add_special_tokens=False).ids
+        assert e.encode_column(pa.array([text, "x y", text]))[0].tolist() == [i for x in (text, "x y", text) for i in e.tokenizer.encode(x, add_special_tokens=False).ids]
 
 
 @settings(max_examples=60, deadline=None)
