@@ -200,7 +200,18 @@ def pack(parts: DataFrame, capacity: int = 2048) -> DataFrame:
     Empty parts: an empty result.
     """
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in parts.schema)
-    table, _ = written(parts.mapInArrow(lambda it: _ranked(it, capacity), f"{kinds}, _pack_file int, _pack_rank long"), "pieces")
+    return _pack(parts.mapInArrow(lambda it: _ranked(it, capacity), f"{kinds}, _pack_file int, _pack_rank long"), kinds, capacity)
+
+
+def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 1, capacity: int = 2048) -> DataFrame:
+    """pack(pieces(docs)), with one Python step less."""
+    ranked = docs.select("doc_id", "text").mapInArrow(lambda it: _ranked(_pieces(it, tokenizer, end_id, capacity), capacity), f"{PIECES}, _pack_file int, _pack_rank long")
+    return _pack(ranked, PIECES, capacity)
+
+
+def _pack(ranked: DataFrame, kinds: str, capacity: int) -> DataFrame:
+    columns = [c for c in ranked.columns if not c.startswith("_pack_")]
+    table, _ = written(ranked, "pieces")
     tally = table.groupBy("_pack_file", "length").agg(F.count("*").alias("n"))
     tally, _ = written(tally, "tally")
     counts = {r["length"]: r["n"] for r in tally.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # one row a length
@@ -208,5 +219,5 @@ def pack(parts: DataFrame, capacity: int = 2048) -> DataFrame:
     before = tally.select("_pack_file", "length", (F.sum("n").over(Window.partitionBy("length").orderBy("_pack_file")) - F.col("n")).alias("_pack_before"))
     if tally.count() <= BROADCAST_ROWS:
         before = F.broadcast(before)
-    ranked = table.join(before, ["_pack_file", "length"]).select(*parts.columns, "_pack_rank", "_pack_before")
+    ranked = table.join(before, ["_pack_file", "length"]).select(*columns, "_pack_rank", "_pack_before")
     return ranked.mapInArrow(lambda it: _placed(it, chosen), f"{kinds}, sequence_id long, offset long")

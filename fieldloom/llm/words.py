@@ -110,15 +110,20 @@ class Words:
         self.hash = self._hash(lowered if lower else plain)
 
     def _hash(self, table: np.ndarray) -> np.ndarray:
-        out, i = np.empty(len(self.starts), np.uint64), 0
+        self._table = table
+        return self.hash_of(self.starts, self.ends)
+
+    def hash_of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Hashes of stretches of bytes, in order of where they start and none within another."""
+        out, i = np.empty(len(starts), np.uint64), 0
         while i < len(out):
-            a = self.starts[i]
-            j = max(i + 1, int(np.searchsorted(self.starts, a + SEGMENT_BYTES)))
-            b = self.ends[j - 1]
+            a = starts[i]
+            j = max(i + 1, int(np.searchsorted(starts, a + SEGMENT_BYTES)))
+            b = ends[j - 1]
             up, down = powers(int(b - a) + 1)
             sums = np.zeros(b - a + 1, np.uint64)
-            np.cumsum(table[self.data[a:b]] * up[: b - a], out=sums[1:])
-            s, e = self.starts[i:j] - a, self.ends[i:j] - a
+            np.cumsum(self._table[self.data[a:b]] * up[: b - a], out=sums[1:])
+            s, e = starts[i:j] - a, ends[i:j] - a
             out[i:j] = (sums[e] - sums[s]) * down[s] + (e - s).astype(np.uint64)
             i = j
         return mix(out)
