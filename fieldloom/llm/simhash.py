@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .graph import components
+from .shared import written
 from .words import raw, slices
 
 BITS = 64
@@ -78,7 +79,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, seed: int = 42, radius: i
     a null doc_id is kept, links like any other, and never names a component unless all its members lack one.
     Empty docs: an empty result.  Other columns of docs are not read.
     """
-    found = fingerprints(docs, shingle, seed)
+    found, _ = written(fingerprints(docs, shingle, seed), "fingerprints")
     first = found.groupBy("fp").agg(F.min("doc_id").alias("least"))
     rooted = components(links(first.select("fp"), radius)).withColumnRenamed("node", "fp")
     least = first.join(rooted, "fp").groupBy("root").agg(F.min("least").alias("component_id"))
