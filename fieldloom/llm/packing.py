@@ -186,8 +186,8 @@ def _placed(batches: Iterator[pa.RecordBatch], chosen: Plan) -> Iterator[pa.Reco
         yield pa.RecordBatch.from_arrays([*(new[n] if n in new else batch.column(n).take(take) for n in names), pa.array(numbers, pa.int64()), pa.array(offsets, pa.int64())], names=[*names, "sequence_id", "offset"])
 
 
-#: Rows of the table of counts by file and length up to which it is broadcast (some 50 MB); beyond, it is shuffled.
-BROADCAST_ROWS = 1_500_000
+#: Rows of the table of counts by file and length up to which it is broadcast (some 70 MB); beyond, it is shuffled.
+BROADCAST_ROWS = 500_000
 
 
 def pack(parts: DataFrame, capacity: int = 2048) -> DataFrame:

@@ -14,7 +14,7 @@ from tokenizers import Tokenizer
 from .words import Words, mix, slices, worker_cache
 
 #: Pieces kept in the cache; beyond, those used once are dropped.
-CACHE_PIECES = 600_000
+CACHE_PIECES = 500_000
 #: Pieces encoded in one call.
 JOINED = 256
 #: Characters of pieces and ids kept in the cache; beyond, it starts anew.
