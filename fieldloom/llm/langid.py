@@ -132,7 +132,7 @@ class _Scorer:
         return [self.model.choose(t) if len(w) else (UNDETERMINED, 0.0) for w, t in zip(split, sums[ends] - sums[begins])]
 
 
-def train(docs: DataFrame, rows_per_lang: int = 20_000, words_per_lang: int = 50_000, grams_per_lang: int = 50_000, seed: int = 7) -> Model:
+def train(docs: DataFrame, rows_per_lang: int = 5_000, words_per_lang: int = 40_000, grams_per_lang: int = 10_000, seed: int = 7) -> Model:
     """A model from the texts of docs with a lang.
 
     rows_per_lang bounds the sample that the classifier is fitted on: of each language about so many rows are
