@@ -15,7 +15,7 @@ from .shared import removed, written
 from .words import Words, mix, raw, signed, slices
 
 #: Buckets of token counts (one byte each on every executor); what is rare is known by bucket.
-BUCKET_BITS = 22
+BUCKET_BITS = 24
 #: Sets of so many tokens or fewer are keyed by TUPLE tokens of a longer prefix instead of one.
 SHORT, TUPLE = 15, 3
 #: Rows of one key whose pairs are all made; beyond, each is first compared with the first alone.
@@ -39,20 +39,35 @@ class LineSets:
         new = np.ones(len(row), bool)
         new[1:] = (row[1:] != row[:-1]) | (at[1:] != at[:-1])
         group = np.cumsum(new) - 1
-        sort = np.lexsort((w.hash, group))
-        token, group = w.hash[sort], group[sort]
+        self.row, self.line = row[new], at[new]
+        token, group = self._sorted(w.hash, group, order)
         once = np.ones(len(token), bool)
         once[1:] = (token[1:] != token[:-1]) | (group[1:] != group[:-1])
         token, group = token[once], group[once]
-        if order is not None:
-            sort = np.lexsort((token, order[(token >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)], group))
-            token = token[sort]
-        first = np.flatnonzero(new)
-        self.row, self.line = row[first], at[first]
         self.token, self.group = token, group
-        self.size = np.bincount(group, minlength=len(first))
+        self.size = np.bincount(group, minlength=len(self.row))
         self.begin = np.cumsum(self.size) - self.size
 
+    @staticmethod
+    def _sorted(token: np.ndarray, group: np.ndarray, order: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+        """Tokens by group, code and hash: as one number, as far as its bits go, and by all bits where they don't tell."""
+        code = np.zeros(len(token), np.uint64) if order is None else order[(token >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)].astype(np.uint64)
+        bits = int(group[-1]).bit_length() if len(group) else 0
+        key = (group.astype(np.uint64) << np.uint64(64 - bits)) if bits else np.zeros(len(token), np.uint64)
+        key |= ((code << np.uint64(56)) | (token >> np.uint64(8))) >> np.uint64(bits)
+        sort = np.argsort(key)
+        key, sorted_token = key[sort], token[sort]
+        if bool(((key[1:] == key[:-1]) & (sorted_token[1:] != sorted_token[:-1])).any()):
+            sort = np.lexsort((token, code, group))
+            sorted_token = token[sort]
+        return sorted_token, group[sort]
+
+    def parities(self) -> np.ndarray:
+        """64 bits, each flipped by every token that falls to it: two sets differ in at least as many tokens as bits."""
+        if not len(self.size):
+            return np.zeros(0, np.uint64)
+        return np.bitwise_xor.reduceat(np.uint64(1) << (mix(self.token) & np.uint64(63)), self.begin)
+
     def ids(self) -> np.ndarray:
         """A hash of each set, whatever the order of its tokens."""
         if not len(self.size):
@@ -78,18 +93,27 @@ def _listed(part: pa.RecordBatch, column: str, row: np.ndarray, line: np.ndarray
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each line's set, and at the end how many tokens the task's lines have in each bucket."""
-    counts = np.zeros(1 << BUCKET_BITS, np.int64)
+    counts = np.zeros(1 << BUCKET_BITS, np.uint32)
     names = ["set_id", "doc_id", "place", "bucket", "n"]
     for batch in batches:
         for part in slices(batch):
             s = LineSets(part.column("text"))
             doc, place = _places(part, s.row, s.line)
-            counts += np.bincount((s.token >> np.uint64(64 - BUCKET_BITS)).astype(np.int64), minlength=len(counts))
+            bucket, n = np.unique((s.token >> np.uint64(64 - BUCKET_BITS)).astype(np.int64), return_counts=True)
+            counts[bucket] += n.astype(np.uint32)
             none = pa.nulls(len(doc))
             yield pa.record_batch([pa.array(signed(s.ids())), pa.array(doc), pa.array(place), none.cast(pa.int32()), none.cast(pa.int64())], names=names)
     found = np.flatnonzero(counts)
     none = pa.nulls(len(found), pa.int64())
-    yield pa.record_batch([none, none, none, pa.array(found.astype(np.int32)), pa.array(counts[found])], names=names)
+    yield pa.record_batch([none, none, none, pa.array(found.astype(np.int32)), pa.array(counts[found].astype(np.int64))], names=names)
+
+
+def _codes(table: pa.Table) -> pa.Table:
+    """A byte for each of 65,536 buckets: 0 for none, 1 for one token, more by the logarithm of how many."""
+    bucket, n = table.column("bucket").to_numpy(), table.column("n").to_numpy()
+    codes = np.zeros(1 << 16, np.uint8)
+    codes[bucket & 0xFFFF] = np.where(n == 1, 1, np.minimum(255, 2 + np.floor(8 * np.log2(n))))
+    return pa.table({"part": pa.array([int(bucket[0]) >> 16], pa.int32()), "codes": pa.array([codes.tobytes()], pa.binary())})
 
 
 def _local_repeats(s: LineSets, ids: np.ndarray) -> np.ndarray:
@@ -102,7 +126,7 @@ def _local_repeats(s: LineSets, ids: np.ndarray) -> np.ndarray:
 
 def _keys(batches: Iterator[pa.RecordBatch], shared, rate: Fraction) -> Iterator[pa.RecordBatch]:
     order, (p, q) = shared.value, rate.as_integer_ratio()
-    names = ["key", "doc_id", "place", "size", "pos"]
+    names = ["key", "doc_id", "place", "size", "pos", "parity"]
     for batch in batches:
         for part in slices(batch):
             s = LineSets(part.column("text"), order)
@@ -133,18 +157,18 @@ def _keys(batches: Iterator[pa.RecordBatch], shared, rate: Fraction) -> Iterator
                     spots.append(np.full(len(which), -1))
             group, key, pos = np.concatenate(extra), np.concatenate(made), np.concatenate(spots)
             doc, place = _places(part, s.row[group], s.line[group])
-            yield pa.record_batch([pa.array(signed(key)), pa.array(doc), pa.array(place), pa.array(s.size[group].astype(np.int32)), pa.array(pos.astype(np.int32))], names=names)
+            yield pa.record_batch([pa.array(signed(key)), pa.array(doc), pa.array(place), pa.array(s.size[group].astype(np.int32)), pa.array(pos.astype(np.int32)), pa.array(signed(s.parities())[group])], names=names)
 
 
-KEYS = "key long, doc_id long, place long, size int, pos int"
+KEYS = "key long, doc_id long, place long, size int, pos int, parity long"
 
 
 class _Rows:
     """Rows of keys as arrays."""
 
-    def __init__(self, key, doc, place, size, pos):
-        self.all = (key, doc, place, size, pos)
-        self.key, self.doc, self.place, self.size, self.pos = self.all
+    def __init__(self, key, doc, place, size, pos, parity):
+        self.all = (key, doc, place, size, pos, parity)
+        self.key, self.doc, self.place, self.size, self.pos, self.parity = self.all
 
     @classmethod
     def of(cls, batch: pa.RecordBatch):
@@ -158,11 +182,12 @@ class _Rows:
 
 
 def _may_match(a: _Rows, b: _Rows, p: int, q: int) -> np.ndarray:
-    """Length filter, and where one token was the key, the positional filter."""
+    """Length filter, bound on the tokens in which the sets differ, and where one token was the key, the positional filter."""
     small, large = np.minimum(a.size, b.size).astype(np.int64), np.maximum(a.size, b.size).astype(np.int64)
     room = 1 + np.minimum(a.size - a.pos, b.size - b.pos) - 1
     fits = (a.pos < 0) | ((p + q) * room.astype(np.int64) >= p * (small + large))
-    return (q * small >= p * large) & fits
+    differ = np.bitwise_count((a.parity ^ b.parity).view(np.uint64)).astype(np.int64)
+    return (q * small >= p * large) & fits & ((p + q) * differ <= (q - p) * (small + large))
 
 
 def _candidates(batches: Iterator[pa.RecordBatch], rate: Fraction) -> Iterator[pa.RecordBatch]:
@@ -171,15 +196,15 @@ def _candidates(batches: Iterator[pa.RecordBatch], rate: Fraction) -> Iterator[p
     Memory holds one batch and at most GROUP rows of the key that goes on in the next one.
     """
     p, q = rate.as_integer_ratio()
-    names = ["a_doc", "a_place", "b_doc", "b_place", "key", "size", "pos"]
-    empty = _Rows(*(np.zeros(0, np.int64) for _ in range(5)))
+    names = ["a_doc", "a_place", "b_doc", "b_place", "key", "size", "pos", "parity"]
+    empty = _Rows(*(np.zeros(0, np.int64) for _ in range(6)))
     carry, hot = empty, None  # hot: the first row of a key of which more than GROUP rows came
 
     def out(a: _Rows, b: _Rows, large: _Rows) -> pa.RecordBatch:
         n, m = len(a.key), len(large.key)
         gap, none = pa.nulls(m, pa.int64()), pa.nulls(n, pa.int64())
         both = lambda x, y: pa.concat_arrays([x.cast(pa.int64()) if isinstance(x, pa.Array) else pa.array(x, pa.int64()), y if isinstance(y, pa.Array) else pa.array(y, pa.int64())])
-        return pa.record_batch([both(a.doc, gap), both(a.place, gap), both(b.doc, large.doc), both(b.place, large.place), both(none, large.key), both(none, large.size), both(none, large.pos)], names=names)
+        return pa.record_batch([both(a.doc, gap), both(a.place, gap), both(b.doc, large.doc), both(b.place, large.place), both(none, large.key), both(none, large.size), both(none, large.pos), both(none, large.parity)], names=names)
 
     def done(rows: _Rows) -> Iterator[pa.RecordBatch]:
         """All whole runs of these rows."""
@@ -228,7 +253,7 @@ def _candidates(batches: Iterator[pa.RecordBatch], rate: Fraction) -> Iterator[p
     yield from done(carry)
 
 
-CANDIDATES = "a_doc long, a_place long, b_doc long, b_place long, key long, size long, pos long"
+CANDIDATES = "a_doc long, a_place long, b_doc long, b_place long, key long, size long, pos long, parity long"
 
 
 def _needed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -298,7 +323,8 @@ def remove_similar_lines(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
        buckets; any order is right, a good one is fast); the prefix's tokens are its keys.  A token that
        occurs once is no key.  Sets of few tokens have combinations of TUPLE tokens of a prefix longer by as much as
        keys, since one of their tokens may be in very many lines.
-    3. Rows of one key pass the length and positional filters and become pairs.  Of a key with more than GROUP
+    3. Rows of one key pass the length and positional filters, and a bound on how many tokens differ (from 64 parity
+       bits of each set), and become pairs.  Of a key with more than GROUP
        rows each is paired with the first alone; only those that match nothing so far are then compared
        with all earlier ones of their keys, as a join that skew handling can split.
     4. Pairs are verified on all tokens, by 64-bit hashes.
@@ -315,22 +341,22 @@ def remove_similar_lines(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
     named = rows.filter("doc_id is not null")
     sets, sets_path = written(named.mapInArrow(_sets, "set_id long, doc_id long, place long, bucket int, n long"), "line-sets")
     counts = sets.filter("bucket is not null").groupBy("bucket").agg(F.sum("n").alias("n"))
-    code = F.when(F.col("n") == 1, 1).otherwise(F.least(F.lit(255), 2 + F.floor(8 * F.log2("n")))).cast("short")
-    found = counts.select("bucket", code.alias("code")).toPandas()  # 2**BUCKET_BITS rows at most
+    blobs = counts.groupBy(F.shiftright("bucket", 16).alias("part")).applyInArrow(_codes, "part int, codes binary")
     order = np.zeros(1 << BUCKET_BITS, np.uint8)
-    order[found["bucket"].to_numpy()] = found["code"].to_numpy()
+    for row in blobs.collect():  # 2**(BUCKET_BITS - 16) rows of 64 KB
+        order[row["part"] << 16 : (row["part"] + 1) << 16] = np.frombuffer(row["codes"], np.uint8)
     shared = spark.sparkContext.broadcast(order)
     lines = sets.filter("set_id is not null").select("set_id", "doc_id", "place")
     firsts = lines.groupBy("set_id").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).filter("least < most").select("set_id", "least")
     equal, _ = written(lines.join(firsts, "set_id").filter("doc_id > least").select("doc_id", "place"), "equal")
+    removed(spark, sets_path)
     gone = equal.groupBy("doc_id").agg(F.collect_list("place").alias("gone"))
     none = F.array().cast("array<bigint>")
     keys = named.join(gone, "doc_id", "left").withColumn("gone", F.coalesce("gone", none)).mapInArrow(lambda it: _keys(it, shared, rate), KEYS)
     sorted_keys = keys.repartition("key").sortWithinPartitions("key", "doc_id", "place")
     found, found_path = written(sorted_keys.mapInArrow(lambda it: _candidates(it, rate), CANDIDATES), "candidates")
-    removed(spark, sets_path)
     similar = _verified(named, found.filter("a_doc is not null"), rate)
-    large = found.filter("key is not null").select("key", F.col("b_doc").alias("doc_id"), F.col("b_place").alias("place"), "size", "pos")
+    large = found.filter("key is not null").select("key", F.col("b_doc").alias("doc_id"), F.col("b_place").alias("place"), "size", "pos", "parity")
     later = large.join(similar, ["doc_id", "place"], "left_anti")
     if not later.isEmpty():
         later, _ = written(later, "unmatched")
@@ -338,6 +364,7 @@ def remove_similar_lines(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
         a, b = large.alias("a"), later.alias("b")
         ordered = F.struct("a.doc_id", "a.place") < F.struct("b.doc_id", "b.place")
         sizes = (q * F.least("a.size", "b.size") >= p * F.greatest("a.size", "b.size")) & ((F.col("a.pos") < 0) | ((p + q) * F.least(F.col("a.size") - F.col("a.pos"), F.col("b.size") - F.col("b.pos")) >= p * (F.col("a.size") + F.col("b.size"))))
+        sizes = sizes & ((p + q) * F.bit_count(F.col("a.parity").bitwiseXOR(F.col("b.parity"))) <= (q - p) * (F.col("a.size") + F.col("b.size")))
         pairs = a.join(b, (F.col("a.key") == F.col("b.key")) & ordered & sizes).select(F.col("a.doc_id").alias("a_doc"), F.col("a.place").alias("a_place"), F.col("b.doc_id").alias("b_doc"), F.col("b.place").alias("b_place"))
         similar = similar.union(_verified(named, pairs, rate))
     removed(spark, found_path)
