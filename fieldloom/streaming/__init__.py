@@ -1 +1 @@
-
+"""Streaming twins of the weekly aggregates."""
