@@ -1 +1 @@
-
+"""Whole queries over the given tables, each with the SQL that gives the same rows."""

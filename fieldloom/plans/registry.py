@@ -1,4 +1,35 @@
-"""Queries by name, each with the SQL that gives the same rows."""
+"""Queries by name, each with the SQL that gives the same rows (or none)."""
 
-QUERIES: dict = {}
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
+
+
+class Tables:
+    """The tables of a folder, read when they are asked for."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder = spark, folder
+
+    def __getattr__(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+
+
+def query(sql: str | None):
+    """Registers a function of Tables under its name."""
+
+    def add(f: Callable[[Tables], DataFrame]):
+        QUERIES[f.__name__] = lambda spark, folder: f(Tables(spark, folder))
+        if sql is not None:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+from . import fields, series, sets  # noqa: E402, F401  they register their queries
