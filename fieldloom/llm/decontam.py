@@ -59,7 +59,7 @@ def _hashes(width: int) -> Column:
     return F.when(last >= 0, each).otherwise(F.array().cast("array<bigint>"))
 
 
-#: Windows of benchmark items up to which they are broadcast (some 60 MB); more are joined by shuffling.
+#: Windows of benchmark items, and ids of documents, up to which they are broadcast (some 60 MB); more are joined by shuffling.
 BROADCAST_ROWS = 1_000_000
 
 
@@ -95,7 +95,10 @@ def contaminated(docs: DataFrame, items: DataFrame, width: int = 5, literals: in
     found, _ = written(found.distinct(), "windows")
     key = ["doc_id", "item_id", "tag", "diagonal"]
     reached = found.select(*key, "n_words", "slotted", F.explode(F.sequence("ipos", F.col("ipos") + width - 1)).alias("pos")).distinct()
-    some = named.join(found.filter("slotted").select("doc_id").distinct(), "doc_id", "left_semi")
+    wanted = found.filter("slotted").select("doc_id").distinct()
+    if wanted.count() <= BROADCAST_ROWS:
+        wanted = F.broadcast(wanted)
+    some = named.join(wanted, "doc_id", "left_semi")
     values = _templates(some, "doc_id").select("doc_id", F.posexplode(F.arrays_zip(F.col("core").alias("core"), F.col("t").alias("t"))).alias("at", "x"))
     values = values.filter(F.col("x.t").startswith("<")).select("doc_id", "at", F.translate("x.core", UPPER, LOWER).alias("value"))
     pairs = reached.filter("slotted").join(slots, ["item_id", "tag", "pos"]).withColumn("at", (F.col("pos") + F.col("diagonal")).cast("int")).join(values, ["doc_id", "at"])
