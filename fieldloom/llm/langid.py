@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .words import slices, worker_cache
+from .words import kept, slices
 
 UNDETERMINED = "und"
 #: Runs of letters, lower-cased; digits, signs and white space separate.
@@ -20,7 +20,7 @@ WORD = re.compile(r"[^\W\d_]+")
 #: Longest and shortest n-gram; a word is taken with a mark at either end.
 LONGEST, SHORTEST = 5, 1
 #: Vectors of unseen words kept in a worker.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 200_000
 
 
 def grams(word: str, n: int) -> list[str]:
@@ -31,7 +31,7 @@ def grams(word: str, n: int) -> list[str]:
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts by language of words (order 0) and n-grams (order n) in each part of a batch."""
     for batch in batches:
-        for part in slices(batch):
+        for part in slices(batch, limit=1 << 20):
             words: dict[str, Counter] = {}
             for lang, text in zip(part.column("lang").to_pylist(), part.column("text").to_pylist()):
                 words.setdefault(lang, Counter()).update(WORD.findall((text or "").lower()))
@@ -129,7 +129,7 @@ class _Scorer:
         np.cumsum(self.vectors[at], axis=0, out=sums[1:])
         ends = np.cumsum([len(x) for x in split])
         begins = ends - [len(x) for x in split]
-        return [self.model.choose(t) if len(w) else (UNDETERMINED, 0.0) for w, t in zip(split, sums[ends] - sums[begins])]
+        return [self.model.choose(t) if w and self.model.langs else (UNDETERMINED, 0.0) for w, t in zip(split, sums[ends] - sums[begins])]
 
 
 def train(docs: DataFrame, rows_per_lang: int = 5_000, words_per_lang: int = 40_000, grams_per_lang: int = 10_000, seed: int = 7) -> Model:
@@ -150,8 +150,8 @@ def train(docs: DataFrame, rows_per_lang: int = 5_000, words_per_lang: int = 40_
     sample = known.filter(F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(steps)) < taken[F.col("lang")]).select("lang", "text")
     counted = sample.mapInArrow(_counts, "lang string, gram_order int, gram string, n long").groupBy("lang", "gram_order", "gram").agg(F.sum("n").alias("n"))
     rank = F.row_number().over(Window.partitionBy("lang", "gram_order").orderBy(F.desc("n"), "gram"))
-    kept = counted.withColumn("place", rank).filter(F.col("place") <= F.when(F.col("gram_order") == 0, words_per_lang).otherwise(grams_per_lang))
-    rows = kept.select("lang", "gram_order", "gram", "n").toPandas().sort_values(["gram_order", "gram", "lang"])
+    most = counted.withColumn("place", rank).filter(F.col("place") <= F.when(F.col("gram_order") == 0, words_per_lang).otherwise(grams_per_lang))
+    rows = most.select("lang", "gram_order", "gram", "n").toPandas().sort_values(["gram_order", "gram", "lang"])
     return Model.of(sorted(totals), list(rows.itertuples(index=False, name=None)))
 
 
@@ -164,22 +164,18 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     key = f"langid-{uuid.uuid4().hex}"
-    kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
+    others = [c for c in docs.columns if c not in ("lang_pred", "score")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = worker_cache()
-        if key not in cache:
-            for old in [k for k in cache if isinstance(k, str) and k.startswith("langid-")]:
-                del cache[old]
-            cache[key] = _Scorer(shared.value)
+        scorer = kept(key, lambda: _Scorer(shared.value))
         for batch in batches:
             for part in slices(batch):
-                found = cache[key].predict(part.column("text").to_pylist())
+                found = scorer.predict(part.column("text").to_pylist())
                 new = [pa.array([x for x, _ in found], pa.string()), pa.array([s for _, s in found], pa.float64())]
                 yield pa.RecordBatch.from_arrays([*part.columns, *new], names=[*part.schema.names, "lang_pred", "score"])
 
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*kept).schema)
-    return docs.select(*kept).mapInArrow(run, f"{kinds}, lang_pred string, score double")
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*others).schema)
+    return docs.select(*others).mapInArrow(run, f"{kinds}, lang_pred string, score double")
 
 
 def held_out():

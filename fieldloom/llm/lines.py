@@ -12,14 +12,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .shared import removed, written
-from .words import Words, mix, raw, signed, slices
+from .words import Words, mix, raw, release, signed, slices
 
 #: Buckets of token counts (one byte each on every executor); what is rare is known by bucket.
-BUCKET_BITS = 24
+BUCKET_BITS = 22
 #: Sets of so many tokens or fewer are keyed by TUPLE tokens of a longer prefix instead of one.
 SHORT, TUPLE = 15, 3
 #: Rows of one key whose pairs are all made; beyond, each is first compared with the first alone.
-GROUP = 32
+GROUP = 128
 
 
 class LineSets:
@@ -93,6 +93,7 @@ def _listed(part: pa.RecordBatch, column: str, row: np.ndarray, line: np.ndarray
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each line's set, and at the end how many tokens the task's lines have in each bucket."""
+    release()
     counts = np.zeros(1 << BUCKET_BITS, np.uint32)
     names = ["set_id", "doc_id", "place", "bucket", "n"]
     for batch in batches:
@@ -125,6 +126,7 @@ def _local_repeats(s: LineSets, ids: np.ndarray) -> np.ndarray:
 
 
 def _keys(batches: Iterator[pa.RecordBatch], shared, rate: Fraction) -> Iterator[pa.RecordBatch]:
+    release()
     order, (p, q) = shared.value, rate.as_integer_ratio()
     names = ["key", "doc_id", "place", "size", "pos", "parity"]
     for batch in batches:
@@ -195,6 +197,7 @@ def _candidates(batches: Iterator[pa.RecordBatch], rate: Fraction) -> Iterator[p
 
     Memory holds one batch and at most GROUP rows of the key that goes on in the next one.
     """
+    release()
     p, q = rate.as_integer_ratio()
     names = ["a_doc", "a_place", "b_doc", "b_place", "key", "size", "pos", "parity"]
     empty = _Rows(*(np.zeros(0, np.int64) for _ in range(6)))
@@ -296,7 +299,7 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             data, offsets = raw(part.column("text"))
             data, offsets = memoryview(data), offsets.tolist()
             valid = part.column("text").is_valid().to_pylist()
-            kept, n_lines, n_gone = [], [], []
+            texts, n_lines, n_gone = [], [], []
             for i in range(part.num_rows):
                 text = bytes(data[offsets[i] : offsets[i + 1]])
                 drop = by_row.get(i)
@@ -304,8 +307,8 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 n_gone.append(len(drop or ()))
                 if drop:
                     text = b"\n".join(x for j, x in enumerate(text.split(b"\n")) if j not in drop)
-                kept.append(text if valid[i] else None)
-            yield pa.record_batch([part.column("doc_id"), part.column("tag"), pa.array(n_lines, pa.int64()), pa.array(n_gone, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())], names=["doc_id", "tag", "n_lines", "n_removed", "kept_text"])
+                texts.append(text if valid[i] else None)
+            yield pa.record_batch([part.column("doc_id"), part.column("tag"), pa.array(n_lines, pa.int64()), pa.array(n_gone, pa.int64()), pa.array(texts, pa.binary()).cast(pa.string())], names=["doc_id", "tag", "n_lines", "n_removed", "kept_text"])
 
 
 KEPT = "doc_id long, tag int, n_lines long, n_removed long, kept_text string"
@@ -369,8 +372,8 @@ def remove_similar_lines(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
         similar = similar.union(_verified(named, pairs, rate))
     removed(spark, found_path)
     gone = equal.union(similar).groupBy("doc_id").agg(F.collect_list("place").alias("gone"))
-    kept = named.join(gone, "doc_id", "left").withColumn("gone", F.coalesce("gone", none)).mapInArrow(_kept, KEPT)
-    return kept.union(_unnamed(rows))
+    done = named.join(gone, "doc_id", "left").withColumn("gone", F.coalesce("gone", none)).mapInArrow(_kept, KEPT)
+    return done.union(_unnamed(rows))
 
 
 def _unnamed(rows: DataFrame) -> DataFrame:
@@ -383,9 +386,9 @@ def without_similar_lines(docs: DataFrame, similarity: float = 0.8) -> DataFrame
 
     A document that had no word to begin with stays.
     """
-    kept = remove_similar_lines(docs, similarity).filter("n_removed > 0").select(F.col("doc_id").alias("k_id"), F.col("tag").alias("k_tag"), "kept_text").dropDuplicates(["k_id", "k_tag"])
+    found = remove_similar_lines(docs, similarity).filter("n_removed > 0").select(F.col("doc_id").alias("k_id"), F.col("tag").alias("k_tag"), "kept_text").dropDuplicates(["k_id", "k_tag"])
     rows = docs.withColumn("_tag", F.coalesce(F.hash("text"), F.lit(0)))
-    joined = rows.join(kept, (F.col("doc_id") == F.col("k_id")) & (F.col("_tag") == F.col("k_tag")), "left")
+    joined = rows.join(found, (F.col("doc_id") == F.col("k_id")) & (F.col("_tag") == F.col("k_tag")), "left")
     joined = joined.filter(F.col("kept_text").isNull() | F.col("kept_text").rlike(r"[^\x20\x09-\x0D]"))
     new = {"text": F.coalesce("kept_text", "text"), "n_chars": F.when(F.col("kept_text").isNull(), F.col("n_chars")).otherwise(F.length("kept_text").cast("long"))}
     return joined.select(*(new[c].alias(c) if c in new else F.col(c) for c in docs.columns))

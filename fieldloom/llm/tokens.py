@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 from tokenizers import Tokenizer
 
-from .words import Words, mix, slices, worker_cache
+from .words import Words, kept, mix, slices
 
 #: Pieces kept in the cache; beyond, those used once are dropped.
 CACHE_PIECES = 500_000
@@ -200,16 +200,13 @@ class Encoder:
 
 def encoder(path: str) -> Encoder:
     """This worker's encoder of a tokenizer file."""
-    cache = worker_cache()
-    if ("encoder", path) not in cache:
-        cache["encoder", path] = Encoder(path)
-    return cache["encoder", path]
+    return kept(("encoder", path), lambda: Encoder(path))
 
 
 def encoded(batches: Iterator[pa.RecordBatch], path: str, end_id: int | None) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Parts of the batches with the ids of their texts (null: none), each followed by end_id, and the counts."""
     for batch in batches:
-        for part in slices(batch, limit=8 << 20):
+        for part in slices(batch):
             ids, sizes = encoder(path).encode_column(part.column("text"))
             if end_id is not None:
                 ids = np.insert(ids, np.cumsum(sizes), end_id)

@@ -27,6 +27,20 @@ def worker_cache() -> dict:
     return sys.modules.setdefault("_fieldloom_worker", types.ModuleType("_fieldloom_worker")).__dict__
 
 
+def kept(key: object, make):
+    """What make() gives, kept in the worker until another such thing is wanted: one at a time, since they are large."""
+    cache = worker_cache()
+    if cache.get("kept", (None,))[0] != key:
+        cache["kept"] = (None, None)
+        cache["kept"] = (key, make())
+    return cache["kept"][1]
+
+
+def release() -> None:
+    """Let go of what kept() holds, before an operator that needs the room."""
+    worker_cache().pop("kept", None)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """The splitmix64 finaliser, element by element."""
     x = x ^ (x >> np.uint64(30))
