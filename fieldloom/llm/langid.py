@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .words import kept, slices
+from .words import kept, release, slices
 
 UNDETERMINED = "und"
 #: Runs of letters, lower-cased; digits, signs and white space separate.
@@ -30,6 +30,7 @@ def grams(word: str, n: int) -> list[str]:
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts by language of words (order 0) and n-grams (order n) in each part of a batch."""
+    release()
     for batch in batches:
         for part in slices(batch, limit=1 << 20):
             words: dict[str, Counter] = {}

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from .graph import components
 from .shared import written
-from .words import raw, slices
+from .words import raw, release, slices
 
 BITS = 64
 
@@ -42,6 +42,7 @@ def fingerprint(text: bytes, shingle: int = 3, seed: int = 42) -> int:
 
 
 def _fingerprints(batches: Iterator[pa.RecordBatch], shingle: int, seed: int) -> Iterator[pa.RecordBatch]:
+    release()
     for batch in batches:
         for part in slices(batch):
             data, offsets = raw(part.column("text"))

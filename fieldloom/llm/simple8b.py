@@ -123,7 +123,7 @@ SEGMENTS = "part int, number int, before long, n_ids long, segment binary"
 
 def _segments(batches: Iterator[pa.RecordBatch], path: str, end_id: int) -> Iterator[pa.RecordBatch]:
     task, number, before = TaskContext.get().partitionId(), 0, 0
-    for part, ids, sizes in encoded(batches, path, end_id):
+    for part, ids, sizes in encoded(batches, path, end_id, pieces=600_000, limit=8 << 20):
         docs = part.column("doc_id")
         data = segment(docs.fill_null(0).to_numpy(zero_copy_only=False), docs.is_null().to_numpy(zero_copy_only=False), sizes, ids)
         yield pa.record_batch([pa.array([task], pa.int32()), pa.array([number], pa.int32()), pa.array([before], pa.int64()), pa.array([len(ids)], pa.int64()), pa.array([data], pa.binary())], names=["part", "number", "before", "n_ids", "segment"])

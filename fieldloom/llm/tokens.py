@@ -11,10 +11,10 @@ import numpy as np
 import pyarrow as pa
 from tokenizers import Tokenizer
 
-from .words import Words, kept, mix, slices
+from .words import SLICE_BYTES, Words, kept, mix, slices
 
 #: Pieces kept in the cache; beyond, those used once are dropped.
-CACHE_PIECES = 500_000
+CACHE_PIECES = 300_000
 #: Pieces encoded in one call.
 JOINED = 256
 #: Characters of pieces and ids kept in the cache; beyond, it starts anew.
@@ -47,13 +47,13 @@ class Encoder:
     looked up by their bytes.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, pieces: int = CACHE_PIECES):
+        self.limit = pieces
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.keeps_space = self.tokenizer.encode(" b", add_special_tokens=False).ids != self.tokenizer.encode("b", add_special_tokens=False).ids
-        self.marking = Tokenizer.from_file(path)
-        special = [(i, x.content) for i, x in self.marking.get_added_tokens_decoder().items() if x.special and not (x.lstrip or x.rstrip or x.single_word)]
+        special = [(i, x.content) for i, x in self.tokenizer.get_added_tokens_decoder().items() if x.special and not (x.lstrip or x.rstrip or x.single_word)]
         self.mark_id, self.mark = special[-1] if special else (None, None)
         self._empty()
 
@@ -70,7 +70,7 @@ class Encoder:
         starts, sizes = self.start[keep], self.size[keep]
         old = self.ids
         self._empty()
-        if len(names) > CACHE_PIECES // 2 or sizes.sum() > CACHE_IDS // 2:
+        if len(names) > self.limit // 2 or sizes.sum() > CACHE_IDS // 2:
             return
         self._add(names, old[np.repeat(starts - np.cumsum(sizes) + sizes, sizes) + np.arange(int(sizes.sum()))], sizes)
         for x in names:
@@ -131,7 +131,9 @@ class Encoder:
             counts = np.fromiter(map(len, encoded), np.int64, len(encoded))
             return np.fromiter(chain.from_iterable(encoded), np.uint32, int(counts.sum())), counts
         joined = [self.mark.join([*pieces[i : i + JOINED], ""]) for i in range(0, len(pieces), JOINED)]
-        ids = np.concatenate([np.array(x.ids, np.uint32) for x in self.marking.encode_batch_fast(joined, add_special_tokens=False)])
+        self.tokenizer.encode_special_tokens = False
+        ids = np.concatenate([np.array(x.ids, np.uint32) for x in self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)])
+        self.tokenizer.encode_special_tokens = True
         marks = ids == self.mark_id
         return ids[~marks], np.diff(np.concatenate(([-1], np.flatnonzero(marks)))) - 1
 
@@ -157,7 +159,7 @@ class Encoder:
 
     def encode_column(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts of a column (null: none), one after the other, and how many each has."""
-        if len(self.names) > CACHE_PIECES or self.used > CACHE_IDS or self.chars > CACHE_CHARS:
+        if len(self.names) > self.limit or self.used > CACHE_IDS or self.chars > CACHE_CHARS:
             self._trim()
         w = Words(column)
         sizes = np.zeros(len(w.counts), np.int64)
@@ -198,16 +200,16 @@ class Encoder:
         return np.concatenate(parts), sizes
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, pieces: int = CACHE_PIECES) -> Encoder:
     """This worker's encoder of a tokenizer file."""
-    return kept(("encoder", path), lambda: Encoder(path))
+    return kept(("encoder", path, pieces), lambda: Encoder(path, pieces))
 
 
-def encoded(batches: Iterator[pa.RecordBatch], path: str, end_id: int | None) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+def encoded(batches: Iterator[pa.RecordBatch], path: str, end_id: int | None, pieces: int = CACHE_PIECES, limit: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Parts of the batches with the ids of their texts (null: none), each followed by end_id, and the counts."""
     for batch in batches:
-        for part in slices(batch):
-            ids, sizes = encoder(path).encode_column(part.column("text"))
+        for part in slices(batch, limit=limit):
+            ids, sizes = encoder(path, pieces).encode_column(part.column("text"))
             if end_id is not None:
                 ids = np.insert(ids, np.cumsum(sizes), end_id)
                 sizes = sizes + 1

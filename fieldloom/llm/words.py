@@ -6,6 +6,8 @@ can be cut at byte level.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import sys
 import types
 from collections.abc import Iterator
@@ -31,14 +33,16 @@ def kept(key: object, make):
     """What make() gives, kept in the worker until another such thing is wanted: one at a time, since they are large."""
     cache = worker_cache()
     if cache.get("kept", (None,))[0] != key:
-        cache["kept"] = (None, None)
+        release()
         cache["kept"] = (key, make())
     return cache["kept"][1]
 
 
 def release() -> None:
-    """Let go of what kept() holds, before an operator that needs the room."""
+    """Let go of what kept() holds, before an operator that needs the room, and give free memory back."""
     worker_cache().pop("kept", None)
+    with contextlib.suppress(OSError, AttributeError):  # where the C library has no such call
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
