@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from fieldloom.functions import calendar, expr, geometry
 from fieldloom.operators import quality, timeseries, yields, zonal
+from fieldloom.operators.scenes import first_of
 from fieldloom.plans import registry
 from fieldloom.sources import store
 from fieldloom.streaming.weekly import weekly
@@ -104,3 +105,42 @@ def test_plans(spark):
         plan = registry.QUERIES[name](spark, folder)._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in plan and "Python" not in plan
     assert set(registry.ORACLE_SQL) <= set(registry.QUERIES)
+
+
+def test_zonal_grid(spark):
+    nodata = float("nan")
+    pixels = spark.createDataFrame([("MA1", nodata), ("MA1", 1.0), ("MA1", 4.0), ("MA1", 5.0)], "field_id string, ndvi double")
+    fields = spark.createDataFrame([("MA1",), ("NA1",)], "field_id string")
+    stats = zonal.with_every_field(fields, zonal.zonal_stats(pixels, ["field_id"], ["ndvi"]), "field_id", ["ndvi"]).orderBy("field_id").collect()
+    assert [r["ndvi_count"] for r in stats] == [3, 0]
+    assert stats[0]["ndvi_mean"] == pytest.approx(10 / 3) and stats[0]["ndvi_median"] == 4 and stats[1]["ndvi_mean"] is None
+
+
+def test_cached_weights(spark):
+    cells = [(0, 1000, 0.25), (0, 3000, 0.75), (1, -9999, 0.5), (1, 5000, 0.5)]
+    raw = spark.createDataFrame(cells, "field int, dn int, cov double").withColumn("v", expr.decoded(F.col("dn"), 0.001, nodata=-9999))
+    found = zonal.weighted_stats(raw, ["field"], "v", "cov").orderBy("field").collect()
+    assert [round(r["w_mean"], 9) for r in found] == [2.5, 5.0]
+    assert [r["n_pixels"] for r in found] == [2, 1]
+    assert (found[1]["effective_count"], found[1]["coverage_fraction"]) == (0.5, 0.5)
+
+
+def test_survey_answers(spark):
+    rows = [(None, None), (None, "maize + beans"), ("mono_culture", None), ("mixed_cropping", "maize beans")]
+    t = spark.createDataFrame(rows, "pattern string, mixed string")
+    assert [r[0] for r in t.select(yields.intercrop(F.col("pattern"), F.col("mixed"))).collect()] == ["unknown", "yes", "no", "yes"]
+    t = spark.createDataFrame([("irish_potato",), ("beans",), (None,), (" ",)], "crop string")
+    assert [r[0] for r in t.select(yields.survey_match(F.col("crop"), ["potato", "potatoes"])).collect()] == [True, False, None, None]
+
+
+def test_scale_there_and_back(spark):
+    t = spark.createDataFrame([(2.5,), (None,)], "v double")
+    dn = t.select(F.round(expr.encoded(F.col("v"), 0.001)).alias("dn"))
+    assert [r["dn"] for r in dn.collect()] == [2500.0, None]
+    assert [r[0] for r in dn.select(F.round(expr.decoded(F.col("dn"), 0.001), 9)).collect()] == [2.5, None]
+
+
+def test_first_of_each(spark):
+    scenes = spark.createDataFrame([("a", 3.0), ("a", 1.0), ("b", 2.0)], "region string, score double")
+    top = first_of(scenes, ["region"], F.col("score").desc()).orderBy("region").collect()
+    assert [(r["region"], r["score"]) for r in top] == [("a", 3.0), ("b", 2.0)]
