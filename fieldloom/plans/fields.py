@@ -227,8 +227,7 @@ def scene_greedy_cover(t: Tables) -> DataFrame:
 
     x, y = F.col("o_custkey") % 70 / 100, F.col("o_orderkey") % 80 / 100
     scenes = t.orders.select(F.col("o_orderpriority").alias("region"), F.year("o_orderdate").alias("year"), F.col("o_orderkey").alias("scene_id"), x.alias("x0"), y.alias("y0"), (x + 0.3).alias("x1"), (y + 0.25).alias("y1"))
-    best = first_of(scenes, ["region", "year"], F.col("scene_id"), n=40)
-    return greedy_cover(best, ["region", "year"])
+    return greedy_cover(scenes, ["region", "year"])
 
 
 @query("select s_nationkey, count(*) as n_rows, count(distinct (s_nationkey, s_suppkey)) as n_keys from supplier group by 1")

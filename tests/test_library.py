@@ -1,13 +1,14 @@
 """Golden values, plans, sources and the stream."""
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from fieldloom.functions import calendar, expr, geometry
 from fieldloom.operators import quality, timeseries, yields, zonal
-from fieldloom.operators.scenes import first_of
+from fieldloom.operators.scenes import first_of, greedy_cover
 from fieldloom.plans import registry
 from fieldloom.sources import store
 from fieldloom.streaming.weekly import weekly
@@ -144,3 +145,37 @@ def test_first_of_each(spark):
     scenes = spark.createDataFrame([("a", 3.0), ("a", 1.0), ("b", 2.0)], "region string, score double")
     top = first_of(scenes, ["region"], F.col("score").desc()).orderBy("region").collect()
     assert [(r["region"], r["score"]) for r in top] == [("a", 3.0), ("b", 2.0)]
+
+
+def _plain_cover(rects, target=995):
+    """The greedy loop over all scenes, by cells of a tenth (sides in tenths)."""
+    cells = {i: {(x, y) for x in range(max(r[0], 0), min(r[2], 10)) for y in range(max(r[1], 0), min(r[3], 10))} for i, r in rects.items()}
+    seen, out, left = set(), [], dict(cells)
+    while left and len(seen) * 10 < target:
+        best = max(left, key=lambda i: (len(left[i] - seen), len(cells[i]), -i))
+        gain = len(left.pop(best) - seen)
+        if not gain:
+            break
+        seen |= cells[best]
+        out.append((best, gain, len(seen)))
+    return out or [(min(rects), 0, 0)]
+
+
+def test_greedy_cover_is_the_plain_loop_over_all_scenes(spark):
+    rng = random.Random(7)
+    groups = {"few": {}, "small": {}, "whole": {900: (-2, -2, 12, 12)}, "out": {7: (11, 11, 13, 13), 5: (3, 3, 3, 9)}}
+    for i in range(300):  # the best have large ids
+        x, y = rng.randint(-1, 8), rng.randint(-1, 9)
+        side = 1 if i < 200 else rng.randint(1, 4)
+        for g in ("few", "whole"):
+            groups[g][i] = (x, y, x + side, y + rng.randint(1, 3))
+        groups["small"][i] = (i % 10, i // 10 % 10, i % 10 + 1, i // 10 % 10 + 1)  # 100 choices
+    rows = [(g, i, *(v / 10 for v in r)) for g, found in groups.items() for i, r in found.items()] + [("out", 1, None, 0.1, 0.2, 0.3)]
+    groups["out"][1] = (0, 0, 0, 0)
+    table = spark.createDataFrame(rows, "region string, scene_id long, x0 double, y0 double, x1 double, y1 double").repartition(5)
+    got = {g: [] for g in groups}
+    for r in greedy_cover(table, ["region"]).orderBy("region", "step").collect():
+        got[r["region"]].append((r["scene_id"], round(r["gain"] * 100, 6), round(r["covered"] * 100, 6)))
+    assert got == {g: _plain_cover(r) for g, r in groups.items()}
+    assert len(got["small"]) == 100 and got["whole"] == [(900, 100, 100)]
+    assert greedy_cover(table, ["region"], limit=2).filter("region = 'few'").count() == 2
