@@ -45,18 +45,43 @@ def template(raw: Column, core: Column) -> Column:
     return F.transform(core, typed)
 
 
+def wide(core: Column, t: Column) -> Column:
+    """The template t, with words that start a sentence typed too if they start with A-Z: <num>, <unit> or <name>."""
+
+    def typed(c: Column, i: Column) -> Column:
+        own = F.get(t, i)
+        kind = F.when(own.isin(NUMBERS), "<num>").when(own.isin(UNITS), "<unit>").otherwise("<name>")
+        return F.when(F.substring(c, 1, 1).between("A", "Z") & (own != "<name>"), kind).otherwise(own)
+
+    return F.transform(core, typed)
+
+
 def _templates(table: DataFrame, *keep: str) -> DataFrame:
-    """keep, core and t (the template) of each row; each array is computed once."""
+    """keep, core, t (the template) and g (the wide one) of each row; each array is computed once."""
     raw = table.select(*keep, words(F.col("text")).alias("raw"))
     core = raw.select(*keep, "raw", cores(F.col("raw")).alias("core"))
-    return core.select(*keep, "core", template(F.col("raw"), F.col("core")).alias("t"))
+    both = core.select(*keep, "core", template(F.col("raw"), F.col("core")).alias("t"))
+    return both.select(*keep, "core", "t", wide(F.col("core"), F.col("t")).alias("g"))
 
 
-def _hashes(width: int) -> Column:
-    """The hash of each window of so many template words, in order; none for a shorter text."""
+def _hashes(width: int, name: str, at: Column) -> Column:
+    """pos and h of the windows of so many words of the template that start at these places."""
+    return F.transform(at, lambda i: F.struct(i.alias("pos"), F.xxhash64(*(F.get(name, i + j) for j in range(width))).alias("h")))
+
+
+def _windows(templates: DataFrame, width: int, *keep: str) -> DataFrame:
+    """keep, pos, h and strict of each window of the template (strict), and of those of the wide one that differ; none for a shorter text.
+
+    No filter on the size: pushed below the arrays, it would compute them again for each word.
+    """
     last = F.size("t") - width
-    each = F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(*(F.get("t", i + j) for j in range(width))))
-    return F.when(last >= 0, each).otherwise(F.array().cast("array<bigint>"))
+    placed = templates.select(*keep, "t", "g", F.filter(F.sequence(F.lit(0), F.size("t")), lambda i: F.get("t", i) != F.get("g", i)).alias("other"))
+    over = F.flatten(F.transform("other", lambda i: F.transform(F.sequence(F.lit(0), F.lit(width - 1)), lambda j: i - j)))
+    over = F.array_distinct(F.filter(over, lambda i: (i >= 0) & (i <= last)))
+    flagged = lambda hashes, strict: F.transform(hashes, lambda x: F.struct(x["pos"].alias("pos"), x["h"].alias("h"), F.lit(strict).alias("strict")))
+    both = F.concat(flagged(_hashes(width, "t", F.sequence(F.lit(0), last)), True), flagged(_hashes(width, "g", over), False))
+    each = placed.select(*keep, F.explode(F.when(last >= 0, both)).alias("x"))
+    return each.select(*keep, "x.pos", "x.h", "x.strict")
 
 
 #: Windows of benchmark items, and ids of documents, up to which they are broadcast (some 60 MB); more are joined by shuffling.
@@ -68,9 +93,13 @@ def contaminated(docs: DataFrame, items: DataFrame, width: int = 5, literals: in
 
     docs: doc_id, text.  items: item_id, text.  Texts become templates (see template()); every window of `width`
     template words that has `literals` ordinary words at least is looked up by hash.  Windows of one document and
-    item that lie on one diagonal are aligned word by word; there each value of the item must always become the
-    same value in the document and no two the same, else that diagonal doesn't count.  covered: how many of the
-    item's n_words words lie in windows found.  A pair is returned if covered is at least similarity * n_words.
+    item that lie on one diagonal are aligned word by word; there each name of the item must always become the
+    same name in the document and no two the same, else that diagonal doesn't count.  Words that start a sentence
+    may be names: windows are also looked up with them as placeholders (see wide()).  Where one of these, or a
+    figure or unit, becomes several values, or two such sentence starts the same one, only the words that
+    changed don't count; different numbers may become equal.  A pair that is found by the template alone, without
+    these liberties and with every value kept apart, has the words covered that way.  covered: how many of the item's n_words words lie
+    in windows found.  A pair is returned if covered is at least similarity * n_words.
 
     Nulls: a text counts as empty; a row without doc_id or item_id takes no part.  Rows that repeat a doc_id are
     judged together; items that repeat an id are judged each for itself and give one row for the best.  Items of
@@ -81,33 +110,52 @@ def contaminated(docs: DataFrame, items: DataFrame, width: int = 5, literals: in
     only for those that share windows having placeholders.
     """
     item = _templates(items.filter("item_id is not null").select("item_id", "text", F.xxhash64("text").alias("tag")).distinct(), "item_id", "tag")
-    plain = F.transform(F.sequence(F.lit(0), F.size("t") - width), lambda i: F.size(F.filter(F.slice("t", i + 1, width), lambda x: ~x.startswith("<"))))
-    item = item.filter(F.size("t") >= width).select("*", F.size("t").alias("n_words"), _hashes(width).alias("hashes"), plain.alias("plain"))
-    slots = item.select("item_id", "tag", F.posexplode(F.arrays_zip(F.col("core").alias("core"), F.col("t").alias("t"))).alias("pos", "x"))
-    slots = slots.filter(F.col("x.t").startswith("<")).select("item_id", "tag", "pos", F.translate("x.core", UPPER, LOWER).alias("item_value"))
-    held = item.select("item_id", "tag", "n_words", F.exists("t", lambda x: x.startswith("<")).alias("slotted"), F.posexplode(F.arrays_zip(F.col("hashes").alias("h"), F.col("plain").alias("p"))).alias("ipos", "x"))
-    held = held.filter(F.col("x.p") >= literals).select(F.col("x.h").alias("h"), "item_id", "tag", "n_words", "slotted", "ipos")
+    item = item.filter(F.size("t") >= width).select("*", F.size("t").alias("n_words"), F.exists("g", lambda x: x.startswith("<")).alias("slotted"))
+    typed = F.arrays_zip(F.col("core").alias("core"), F.col("t").alias("t"), F.col("g").alias("g"))
+    slots = item.select("item_id", "tag", F.posexplode(typed).alias("pos", "x")).filter(F.col("x.g").startswith("<"))
+    slots = slots.select("item_id", "tag", "pos", F.col("x.t").alias("item_t"), F.col("x.g").alias("item_g"), F.translate("x.core", UPPER, LOWER).alias("item_value"))
+    starts = F.sequence(F.lit(0), F.col("n_words") - width)
+    plain = lambda name: F.transform(starts, lambda i: F.size(F.filter(F.slice(name, i + 1, width), lambda x: ~x.startswith("<"))))
+    held = [item.select("item_id", "tag", "n_words", "slotted", F.explode(F.arrays_zip(_hashes(width, n, starts).alias("x"), plain(n).alias("p"))).alias("y"), F.lit(n == "t").alias("item_strict")) for n in ("t", "g")]
+    held = held[0].union(held[1]).filter(F.col("y.p") >= literals).select(F.col("y.x.h").alias("h"), "item_id", "tag", "n_words", "slotted", F.col("y.x.pos").alias("ipos"), "item_strict")
+    held = held.groupBy(*(c for c in held.columns if c != "item_strict")).agg(F.max("item_strict").alias("item_strict"))
     if held.count() <= BROADCAST_ROWS:
         held = F.broadcast(held)
     named = docs.filter("doc_id is not null").select("doc_id", "text")
-    seen = _templates(named, "doc_id").select("doc_id", F.posexplode(_hashes(width)).alias("dpos", "h"))
-    found = seen.join(held, "h").select("doc_id", "item_id", "tag", "n_words", "slotted", (F.col("dpos") - F.col("ipos")).alias("diagonal"), "ipos")
-    found, _ = written(found.distinct(), "windows")
+    seen = _windows(_templates(named, "doc_id"), width, "doc_id").withColumnRenamed("pos", "dpos")
+    found = seen.join(held, "h").select("doc_id", "item_id", "tag", "n_words", "slotted", (F.col("dpos") - F.col("ipos")).alias("diagonal"), "ipos", (F.col("strict") & F.col("item_strict")).alias("strict"))
+    found, _ = written(found.groupBy(*(c for c in found.columns if c != "strict")).agg(F.max("strict").alias("strict")), "windows")
     key = ["doc_id", "item_id", "tag", "diagonal"]
-    reached = found.select(*key, "n_words", "slotted", F.explode(F.sequence("ipos", F.col("ipos") + width - 1)).alias("pos")).distinct()
+    reached = found.select(*key, "n_words", "slotted", F.explode(F.sequence("ipos", F.col("ipos") + width - 1)).alias("pos"), "strict")
+    reached = reached.groupBy(*key, "n_words", "slotted", "pos").agg(F.max("strict").alias("strict"))
     wanted = found.filter("slotted").select("doc_id").distinct()
     if wanted.count() <= BROADCAST_ROWS:
         wanted = F.broadcast(wanted)
     some = named.join(wanted, "doc_id", "left_semi")
-    values = _templates(some, "doc_id").select("doc_id", F.posexplode(F.arrays_zip(F.col("core").alias("core"), F.col("t").alias("t"))).alias("at", "x"))
-    values = values.filter(F.col("x.t").startswith("<")).select("doc_id", "at", F.translate("x.core", UPPER, LOWER).alias("value"))
+    values = _templates(some, "doc_id").select("doc_id", F.posexplode(typed).alias("at", "x")).filter(F.col("x.g").startswith("<"))
+    values = values.select("doc_id", "at", F.col("x.t").alias("t"), F.translate("x.core", UPPER, LOWER).alias("value"))
     pairs = reached.filter("slotted").join(slots, ["item_id", "tag", "pos"]).withColumn("at", (F.col("pos") + F.col("diagonal")).cast("int")).join(values, ["doc_id", "at"])
-    forward = pairs.groupBy(*key, "item_value").agg((F.min("value") != F.max("value")).alias("differs"))
-    back = pairs.groupBy(*key, "value").agg((F.min("item_value") != F.max("item_value")).alias("differs"))
-    broken = forward.filter("differs").select(*key).union(back.filter("differs").select(*key)).distinct()
-    covered = reached.join(broken, key, "left_anti").groupBy("doc_id", "item_id", "tag", "n_words").agg(F.count_distinct("pos").alias("covered"))
-    enough = covered.filter(F.col("covered") >= F.col("n_words") * F.lit(similarity) - 1e-9)
-    best = enough.groupBy("doc_id", "item_id").agg(F.max(F.struct(F.col("covered") / F.col("n_words"), "covered", "n_words")).alias("b"))
+
+    def broken(among: DataFrame) -> DataFrame:
+        """Diagonals where a value becomes several, or several become one."""
+        forward = among.groupBy(*key, "item_value").agg((F.min("value") != F.max("value")).alias("differs"))
+        back = among.groupBy(*key, "value").agg((F.min("item_value") != F.max("item_value")).alias("differs"))
+        return forward.filter("differs").select(*key).union(back.filter("differs").select(*key)).distinct()
+
+    def enough(kept: DataFrame) -> DataFrame:
+        covered = kept.groupBy("doc_id", "item_id", "tag", "n_words").agg(F.count_distinct("pos").alias("covered"))
+        covered = covered.filter(F.col("covered") >= F.col("n_words") * F.lit(similarity) - 1e-9)
+        return covered.groupBy("doc_id", "item_id").agg(F.max(F.struct(F.col("covered") / F.col("n_words"), "covered", "n_words")).alias("b"))
+
+    typed_both = "item_t like '<%' and t like '<%'"
+    literal = enough(reached.filter("strict").join(broken(pairs.filter(f"strict and {typed_both}")), key, "left_anti"))
+    changed = pairs.filter("value != item_value and not (item_t = '<name>' and t = '<name>')")
+    several = pairs.groupBy(*key, "item_value").agg(F.min("value").alias("a"), F.max("value").alias("z")).filter("a != z").select(*key, "item_value")
+    shared = pairs.filter("item_g = '<name>'").groupBy(*key, "value").agg(F.min("item_value").alias("a"), F.max("item_value").alias("z")).filter("a != z").select(*key, "value")
+    off = changed.join(several, [*key, "item_value"], "left_semi").select(*key, "pos").union(changed.filter("item_g = '<name>'").join(shared, [*key, "value"], "left_semi").select(*key, "pos"))
+    names = broken(pairs.filter("item_t = '<name>' and t = '<name>'"))
+    free = enough(reached.join(names, key, "left_anti").join(off, [*key, "pos"], "left_anti"))
+    best = literal.union(free.join(literal, ["doc_id", "item_id"], "left_anti").select(*literal.columns))
     return best.select("doc_id", "item_id", "b.covered", F.col("b.n_words").cast("long").alias("n_words"))
 
 

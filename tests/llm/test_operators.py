@@ -171,3 +171,19 @@ def test_decontamination(spark):
     assert sorted(str(r["doc_id"]) for r in decontam.decontaminated(docs_of(spark, rows), items).collect()) == ["3", "4", "5", "6", "7", "None"]
     assert decontam.contaminated(docs_of(spark, []), items).count() == 0
     assert decontam.contaminated(docs_of(spark, rows), items.limit(0)).count() == 0
+
+
+def test_decontamination_of_names_at_sentence_starts_and_equal_numbers(spark):
+    item = "Tom has 5 apples. Mary buys 3 pears. Tom eats 2 of them. How many are left?"
+    other = "A farmer called Tom has 5 apples and Mary has 3 pears, so how many fruits do Tom and Mary have together now?"
+    fours = other.replace("Tom", "Anna").replace("Mary", "Zoe").replace("5", "4").replace("3", "4")
+    twice = "A box holds 5 red balls and another box holds 5 green balls, so how many of them are there in all?"
+    rows = [
+        (1, item), (2, item.replace("Tom", "Anna").replace("Mary", "Zoe").replace("5", "9").replace("3", "8").replace("2", "7")),
+        (3, item.lower()), (4, fours), (5, twice.replace("5 red", "4 red").replace("5 green", "6 green")),
+        (6, fours.replace("Anna and Zoe", "Carl and Zoe")), (7, fours.replace("Zoe", "Anna")), (8, "Then " + item.replace("Tom", "Zoe")),
+        (9, "Nobody has any apples. Mary sells pears. Someone eats one of those. What can be left?"),
+    ]
+    items = spark.createDataFrame([(1, item), (2, other), (3, twice)], "item_id long, text string")
+    got = sorted((r["doc_id"], r["item_id"]) for r in decontam.contaminated(docs_of(spark, rows), items).collect())
+    assert got == [(1, 1), (2, 1), (3, 1), (4, 2), (5, 3), (8, 1)]
