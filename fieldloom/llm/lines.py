@@ -4,63 +4,57 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from fractions import Fraction
-from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import removed, written
-from .words import Words, mix, raw, release, signed, slices
+from .shared import alike, removed, written
+from .words import Words, grouped_order, heads, mix, number_batch, raw, release, signed, slices
 
-#: Buckets of token counts (one byte each on every executor); what is rare is known by bucket.
-BUCKET_BITS = 22
-#: Sets of so many tokens or fewer are keyed by TUPLE tokens of a longer prefix instead of one.
-SHORT, TUPLE = 15, 3
-#: Rows of one key whose pairs are all made; beyond, each is first compared with the first alone.
-GROUP = 128
+#: Buckets of token counts (one byte each on every executor), in parts of 2**PART_BITS; what is rare is known by bucket.
+BUCKET_BITS, PART_BITS = 22, 14
+#: Sizes of one band span this factor, and a band has so many composite tokens for each that may differ.
+SPAN, SPARE = 3, Fraction(3, 2)
+#: Sets of a key whose pairs are all made at once; beyond, each is compared with so many of the first.
+GROUP = 64
+#: Candidates a set gets from those first ones.
+NEAREST = 2
+#: Set ids a task remembers, so that a line that it met before emits its keys once.
+SEEN = 1 << 20
+
+
+def _buckets(token: np.ndarray) -> np.ndarray:
+    return (token >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
 
 
 class LineSets:
     """The lines of a text column as sets of tokens (words, A-Z in lower case): one group for each line that has any.
 
-    row and line of each group, its number of different tokens, and the tokens' hashes, group by group and sorted
-    by `order` (an array by bucket; None: by hash alone).
+    row and line of each group, its number of different tokens, and the tokens' hashes, group by group.
     """
 
-    def __init__(self, column: pa.Array, order: np.ndarray | None = None):
+    def __init__(self, column: pa.Array):
         w = Words(column, lower=True)
         line = np.cumsum(w.data == 10)
         at = line[w.starts] if len(w.starts) else np.zeros(0, np.int64)
         row = w.rows()
         before = np.concatenate(([0], line))[w.offsets[:-1]]
         at = at - before[row]
-        new = np.ones(len(row), bool)
-        new[1:] = (row[1:] != row[:-1]) | (at[1:] != at[:-1])
+        new = heads(row) | heads(at)
         group = np.cumsum(new) - 1
         self.row, self.line = row[new], at[new]
-        token, group = self._sorted(w.hash, group, order)
-        once = np.ones(len(token), bool)
-        once[1:] = (token[1:] != token[:-1]) | (group[1:] != group[:-1])
-        token, group = token[once], group[once]
-        self.token, self.group = token, group
-        self.size = np.bincount(group, minlength=len(self.row))
+        order = grouped_order(group, w.hash)
+        token, group = w.hash[order], group[order]
+        once = heads(token) | heads(group)
+        self.token, self.group = token[once], group[once]
+        self.size = np.bincount(self.group, minlength=len(self.row))
         self.begin = np.cumsum(self.size) - self.size
 
-    @staticmethod
-    def _sorted(token: np.ndarray, group: np.ndarray, order: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
-        """Tokens by group, code and hash: as one number, as far as its bits go, and by all bits where they don't tell."""
-        code = np.zeros(len(token), np.uint64) if order is None else order[(token >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)].astype(np.uint64)
-        bits = int(group[-1]).bit_length() if len(group) else 0
-        key = (group.astype(np.uint64) << np.uint64(64 - bits)) if bits else np.zeros(len(token), np.uint64)
-        key |= ((code << np.uint64(56)) | (token >> np.uint64(8))) >> np.uint64(bits)
-        sort = np.argsort(key)
-        key, sorted_token = key[sort], token[sort]
-        if bool(((key[1:] == key[:-1]) & (sorted_token[1:] != sorted_token[:-1])).any()):
-            sort = np.lexsort((token, code, group))
-            sorted_token = token[sort]
-        return sorted_token, group[sort]
+    def _sum(self, items: np.ndarray) -> np.ndarray:
+        return np.add.reduceat(items, self.begin) if len(self.size) else np.zeros(0, np.uint64)
 
     def parities(self) -> np.ndarray:
         """64 bits, each flipped by every token that falls to it: two sets differ in at least as many tokens as bits."""
@@ -68,11 +62,72 @@ class LineSets:
             return np.zeros(0, np.uint64)
         return np.bitwise_xor.reduceat(np.uint64(1) << (mix(self.token) & np.uint64(63)), self.begin)
 
-    def ids(self) -> np.ndarray:
-        """A hash of each set, whatever the order of its tokens."""
-        if not len(self.size):
-            return np.zeros(0, np.uint64)
-        return mix(np.add.reduceat(mix(self.token + np.uint64(1)), self.begin) + self.size.astype(np.uint64))
+    def ids(self) -> tuple[np.ndarray, np.ndarray]:
+        """Two hashes of each set, whatever the order of its tokens."""
+        return tuple(mix(self._sum(mix(self.token + np.uint64(salt))) + self.size.astype(np.uint64)) for salt in (1, 1 << 40))
+
+
+class Rule:
+    """What a similarity (p / q) asks of two sets, by their sizes.
+
+    Sets are dealt to bands by size; of two that match, the smaller one's band is the pair's.  In a band the tokens
+    of all documents are dealt, by hash, to a fixed number of places; what a set has at a place is one composite
+    token.  Two sets that differ in d tokens differ in d composites at most, so they share one among the first
+    d + 1 of each in any order: the rarest are taken, which are rarer by far than single tokens.
+    """
+
+    def __init__(self, rate: Fraction):
+        self.p, self.q = rate.as_integer_ratio()
+        self.least = -(-self.p // (self.q - self.p))  # smaller sets match equal ones only
+        edges = [self.least]
+        while edges[-1] < 1 << 40:
+            edges.append(edges[-1] * SPAN)
+        self.edges = np.array(edges)
+        most = self.edges[1:] - 1
+        self.places = [int(-(-(int(self.room(a + b)) + 1) * SPARE.numerator // SPARE.denominator)) for a, b in zip(most, most * self.q // self.p)]
+
+    def room(self, total):
+        """Tokens in which two sets of so many together may differ."""
+        return (self.q - self.p) * total // (self.q + self.p)
+
+    def keys(self, s: LineSets, live: np.ndarray, order: np.ndarray, shift: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Sets, keys and ranks: the rarest composites of each live set in its own band, and in the one below where a partner may be in it.
+
+        order: the code of each bucket (see _codes); shift: the code of a token that every line has.
+        """
+        band = np.searchsorted(self.edges, s.size, side="right") - 1
+        below = self.edges[np.maximum(band, 0)] - 1
+        yield from self._of(s, live & (band >= 0), band, self.room(s.size + s.size * self.q // self.p), order, shift)
+        yield from self._of(s, live & (band >= 1) & (self.q * below >= self.p * s.size), band - 1, self.room(s.size + below), order, shift)
+
+    def _of(self, s: LineSets, which: np.ndarray, band: np.ndarray, room: np.ndarray, order: np.ndarray, shift: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        sets = np.flatnonzero(which)
+        if not len(sets):
+            return
+        many = np.array(self.places[: int(band[sets].max()) + 1], np.int64)[band[sets]]
+        ends = np.cumsum(many)
+        local = np.full(len(which), -1)
+        local[sets] = np.arange(len(sets))
+        mine = local[s.group]
+        use = mine >= 0
+        mine, token = mine[use], mix(s.token[use])
+        at = (ends - many)[mine] + (mix(token + band[sets][mine].astype(np.uint64)) % many[mine].astype(np.uint64)).astype(np.int64)
+        code = order[_buckets(s.token[use])].astype(np.int64)
+        held = np.bincount(at, minlength=int(ends[-1]))
+        place = np.flatnonzero(held)
+        total = np.zeros(len(held), np.uint64)
+        np.add.at(total, at, token)
+        rarity = np.bincount(at, weights=code, minlength=len(held))[place] - (held[place] - 1) * shift
+        alone = np.bincount(at, weights=code == 1, minlength=len(held))[place] > 0  # with a token that occurs once in all documents
+        rank_by = np.where(alone, 0, np.clip(rarity + (1 << 15), 1, (1 << 16) - 1)).astype(np.uint64)
+        owner = np.repeat(np.arange(len(sets)), many)[place]
+        key = mix(total[place] + mix((place - (ends - many)[owner]).astype(np.uint64) * np.uint64(64) + band[sets][owner].astype(np.uint64)))
+        sort = grouped_order(owner, (rank_by << np.uint64(48)) | (key >> np.uint64(16)))
+        owner, key, alone = owner[sort], key[sort], alone[sort]
+        count = np.bincount(owner, minlength=len(sets))
+        rank = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
+        keep = (rank <= room[sets][owner]) & ~alone
+        yield sets[owner[keep]], key[keep], rank[keep]
 
 
 def _places(part: pa.RecordBatch, row: np.ndarray, line: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -82,313 +137,376 @@ def _places(part: pa.RecordBatch, row: np.ndarray, line: np.ndarray) -> tuple[np
     return doc, (tag << 32) | line
 
 
-def _listed(part: pa.RecordBatch, column: str, row: np.ndarray, line: np.ndarray) -> np.ndarray:
-    """Which lines are in this list of places of their row."""
-    lists = part.column(column)
-    flat = lists.flatten().to_numpy(zero_copy_only=False)
-    owner = np.repeat(np.arange(part.num_rows), np.diff(lists.offsets.to_numpy()))
-    mine = (flat >> 32) == part.column("tag").to_numpy(zero_copy_only=False)[owner]
-    return np.isin(row * (1 << 32) + line, owner[mine] * (1 << 32) + (flat[mine] & 0xFFFFFFFF))
-
-
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each line's set, and at the end how many tokens the task's lines have in each bucket."""
+def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many tokens the task's texts have in each bucket: for each part, the buckets that have any and their counts; last, its lines."""
     release()
-    counts = np.zeros(1 << BUCKET_BITS, np.uint32)
-    names = ["set_id", "doc_id", "place", "bucket", "n"]
+    counts, lines = np.zeros(1 << BUCKET_BITS, np.int64), 0
     for batch in batches:
         for part in slices(batch):
-            s = LineSets(part.column("text"))
-            doc, place = _places(part, s.row, s.line)
-            bucket, n = np.unique((s.token >> np.uint64(64 - BUCKET_BITS)).astype(np.int64), return_counts=True)
-            counts[bucket] += n.astype(np.uint32)
-            none = pa.nulls(len(doc))
-            yield pa.record_batch([pa.array(signed(s.ids())), pa.array(doc), pa.array(place), none.cast(pa.int32()), none.cast(pa.int64())], names=names)
+            w = Words(part.column("text"), lower=True)
+            counts += np.bincount(_buckets(w.hash), minlength=len(counts))
+            lines += int((w.data == 10).sum()) + part.num_rows
     found = np.flatnonzero(counts)
-    none = pa.nulls(len(found), pa.int64())
-    yield pa.record_batch([none, none, none, pa.array(found.astype(np.int32)), pa.array(counts[found].astype(np.int64))], names=names)
+    cuts = np.searchsorted(found, np.arange(0, len(counts) + 1, 1 << PART_BITS))
+    rows = [(i, (found[a:b] & ((1 << PART_BITS) - 1)).astype("<u2").tobytes(), counts[found[a:b]].astype("<i8").tobytes()) for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])) if b > a]
+    rows.append((-1, np.zeros(1, "<u2").tobytes(), np.array([lines], "<i8").tobytes()))
+    yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows), (pa.int32(), pa.binary(), pa.binary()))], names=["part", "bucket", "n"])
+
 
+def _codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From counts sorted by part, one row a part: a byte a bucket, 0 for no token, 1 for one, more by the logarithm of how many."""
+    now, sums = None, None
 
-def _codes(table: pa.Table) -> pa.Table:
-    """A byte for each of 65,536 buckets: 0 for none, 1 for one token, more by the logarithm of how many."""
-    bucket, n = table.column("bucket").to_numpy(), table.column("n").to_numpy()
-    codes = np.zeros(1 << 16, np.uint8)
-    codes[bucket & 0xFFFF] = np.where(n == 1, 1, np.minimum(255, 2 + np.floor(8 * np.log2(n))))
-    return pa.table({"part": pa.array([int(bucket[0]) >> 16], pa.int32()), "codes": pa.array([codes.tobytes()], pa.binary())})
+    def coded() -> pa.RecordBatch:
+        codes = np.where(sums < 2, sums, np.minimum(255, 2 + np.floor(8 * np.log2(np.maximum(sums, 1)))))
+        return pa.record_batch([pa.array([now], pa.int32()), pa.array([codes.astype(np.uint8).tobytes()], pa.binary())], names=["part", "codes"])
+
+    for batch in batches:
+        for part, bucket, n in zip(batch.column("part").to_pylist(), batch.column("bucket"), batch.column("n")):
+            if part != now:
+                if now is not None:
+                    yield coded()
+                now, sums = part, np.zeros(1 << PART_BITS if part >= 0 else 1, np.int64)
+            sums[np.frombuffer(bucket.as_buffer(), "<u2")] += np.frombuffer(n.as_buffer(), "<i8")
+    if now is not None:
+        yield coded()
 
 
-def _local_repeats(s: LineSets, ids: np.ndarray) -> np.ndarray:
-    """Lines whose set an earlier line of the same row has."""
-    sort = np.lexsort((s.line, ids, s.row))
-    again = np.zeros(len(ids), bool)
-    again[sort[1:]] = (ids[sort[1:]] == ids[sort[:-1]]) & (s.row[sort[1:]] == s.row[sort[:-1]])
-    return again
+#: kind 0: a line (x, y: its set's ids; doc_id, place).  Of a key's set: key, x (its id), y (parities), place (size, and rank of the key).
+#: kind 1: a pair of ids (x, y; place: how many parities differ).  kind 2: a row of a key that more than GROUP sets have.
+KEYS = "key long, x long, y long, doc_id long, place long"
+FOUND = "kind int, key long, x long, y long, doc_id long, place long"
 
 
 def _keys(batches: Iterator[pa.RecordBatch], shared, rate: Fraction) -> Iterator[pa.RecordBatch]:
+    """The task's lines, with a key that spreads them, and the keys of their sets."""
     release()
-    order, (p, q) = shared.value, rate.as_integer_ratio()
-    names = ["key", "doc_id", "place", "size", "pos", "parity"]
+    (order, shift), rule = shared.value, Rule(rate)
+    seen = np.zeros(0, np.uint64)
     for batch in batches:
         for part in slices(batch):
-            s = LineSets(part.column("text"), order)
-            live = ~_listed(part, "gone", s.row, s.line) & ~_local_repeats(s, s.ids())
-            least = -(-p * s.size // q)  # of a set's own size: tokens shared with any partner at least
-            single = np.where(live & (s.size > SHORT), s.size - least + 1, 0)
-            group = np.repeat(np.arange(len(single)), single)
-            pos = np.arange(len(group)) - np.repeat(np.cumsum(single) - single, single)
-            token = s.token[s.begin[group] + pos]
-            twice = order[(token >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)] > 1  # else it occurs once in all documents
-            group, pos, key = group[twice], pos[twice], mix(token[twice])
-            # short sets, and those that may have a short partner: tuples of a prefix that is longer by as much
-            extra, made = [group], [key]
-            spots = [pos]
-            tupled = live & (p * s.size <= q * SHORT) & (s.size - least + TUPLE >= TUPLE) & (least >= TUPLE)
-            prefix = np.minimum(s.size, s.size - least + TUPLE)
-            for width in np.unique(prefix[tupled]).tolist():
-                which = np.flatnonzero(tupled & (prefix == width))
-                if width < TUPLE:
-                    continue
-                tokens = np.sort(s.token[s.begin[which][:, None] + np.arange(width)], axis=1)
-                for chosen in combinations(range(width), TUPLE):
-                    k = np.zeros(len(which), np.uint64)
-                    for j in chosen:
-                        k = mix(k * np.uint64(31) + tokens[:, j] + np.uint64(TUPLE))
-                    extra.append(which)
-                    made.append(k)
-                    spots.append(np.full(len(which), -1))
-            group, key, pos = np.concatenate(extra), np.concatenate(made), np.concatenate(spots)
-            doc, place = _places(part, s.row[group], s.line[group])
-            yield pa.record_batch([pa.array(signed(key)), pa.array(doc), pa.array(place), pa.array(s.size[group].astype(np.int32)), pa.array(pos.astype(np.int32)), pa.array(signed(s.parities())[group])], names=names)
-
-
-KEYS = "key long, doc_id long, place long, size int, pos int, parity long"
-
-
-class _Rows:
-    """Rows of keys as arrays."""
-
-    def __init__(self, key, doc, place, size, pos, parity):
-        self.all = (key, doc, place, size, pos, parity)
-        self.key, self.doc, self.place, self.size, self.pos, self.parity = self.all
-
-    @classmethod
-    def of(cls, batch: pa.RecordBatch):
-        return cls(*(c.to_numpy(zero_copy_only=False) for c in batch.columns))
-
-    def take(self, k) -> _Rows:
-        return _Rows(*(x[k] for x in self.all))
-
-    def __add__(self, other: _Rows) -> _Rows:
-        return _Rows(*(np.concatenate(x) for x in zip(self.all, other.all)))
-
-
-def _may_match(a: _Rows, b: _Rows, p: int, q: int) -> np.ndarray:
-    """Length filter, bound on the tokens in which the sets differ, and where one token was the key, the positional filter."""
-    small, large = np.minimum(a.size, b.size).astype(np.int64), np.maximum(a.size, b.size).astype(np.int64)
-    room = 1 + np.minimum(a.size - a.pos, b.size - b.pos) - 1
-    fits = (a.pos < 0) | ((p + q) * room.astype(np.int64) >= p * (small + large))
-    differ = np.bitwise_count((a.parity ^ b.parity).view(np.uint64)).astype(np.int64)
-    return (q * small >= p * large) & fits & ((p + q) * differ <= (q - p) * (small + large))
-
-
-def _candidates(batches: Iterator[pa.RecordBatch], rate: Fraction) -> Iterator[pa.RecordBatch]:
-    """From rows sorted by key, document and place: pairs, and the rows of keys that have more than GROUP.
-
-    Memory holds one batch and at most GROUP rows of the key that goes on in the next one.
+            s = LineSets(part.column("text"))
+            first, second = s.ids()
+            doc, place = _places(part, s.row, s.line)
+            yield number_batch(KEYS, mix(place.view(np.uint64) + mix(doc.view(np.uint64))), first, second, doc, place)
+            new, at = np.unique(first, return_index=True)
+            fresh = ~np.isin(new, seen)
+            live = np.zeros(len(first), bool)
+            live[at[fresh]] = True
+            seen = np.concatenate((seen, new[fresh])) if len(seen) < SEEN else new
+            bits = s.parities()
+            for sets, key, rank in rule.keys(s, live, order, shift):
+                none = pa.nulls(len(sets), pa.int64())
+                yield number_batch(KEYS, key, first[sets], bits[sets], none, (s.size[sets] << 16) | np.minimum(rank, 0xFFFF))
+
+
+def _may_match(a: tuple, b: tuple, rule: Rule) -> np.ndarray:
+    """The filters on rows of a key (parities; size and rank): by length; by rank (of two sets whose first common key this is, all before differ); by parities."""
+    (a_bits, a_info), (b_bits, b_info) = a, b
+    a_size, b_size = a_info >> 16, b_info >> 16
+    room = rule.room(a_size + b_size)
+    fits = rule.q * np.minimum(a_size, b_size) >= rule.p * np.maximum(a_size, b_size)
+    return fits & (np.maximum(a_info & 0xFFFF, b_info & 0xFFFF) <= room) & (np.bitwise_count((a_bits ^ b_bits).view(np.uint64)) <= room)
+
+
+def _candidates(batches: Iterator[pa.RecordBatch], rate: Fraction, group: int) -> Iterator[pa.RecordBatch]:
+    """From rows sorted by key: lines as they are, pairs of sets that may match, and the rows of keys that more than `group` sets have.
+
+    Memory holds one batch and at most `group` sets of the key that goes on in the next one.
     """
     release()
-    p, q = rate.as_integer_ratio()
-    names = ["a_doc", "a_place", "b_doc", "b_place", "key", "size", "pos", "parity"]
-    empty = _Rows(*(np.zeros(0, np.int64) for _ in range(6)))
-    carry, hot = empty, None  # hot: the first row of a key of which more than GROUP rows came
-
-    def out(a: _Rows, b: _Rows, large: _Rows) -> pa.RecordBatch:
-        n, m = len(a.key), len(large.key)
-        gap, none = pa.nulls(m, pa.int64()), pa.nulls(n, pa.int64())
-        both = lambda x, y: pa.concat_arrays([x.cast(pa.int64()) if isinstance(x, pa.Array) else pa.array(x, pa.int64()), y if isinstance(y, pa.Array) else pa.array(y, pa.int64())])
-        return pa.record_batch([both(a.doc, gap), both(a.place, gap), both(b.doc, large.doc), both(b.place, large.place), both(none, large.key), both(none, large.size), both(none, large.pos), both(none, large.parity)], names=names)
-
-    def done(rows: _Rows) -> Iterator[pa.RecordBatch]:
-        """All whole runs of these rows."""
-        if not len(rows.key):
-            return
-        begins = np.flatnonzero(np.concatenate(([True], rows.key[1:] != rows.key[:-1])))
-        counts = np.diff(np.append(begins, len(rows.key)))
-        run = np.repeat(np.arange(len(begins)), counts)
-        small = counts[run] <= GROUP
-        for step in range(1, min(GROUP, int(counts.max()))):
-            i = np.flatnonzero((rows.key[step:] == rows.key[:-step]) & small[step:])
-            if not len(i):
-                break
-            a, b = rows.take(i), rows.take(i + step)
-            k = np.flatnonzero(_may_match(a, b, p, q))
-            yield out(a.take(k), b.take(k), empty)
-        if not small.all():
-            i = np.flatnonzero(~small)
-            a, b = rows.take(begins[run[i]]), rows.take(i)
-            k = np.flatnonzero(_may_match(a, b, p, q) & (begins[run[i]] != i))
-            yield out(a.take(k), b.take(k), b)
-
-    def star(head: _Rows, rows: _Rows) -> Iterator[pa.RecordBatch]:
-        a = head.take(np.zeros(len(rows.key), np.int64))
-        k = np.flatnonzero(_may_match(a, rows, p, q))
-        yield out(a.take(k), rows.take(k), rows)
+    rule = Rule(rate)
+    carry, hot = np.zeros((4, 0), np.int64), None
+
+    def kinds(kind: int, n: int) -> np.ndarray:
+        return np.full(n, kind, np.int32)
+
+    def large(rows: np.ndarray) -> pa.RecordBatch:
+        key, x, bits, info = rows
+        return number_batch(FOUND, kinds(2, len(key)), key, x, bits, pa.nulls(len(key), pa.int64()), info)
+
+    def done(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """All whole runs of these rows (sorted by key and set, each once)."""
+        key, x, bits, info = rows
+        begins = np.flatnonzero(heads(key))
+        count = np.diff(np.append(begins, len(key)))
+        run = np.repeat(count, count)
+        if (run > group).any():
+            yield large(rows[:, run > group])
+        left = np.repeat(begins + count, count) - np.arange(len(key))  # rows of the key from here on
+        i, step = np.flatnonzero((run <= group) & (left > 1)), 1
+        pairs = []
+        while len(i):
+            k = i[_may_match((bits[i], info[i]), (bits[i + step], info[i + step]), rule)]
+            pairs.append(np.stack((x[k], x[k + step], np.bitwise_count((bits[k] ^ bits[k + step]).view(np.uint64)).astype(np.int64))))
+            step += 1
+            i = i[left[i] > step]
+        if pairs and sum(p.shape[1] for p in pairs):
+            a, b, far = np.concatenate(pairs, axis=1)  # sets are in order within a key
+            order = np.lexsort((b, a))
+            order = order[heads(a[order]) | heads(b[order])]
+            none = pa.nulls(len(order), pa.int64())
+            yield number_batch(FOUND, kinds(1, len(order)), none, a[order], b[order], none, far[order])
+
+    def shared_runs(rows: np.ndarray) -> np.ndarray:
+        """The rows of keys that several have, sorted by key and set, each set once."""
+        head = heads(rows[0])
+        rows = rows[:, ~(head & np.append(head[1:], True))]
+        rows = rows[:, np.lexsort((rows[1], rows[0]))]
+        return rows[:, heads(rows[0]) | heads(rows[1])]
 
     for batch in batches:
-        rows = _Rows.of(batch)
-        if hot is not None and len(rows.key):
-            n = int(np.searchsorted(rows.key, hot.key[0], side="right"))
-            yield from star(hot, rows.take(np.arange(n)))
-            rows = rows.take(np.arange(n, len(rows.key)))
-            if len(rows.key):
-                hot = None
-        rows = carry + rows
-        if not len(rows.key):
+        line = batch.column("doc_id").is_valid()
+        lines = batch.filter(line)
+        if lines.num_rows:
+            yield number_batch(FOUND, kinds(0, lines.num_rows), pa.nulls(lines.num_rows, pa.int64()), *lines.columns[1:])
+        rest = batch.filter(pa.compute.invert(line))
+        if not rest.num_rows:
             continue
-        last = int(np.searchsorted(rows.key, rows.key[-1]))
-        if len(rows.key) - last > GROUP:
-            yield from done(rows)
-            hot, carry = rows.take(np.array([last])), empty
-        else:
-            yield from done(rows.take(np.arange(last)))
-            carry = rows.take(np.arange(last, len(rows.key)))
-    yield from done(carry)
-
-
-CANDIDATES = "a_doc long, a_place long, b_doc long, b_place long, key long, size long, pos long, parity long"
+        rows = np.stack([rest.column(i).to_numpy() for i in (0, 1, 2, 4)])
+        if hot is not None:
+            n = int(np.searchsorted(rows[0], hot, side="right"))
+            yield large(rows[:, :n])
+            rows = rows[:, n:]
+            if not rows.shape[1]:
+                continue
+            hot = None
+        rows = np.concatenate((carry, rows), axis=1)
+        last = int(np.searchsorted(rows[0], rows[0, -1]))
+        yield from done(shared_runs(rows[:, :last]))
+        carry = rows[:, last:]
+        if carry.shape[1] > group:
+            carry = shared_runs(carry)
+            if carry.shape[1] > group:
+                yield large(carry)
+                carry, hot = carry[:, :0], rows[0, -1]
+    yield from done(shared_runs(carry))
+
+
+PAIRS = "a_doc long, a_place long, b_doc long, b_place long, far long"
+
+
+def _stars(batches: Iterator[pa.RecordBatch], rate: Fraction, group: int, nearest: int) -> Iterator[pa.RecordBatch]:
+    """From rows (key, y, info, doc_id, place) sorted by key, document and place: the nearest earlier ones among the first `group` of the key.
+
+    Pairs; and, with a_doc null, the lines that may match others too.
+    """
+    rule, now, first, at = Rule(rate), None, None, 0
+    for batch in batches:
+        key, bits, info, doc, place = (c.to_numpy() for c in batch.columns)
+        cuts = [*np.flatnonzero(heads(key)).tolist(), len(key)]
+        for i, j in zip(cuts[:-1], cuts[1:]):
+            if key[i] != now:
+                now, first, at = key[i], np.zeros((4, 0), np.int64), 0
+            run = np.stack((bits[i:j], info[i:j], doc[i:j], place[i:j]))
+            first = np.concatenate((first, run[:, : max(0, group - first.shape[1])]), axis=1)
+            number = at + np.arange(j - i)
+            at += j - i
+            for k in range(0, j - i, 1 << 12):
+                part, n = run[:, k : k + (1 << 12)], number[k : k + (1 << 12)]
+                ok = _may_match((part[0][:, None], part[1][:, None]), (first[0][None], first[1][None]), rule)
+                ok &= np.arange(first.shape[1])[None] < n[:, None]
+                far = np.where(ok, np.bitwise_count((part[0][:, None] ^ first[0][None]).view(np.uint64)).astype(np.int64), 1 << 10)
+                near = np.argsort(far, axis=1, kind="stable")[:, :nearest]
+                b, c = np.nonzero(np.take_along_axis(ok, near, 1))
+                a = near[b, c]
+                yield number_batch(PAIRS, first[2][a], first[3][a], part[2][b], part[3][b], np.take_along_axis(far, near, 1)[b, c])
+                more = np.flatnonzero((ok.sum(axis=1) > nearest) | (n > group))
+                none = pa.nulls(len(more), pa.int64())
+                yield number_batch(PAIRS, none, none, part[2][more], part[3][more], none)
+
+
+def _cut(part: pa.RecordBatch, column: str) -> tuple[np.ndarray, ...]:
+    """The bytes of the texts, where each line starts and ends, its row and number, and whether its place is in this list of its row."""
+    data, offsets = raw(part.column("text"))
+    ends = np.flatnonzero(data == 10)
+    row_ends = offsets[1:]
+    row = np.searchsorted(row_ends, ends, side="right")  # of the line that each line end ends
+    stop = np.concatenate((ends, row_ends))
+    row = np.concatenate((row, np.arange(len(row_ends))))
+    order = np.lexsort((stop, row))
+    stop, row = stop[order], row[order]
+    head = heads(row)
+    start = offsets[row]
+    start[~head] = stop[:-1][~head[1:]] + 1
+    begins = np.flatnonzero(head)
+    number = np.arange(len(row)) - begins[row]
+    lists = part.column(column)
+    flat = lists.flatten().to_numpy(zero_copy_only=False)
+    owner = np.repeat(np.arange(part.num_rows), pa.compute.fill_null(pa.compute.list_value_length(lists), 0).to_numpy(zero_copy_only=False))
+    mine = (flat >> 32) == part.column("tag").to_numpy(zero_copy_only=False)[owner]
+    listed = np.zeros(len(row), bool)
+    listed[begins[owner[mine]] + (flat[mine] & 0xFFFFFFFF)] = True
+    return data, start, stop, row, number, listed
 
 
 def _needed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The tokens of the lines that are listed."""
     for batch in batches:
         for part in slices(batch):
-            s = LineSets(part.column("text"))
-            k = np.flatnonzero(_listed(part, "places", s.row, s.line))
-            doc, place = _places(part, s.row[k], s.line[k])
-            size = s.size[k]
-            at = np.repeat(s.begin[k] - np.cumsum(size) + size, size) + np.arange(int(size.sum()))
-            cuts = np.concatenate(([0], np.cumsum(size))).astype(np.int32)
-            yield pa.record_batch([pa.array(doc), pa.array(place), pa.ListArray.from_arrays(pa.array(cuts), pa.array(signed(s.token[at])))], names=["doc_id", "place", "tokens"])
+            data, start, stop, row, number, listed = _cut(part, "places")
+            k = np.flatnonzero(listed)
+            size = stop[k] - start[k]
+            cuts = np.concatenate(([0], np.cumsum(size))).astype(np.int64)
+            chosen = data[np.repeat(start[k] - cuts[:-1], size) + np.arange(int(cuts[-1]))]
+            s = LineSets(pa.LargeStringArray.from_buffers(len(k), pa.py_buffer(cuts), pa.py_buffer(np.ascontiguousarray(chosen))))
+            doc, place = _places(part, row[k[s.row]], number[k[s.row]])
+            at = np.concatenate(([0], np.cumsum(s.size))).astype(np.int32)
+            yield pa.record_batch([pa.array(doc), pa.array(place), pa.ListArray.from_arrays(pa.array(at), pa.array(signed(s.token)))], names=["doc_id", "place", "tokens"])
+
+
+LINE = ["doc_id", "place"]
+
 
+def _tokens(named: DataFrame, lines: DataFrame) -> tuple[DataFrame, str]:
+    """doc_id, place and tokens of these lines, in a table of its own, and its path."""
+    lists = lines.groupBy("doc_id").agg(F.collect_set("place").alias("places"))
+    return written(named.join(lists, "doc_id").mapInArrow(_needed, "doc_id long, place long, tokens array<long>").dropDuplicates(LINE), "sets")
 
-def _verified(named: DataFrame, pairs: DataFrame, rate: Fraction) -> DataFrame:
-    """doc_id and place of each later line of the pairs whose similarity is high enough, in a table of its own."""
+
+def _verified(pairs: DataFrame, sets: DataFrame, rate: Fraction) -> DataFrame:
+    """doc_id and place of each later line of the pairs whose similarity is high enough."""
+    sides = (sets.select(F.col("doc_id").alias(f"{t}_doc"), F.col("place").alias(f"{t}_place"), F.col("tokens").alias(t)) for t in "ab")
+    for t, side in zip("ab", sides):
+        pairs = pairs.join(side, [f"{t}_doc", f"{t}_place"])
+    return pairs.filter(alike("a", "b", rate)).select(F.col("b_doc").alias("doc_id"), F.col("b_place").alias("place")).distinct()
+
+
+def _match_earlier(waiting: DataFrame, rows: DataFrame, sets: DataFrame, rate: Fraction) -> DataFrame:
+    """Which of the lines that wait match an earlier one of a key they are in, of all that its rows have.
+
+    A semi-join by key and by sizes that a match can have, so that no pairs are made; the filters come before the tokens.
+    """
     p, q = rate.as_integer_ratio()
-    pairs, path = written(pairs.select("a_doc", "a_place", "b_doc", "b_place").distinct(), "pairs")
-    ends = pairs.select(F.col("a_doc").alias("doc_id"), F.col("a_place").alias("place")).union(pairs.select("b_doc", "b_place"))
-    lists = ends.groupBy("doc_id").agg(F.collect_set("place").alias("places"))
-    sets, sets_path = written(named.join(lists, "doc_id").mapInArrow(_needed, "doc_id long, place long, tokens array<long>").dropDuplicates(["doc_id", "place"]), "sets")
-    a = sets.select(F.col("doc_id").alias("a_doc"), F.col("place").alias("a_place"), F.col("tokens").alias("a"))
-    b = sets.select(F.col("doc_id").alias("b_doc"), F.col("place").alias("b_place"), F.col("tokens").alias("b"))
-    common = F.size(F.array_intersect("a", "b"))
-    alike = pairs.join(a, ["a_doc", "a_place"]).join(b, ["b_doc", "b_place"]).filter((p + q) * common >= p * (F.size("a") + F.size("b")))
-    found, _ = written(alike.select(F.col("b_doc").alias("doc_id"), F.col("b_place").alias("place")).distinct(), "later")
-    for x in (path, sets_path):
-        removed(named.sparkSession, x)
-    return found
+    size, rank = (lambda t: F.shiftright(f"{t}.info", 16)), (lambda t: F.col(f"{t}.info").bitwiseAND(0xFFFF))
+    step = F.floor(F.log(F.shiftright("info", 16).cast("double")) / F.log(F.lit(q / p)))
+    rows = rows.withColumn("step", step).join(sets, LINE)
+    a, b = rows.alias("a"), rows.join(waiting, LINE, "left_semi").withColumn("step", F.explode(F.array(F.col("step") - 1, "step", F.col("step") + 1))).alias("b")
+    room = F.floor((q - p) * (size("a") + size("b")) / F.lit(q + p))
+    fits = (q * F.least(size("a"), size("b")) >= p * F.greatest(size("a"), size("b"))) & (F.greatest(rank("a"), rank("b")) <= room)
+    fits = fits & (F.bit_count(F.col("a.y").bitwiseXOR(F.col("b.y"))) <= room)
+    earlier = F.struct("a.doc_id", "a.place") < F.struct("b.doc_id", "b.place")
+    met = (F.col("a.key") == F.col("b.key")) & (F.col("a.step") == F.col("b.step"))
+    return b.join(a, met & earlier & fits & alike("a.tokens", "b.tokens", rate), "left_semi").select(*LINE).distinct()
+
+
+def _gone(named: DataFrame, rate: Fraction) -> DataFrame:
+    """doc_id and the places of its lines that go, in a table of its own."""
+    spark, paths = named.sparkSession, []
+    coded = named.mapInArrow(_counts, "part int, bucket binary, n binary").repartition("part").sortWithinPartitions("part").mapInArrow(_codes, "part int, codes binary")
+    order, shift = np.zeros(1 << BUCKET_BITS, np.uint8), 0
+    for row in coded.collect():  # 2**(BUCKET_BITS - PART_BITS) rows of 2**PART_BITS bytes
+        if row["part"] < 0:
+            shift = row["codes"][0]
+        else:
+            order[row["part"] << PART_BITS : (row["part"] + 1) << PART_BITS] = np.frombuffer(row["codes"], np.uint8)
+    shared = spark.sparkContext.broadcast((order, shift))
+    keys = named.mapInArrow(lambda it: _keys(it, shared, rate), KEYS).repartition("key").sortWithinPartitions("key")
+    found, path = written(keys.mapInArrow(lambda it, group=GROUP: _candidates(it, rate, group), FOUND), "candidates")
+    paths.append(path)
+    lines = found.filter("kind = 0").select("x", "y", "doc_id", "place")
+    firsts, path = written(lines.groupBy("x", "y").agg(F.min(F.struct("doc_id", "place")).alias("f")).select("x", "y", F.col("f.doc_id").alias("doc_id"), F.col("f.place").alias("place")), "firsts")
+    paths.append(path)
+    one = lambda t, c: firsts.select(F.col("x").alias(c), F.struct(*LINE).alias(t))
+    pairs = found.filter("kind = 1").select("x", "y", F.col("place").alias("far")).distinct().join(one("f", "x"), "x").join(one("g", "y"), "y")
+    pairs = pairs.select(F.least("f", "g").alias("a"), F.greatest("f", "g").alias("b"), "far").filter("a < b")
+    pairs = pairs.select(F.col("a.doc_id").alias("a_doc"), F.col("a.place").alias("a_place"), F.col("b.doc_id").alias("b_doc"), F.col("b.place").alias("b_place"), "far")
+    large = found.filter("kind = 2").select("key", "x", "y", F.col("place").alias("info"))
+    large, path = written(large.distinct().join(firsts.select("x", *LINE), "x").select("key", "y", "info", *LINE), "large")
+    paths.append(path)
+    stars, path = written(large.repartition("key").sortWithinPartitions("key", *LINE).mapInArrow(lambda it, group=GROUP, nearest=NEAREST: _stars(it, rate, group, nearest), PAIRS), "stars")
+    paths.append(path)
+    pairs, path = written(pairs.union(stars.filter("a_doc is not null")).distinct(), "pairs")
+    paths.append(path)
+    ends = [t.select(F.col(d).alias("doc_id"), F.col(p).alias("place")) for t, d, p in ((pairs, "a_doc", "a_place"), (pairs, "b_doc", "b_place"), (large, "doc_id", "place"))]
+    sets, path = _tokens(named, ends[0].union(ends[1]).union(ends[2]))
+    paths.append(path)
+    # the nearest earlier line first; of those that it doesn't settle, all; last, those that have more in a key of many
+    nearest = pairs.groupBy("b_doc", "b_place").agg(F.min(F.struct("far", "a_doc", "a_place")).alias("n")).select("n.a_doc", "n.a_place", "b_doc", "b_place")
+    similar, path = written(_verified(nearest, sets, rate), "later")
+    paths.append(path)
+    settled = similar.select(F.col("doc_id").alias("b_doc"), F.col("place").alias("b_place"))
+    others, path = written(_verified(pairs.join(settled, ["b_doc", "b_place"], "left_anti"), sets, rate), "later")
+    paths.append(path)
+    similar = similar.union(others)
+    waiting = stars.filter("a_doc is null").select(F.col("b_doc").alias("doc_id"), F.col("b_place").alias("place")).distinct().join(similar, LINE, "left_anti")
+    similar = similar.union(_match_earlier(waiting, large, sets, rate))
+    same = lines.join(firsts.select("x", "y", F.struct("doc_id", "place").alias("f")), ["x", "y"]).filter(F.struct("doc_id", "place") > F.col("f")).select("doc_id", "place")
+    gone, _ = written(same.union(similar).groupBy("doc_id").agg(F.collect_set("place").alias("places")), "gone")
+    for path in paths:
+        removed(spark, path)
+    shared.unpersist()
+    return gone
 
 
 def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The columns that are there, and n_lines, n_removed and kept_text."""
     for batch in batches:
         for part in slices(batch):
-            s = LineSets(part.column("text"))
-            gone = _listed(part, "gone", s.row, s.line) | _local_repeats(s, s.ids())
-            by_row: dict[int, set[int]] = {}
-            for r, n in zip(s.row[gone].tolist(), s.line[gone].tolist()):
-                by_row.setdefault(r, set()).add(n)
-            data, offsets = raw(part.column("text"))
-            data, offsets = memoryview(data), offsets.tolist()
-            valid = part.column("text").is_valid().to_pylist()
-            texts, n_lines, n_gone = [], [], []
-            for i in range(part.num_rows):
-                text = bytes(data[offsets[i] : offsets[i + 1]])
-                drop = by_row.get(i)
-                n_lines.append(text.count(b"\n") + 1 if valid[i] else 0)
-                n_gone.append(len(drop or ()))
-                if drop:
-                    text = b"\n".join(x for j, x in enumerate(text.split(b"\n")) if j not in drop)
-                texts.append(text if valid[i] else None)
-            yield pa.record_batch([part.column("doc_id"), part.column("tag"), pa.array(n_lines, pa.int64()), pa.array(n_gone, pa.int64()), pa.array(texts, pa.binary()).cast(pa.string())], names=["doc_id", "tag", "n_lines", "n_removed", "kept_text"])
-
-
-KEPT = "doc_id long, tag int, n_lines long, n_removed long, kept_text string"
+            data, start, stop, row, _, listed = _cut(part, "_gone_places")
+            valid = part.column("text").is_valid()
+            stay = np.flatnonzero(~listed)
+            more = np.zeros(len(stay), bool)  # another line of its row stays after it
+            more[:-1] = row[stay[1:]] == row[stay[:-1]]
+            until = stop[stay] + more
+            edge = np.zeros(len(data) + 1, np.int8)
+            np.add.at(edge, start[stay], 1)
+            np.add.at(edge, until, -1)
+            text = data[np.cumsum(edge[:-1]) > 0]
+            size = np.bincount(row[stay], weights=until - start[stay], minlength=part.num_rows).astype(np.int64)
+            cuts = np.concatenate(([0], np.cumsum(size))).astype(np.int64)
+            kept = pa.LargeStringArray.from_buffers(part.num_rows, pa.py_buffer(cuts), pa.py_buffer(np.ascontiguousarray(text)))
+            kept = pa.compute.if_else(valid, kept, pa.scalar(None, pa.large_string())).cast(pa.string())
+            lines = np.bincount(row, minlength=part.num_rows) * valid.to_numpy(zero_copy_only=False)
+            columns = [(n, c) for n, c in zip(part.schema.names, part.columns) if n not in ("tag", "_gone_places")]
+            new = [("n_lines", pa.array(lines, pa.int64())), ("n_removed", pa.array(np.bincount(row, weights=listed, minlength=part.num_rows).astype(np.int64))), ("kept_text", kept)]
+            yield pa.RecordBatch.from_arrays([c for _, c in columns + new], names=[n for n, _ in columns + new])
+
+
+def _without(docs: DataFrame, similarity: float) -> DataFrame:
+    """docs (with any columns but tag, n_lines, n_removed and kept_text) with n_lines, n_removed and kept_text."""
+    rate = Fraction(str(similarity))
+    if not Fraction(3, 4) <= rate < 1:
+        raise ValueError("similarity is 0.75 at least and below 1")
+    tagged = docs.withColumn("tag", F.coalesce(F.hash("text"), F.lit(0)))
+    gone = _gone(tagged.filter("doc_id is not null").select("doc_id", "text", "tag"), rate)
+    gone = gone.select(F.col("doc_id").alias("_gone_doc"), F.col("places").alias("_gone_places"))
+    rows = tagged.join(gone, F.col("doc_id") == F.col("_gone_doc"), "left").drop("_gone_doc").withColumn("_gone_places", F.coalesce("_gone_places", F.array().cast("array<bigint>")))
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+    return rows.mapInArrow(_kept, f"{kinds}, n_lines long, n_removed long, kept_text string")
 
 
 def remove_similar_lines(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
-    """doc_id, tag (a hash of the text), n_lines, n_removed and kept_text of every row of docs.
+    """doc_id, n_lines, n_removed and kept_text of every row of docs.
 
     A line is the set of its tokens (words, A-Z in lower case).  It is removed if an earlier line, by doc_id and
     then place, has a Jaccard similarity of at least `similarity` with it, judged on the input; blank lines stay.
     kept_text: the other lines, with line ends between.
 
-    1. Equal sets by hash: every line of another than the smallest doc_id is removed (an aggregate and a join).
-    2. Of each other set, tokens in order of rarity (counted over all documents, in a fixed number of
-       buckets; any order is right, a good one is fast); the prefix's tokens are its keys.  A token that
-       occurs once is no key.  Sets of few tokens have combinations of TUPLE tokens of a prefix longer by as much as
-       keys, since one of their tokens may be in very many lines.
-    3. Rows of one key pass the length and positional filters, and a bound on how many tokens differ (from 64 parity
-       bits of each set), and become pairs.  Of a key with more than GROUP
-       rows each is paired with the first alone; only those that match nothing so far are then compared
-       with all earlier ones of their keys, as a join that skew handling can split.
+    1. Tokens are counted over all documents, in a fixed number of buckets.
+    2. Each set emits the rarest of its composite tokens as keys (the prefix; see Rule), rarity being that of the
+       tokens together.  A composite with a token that occurs once is no key.  Every line emits its set's id, which
+       is aggregated to the first line of each set; lines of equal sets (by 128 bits) go but for the first.
+    3. Sets that share a key pass the length and positional filters, and a bound on how many tokens differ (from 64
+       parity bits of each set), and become pairs.  Of a key with more than GROUP sets each line is compared with the
+       first GROUP ones, and the nearest become pairs; those that match none of these, and may match others, are
+       compared with all earlier lines of the key, in a join by key and size that skew handling can split.
     4. Pairs are verified on all tokens, by 64-bit hashes.
 
     A null text stays null and has no lines.  A row without a doc_id is returned as it is.  Rows that repeat a
     doc_id are ordered by a hash of their texts; of rows with the same text too, each keeps the same lines.
-    Empty docs: an empty result.
+    Empty docs: an empty result.  Other columns of docs are not read.
     """
-    rate = Fraction(str(similarity))
-    if not Fraction(3, 4) <= rate < 1:  # so that different sets that match share TUPLE tokens at least
-        raise ValueError("similarity is 0.75 at least and below 1")
-    spark = docs.sparkSession
-    rows = docs.select("doc_id", "text", F.coalesce(F.hash("text"), F.lit(0)).alias("tag"))
-    named = rows.filter("doc_id is not null")
-    sets, sets_path = written(named.mapInArrow(_sets, "set_id long, doc_id long, place long, bucket int, n long"), "line-sets")
-    counts = sets.filter("bucket is not null").groupBy("bucket").agg(F.sum("n").alias("n"))
-    blobs = counts.groupBy(F.shiftright("bucket", 16).alias("part")).applyInArrow(_codes, "part int, codes binary")
-    order = np.zeros(1 << BUCKET_BITS, np.uint8)
-    for row in blobs.collect():  # 2**(BUCKET_BITS - 16) rows of 64 KB
-        order[row["part"] << 16 : (row["part"] + 1) << 16] = np.frombuffer(row["codes"], np.uint8)
-    shared = spark.sparkContext.broadcast(order)
-    lines = sets.filter("set_id is not null").select("set_id", "doc_id", "place")
-    firsts = lines.groupBy("set_id").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).filter("least < most").select("set_id", "least")
-    equal, _ = written(lines.join(firsts, "set_id").filter("doc_id > least").select("doc_id", "place"), "equal")
-    removed(spark, sets_path)
-    gone = equal.groupBy("doc_id").agg(F.collect_list("place").alias("gone"))
-    none = F.array().cast("array<bigint>")
-    keys = named.join(gone, "doc_id", "left").withColumn("gone", F.coalesce("gone", none)).mapInArrow(lambda it: _keys(it, shared, rate), KEYS)
-    sorted_keys = keys.repartition("key").sortWithinPartitions("key", "doc_id", "place")
-    found, found_path = written(sorted_keys.mapInArrow(lambda it: _candidates(it, rate), CANDIDATES), "candidates")
-    similar = _verified(named, found.filter("a_doc is not null"), rate)
-    large = found.filter("key is not null").select("key", F.col("b_doc").alias("doc_id"), F.col("b_place").alias("place"), "size", "pos", "parity")
-    later = large.join(similar, ["doc_id", "place"], "left_anti")
-    if not later.isEmpty():
-        later, _ = written(later, "unmatched")
-        p, q = rate.as_integer_ratio()
-        a, b = large.alias("a"), later.alias("b")
-        ordered = F.struct("a.doc_id", "a.place") < F.struct("b.doc_id", "b.place")
-        sizes = (q * F.least("a.size", "b.size") >= p * F.greatest("a.size", "b.size")) & ((F.col("a.pos") < 0) | ((p + q) * F.least(F.col("a.size") - F.col("a.pos"), F.col("b.size") - F.col("b.pos")) >= p * (F.col("a.size") + F.col("b.size"))))
-        sizes = sizes & ((p + q) * F.bit_count(F.col("a.parity").bitwiseXOR(F.col("b.parity"))) <= (q - p) * (F.col("a.size") + F.col("b.size")))
-        pairs = a.join(b, (F.col("a.key") == F.col("b.key")) & ordered & sizes).select(F.col("a.doc_id").alias("a_doc"), F.col("a.place").alias("a_place"), F.col("b.doc_id").alias("b_doc"), F.col("b.place").alias("b_place"))
-        similar = similar.union(_verified(named, pairs, rate))
-    removed(spark, found_path)
-    gone = equal.union(similar).groupBy("doc_id").agg(F.collect_list("place").alias("gone"))
-    done = named.join(gone, "doc_id", "left").withColumn("gone", F.coalesce("gone", none)).mapInArrow(_kept, KEPT)
-    return done.union(_unnamed(rows))
-
-
-def _unnamed(rows: DataFrame) -> DataFrame:
-    lines = F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n"))).cast("long")
-    return rows.filter("doc_id is null").select("doc_id", "tag", lines.alias("n_lines"), F.lit(0).cast("long").alias("n_removed"), F.col("text").alias("kept_text"))
+    return _without(docs.select("doc_id", "text"), similarity).select("doc_id", "n_lines", "n_removed", "kept_text")
 
 
 def without_similar_lines(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
     """docs (columns of documents) with the text that is kept and n_chars to match; those left without a word are dropped.
 
-    A document that had no word to begin with stays.
+    A document that had no word to begin with stays, and so do rows without a doc_id or text.  See remove_similar_lines().
     """
-    found = remove_similar_lines(docs, similarity).filter("n_removed > 0").select(F.col("doc_id").alias("k_id"), F.col("tag").alias("k_tag"), "kept_text").dropDuplicates(["k_id", "k_tag"])
-    rows = docs.withColumn("_tag", F.coalesce(F.hash("text"), F.lit(0)))
-    joined = rows.join(found, (F.col("doc_id") == F.col("k_id")) & (F.col("_tag") == F.col("k_tag")), "left")
-    joined = joined.filter(F.col("kept_text").isNull() | F.col("kept_text").rlike(r"[^\x20\x09-\x0D]"))
-    new = {"text": F.coalesce("kept_text", "text"), "n_chars": F.when(F.col("kept_text").isNull(), F.col("n_chars")).otherwise(F.length("kept_text").cast("long"))}
-    return joined.select(*(new[c].alias(c) if c in new else F.col(c) for c in docs.columns))
+    extra = {c: f"_own_{c}" for c in ("tag", "n_lines", "n_removed", "kept_text") if c in docs.columns}
+    found = _without(docs.withColumnsRenamed(extra), similarity).withColumn("_changed", F.col("n_removed") > 0)
+    found = found.filter(~F.col("_changed") | F.col("kept_text").rlike(r"[^\x20\x09-\x0D]"))
+    new = {"text": F.col("kept_text"), "n_chars": F.when(F.col("_changed"), F.length("kept_text").cast("long")).otherwise(F.col("n_chars"))}
+    return found.select(*(new[c].alias(c) if c in new else F.col(extra.get(c, c)).alias(c) for c in docs.columns))

@@ -41,6 +41,7 @@ def kept(key: object, make):
 def release() -> None:
     """Let go of what kept() holds, before an operator that needs the room, and give free memory back."""
     worker_cache().pop("kept", None)
+    pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):  # where the C library has no such call
         ctypes.CDLL(None).malloc_trim(0)
 
@@ -163,6 +164,34 @@ class RunHash:
         return mix((self.sums[end] - self.sums[start]) * self.down[start] + (end - start).astype(np.uint64))
 
 
+def heads(x: np.ndarray) -> np.ndarray:
+    """Where a value begins that the item before doesn't have."""
+    head = np.ones(len(x), bool)
+    head[1:] = x[1:] != x[:-1]
+    return head
+
+
+def grouped_order(group: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """The order by group (sorted already) and value (64 bits): as one number, as far as its bits go, and by all where they don't tell."""
+    if not len(group):
+        return np.zeros(0, np.int64)
+    bits = int(group[-1]).bit_length()
+    key = (group.astype(np.uint64) << np.uint64(64 - bits)) | (value >> np.uint64(bits)) if bits else value
+    order = np.argsort(key)
+    key, value = key[order], value[order]
+    if bits and bool(((key[1:] == key[:-1]) & (value[1:] != value[:-1])).any()):
+        order = order[np.lexsort((value, group[order]))]
+    return order
+
+
+def number_batch(schema: str, *columns) -> pa.RecordBatch:
+    """Columns of numbers (or Arrow arrays) as a batch of this schema of ints and longs."""
+    kinds = {"int": pa.int32(), "long": pa.int64()}
+    fields = [x.split() for x in schema.split(", ")]
+    arrays = [c if isinstance(c, pa.Array) else pa.array(signed(c) if c.dtype == np.uint64 else c, kinds[k]) for c, (_, k) in zip(columns, fields)]
+    return pa.record_batch(arrays, names=[n for n, _ in fields])
+
+
 def signed(x: np.ndarray) -> np.ndarray:
     """The same 64 bits as a signed number, which is what Spark's long holds."""
     return x.view(np.int64)

@@ -2,6 +2,10 @@
 
 import random
 import re
+from fractions import Fraction
+
+import numpy as np
+import pyarrow as pa
 
 from fieldloom.llm import lines
 
@@ -59,10 +63,43 @@ def test_as_all_lines_compared(spark):
 
 def test_keys_with_many_rows(spark, monkeypatch):
     monkeypatch.setattr(lines, "GROUP", 3)
-    rows = made(3)
+    for nearest in (1, 2):
+        monkeypatch.setattr(lines, "NEAREST", nearest)
+        rows = made(3)
+        assert {r["doc_id"]: r["kept_text"] for r in run(spark, rows)} == brute(rows)
+
+
+def test_a_large_group_of_lines_that_are_alike(spark):
+    rng = random.Random(9)
+    base = [f"w{i}" for i in range(30)]
+    rows = []
+    for d in range(400):  # up to six words changed, so that some match the first, some others only, some none
+        line = list(base)
+        for i in rng.sample(range(30), rng.randint(0, 6)):
+            line[i] = f"x{rng.randrange(60)}"
+        rows.append((d, " ".join(line) + "\nsame line here of five\n" + " ".join(line[:4])))
     assert {r["doc_id"]: r["kept_text"] for r in run(spark, rows)} == brute(rows)
 
 
+def test_every_match_shares_a_key():
+    """Pairs at the bound, of all sizes: their rarest composites meet, whatever the counts of tokens."""
+    rng = random.Random(4)
+    order = np.array([rng.choice([2, 30, 90, 200]) for _ in range(1 << 12)] * (1 << 10), np.uint8)
+    for rate in (Fraction(4, 5), Fraction(3, 4), Fraction(9, 10)):
+        rule = lines.Rule(rate)
+        for size in [*range(1, 130), 400, 1500]:
+            common = [f"c{size}x{rng.random()}" for _ in range(size)]
+            left = int((1 - rate) / rate * size)
+            only = rng.randint(0, left)
+            a, b = common + [f"a{i}" for i in range(only)], common + [f"b{i}" for i in range(left - only)]
+            s = lines.LineSets(pa.array([" ".join(a), " ".join(b)]))
+            found = [set(), set()]
+            for sets, key, rank in rule.keys(s, np.ones(2, bool), order, 100):
+                for i, k in zip(sets.tolist(), key.tolist()):
+                    found[i].add(k)
+            assert set(a) == set(b) or found[0] & found[1]
+
+
 def test_edges(spark):
     rows = [(None, "a b c d e"), (None, None), (5, "x y\n\nx y"), (5, "x y\n\nx y"), (6, "long " * 20000 + "\nx y")]
     got = run(spark, rows)
