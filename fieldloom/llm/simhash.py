@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -11,8 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .graph import components
-from .shared import written
-from .words import raw, release, slices
+from .shared import alike, removed, written
+from .words import BASE, RunHash, Words, grouped_order, heads, mix, number_batch, raw, release, signed, slices
 
 BITS = 64
 
@@ -56,20 +58,68 @@ def fingerprints(docs: DataFrame, shingle: int = 3, seed: int = 42) -> DataFrame
     return docs.select("doc_id", "text").mapInArrow(lambda it: _fingerprints(it, shingle, seed), "doc_id long, fp long")
 
 
+def _partitions(df: DataFrame, *by: str) -> DataFrame:
+    """df dealt by these columns to as many partitions as shuffles have: small tables, of which each row becomes many."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *by)
+
+
+VARIANTS = "key long, node long"
+
+
+def _variants(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+    """From node and its fingerprints: each part of `width` bits, as it is and with one bit flipped, as a key.
+
+    Of one part of all 64 bits the key is the variant itself; of several, a hash of its number and the variant.
+    """
+    flips = np.concatenate((np.zeros(1, np.uint64), np.uint64(1) << np.arange(width, dtype=np.uint64)))
+    for batch in batches:
+        node = batch.column(0).to_numpy()
+        prints = np.stack([c.to_numpy().view(np.uint64) for c in batch.columns[1:]], axis=1)
+        many = BITS // width
+        parts = np.stack([(prints >> np.uint64(width * i)) & np.uint64((1 << width) - 1) for i in range(many)], axis=2).reshape(len(node), -1)
+        for i in range(0, len(node), 1 << 11):
+            v = parts[i : i + (1 << 11), :, None] ^ flips
+            if v.shape[1] > 1:
+                v = mix(v + (np.arange(v.shape[1], dtype=np.uint64) << np.uint64(width))[:, None])
+            yield number_batch(VARIANTS, v.ravel(), np.repeat(node[i : i + (1 << 11)], v.shape[1] * v.shape[2]))
+
+
+def _met(batches: Iterator[pa.RecordBatch], chain: bool) -> Iterator[pa.RecordBatch]:
+    """From rows sorted by key and node: each node of a key with the key's first, and (chain) with the one before; each pair once a batch."""
+    key_now, first, last = None, None, None
+    for batch in batches:
+        key, node = (c.to_numpy() for c in batch.columns)
+        if not len(key):
+            continue
+        new = heads(key)
+        new[0] = key[0] != key_now
+        run = np.cumsum(new)
+        start = np.concatenate(([first if first is not None else 0], node[new]))[run]
+        before = np.concatenate(([last if last is not None else 0], node[:-1]))
+        key_now, first, last = key[-1], start[-1], node[-1]
+        sides = [(start[~new], node[~new])] + ([(before[~new], node[~new])] if chain else [])
+        a, b = (np.concatenate(x) for x in zip(*sides))
+        a, b = np.minimum(a, b), np.maximum(a, b)
+        a, b = a[a != b], b[a != b]
+        order = np.lexsort((b, a))
+        order = order[heads(a[order]) | heads(b[order])]
+        yield number_batch("a long, b long", a[order], b[order])
+
+
 def links(prints: DataFrame, radius: int = 2) -> DataFrame:
-    """Pairs of different fingerprints (column fp, distinct) that connect all within the radius.
+    """Pairs (a, b) of different fingerprints (column fp, distinct) that connect all within the radius: 0 or 2.
 
     Every fingerprint emits all variants within half the radius, so two within the radius meet at a variant.
     Those that meet at one variant are all within the radius of one another; at most 1 + 64 different
-    ones can (radius 2), so that no group grows with the data, and linking each to the smallest keeps
-    every connection.  The distance of each pair is verified.
+    ones can, so that no group grows with the data, and linking each to the first keeps
+    every connection.  The distance of each pair is verified.  (An odd radius has no such middle.)
     """
-    if radius not in (0, 1, 2):
-        raise ValueError("radius is 0, 1 or 2")
-    balls = [0] if radius == 0 else [0, *((1 << i) - (1 << 64 if i == 63 else 0) for i in range(BITS))]
-    variants = prints.select("fp", F.explode(F.transform(F.array(*(F.lit(x).cast("long") for x in balls)), lambda m: F.col("fp").bitwiseXOR(m))).alias("variant"))
-    groups = variants.groupBy("variant").agg(F.min("fp").alias("a"), F.max("fp").alias("z")).filter("a < z").select("variant", "a")
-    pairs = variants.join(groups, "variant").filter("fp > a").select("a", F.col("fp").alias("b")).distinct()
+    if radius not in (0, 2):
+        raise ValueError("radius is 0 or 2")
+    if radius == 0:  # equal fingerprints are one row
+        return prints.select(F.col("fp").alias("a"), F.col("fp").alias("b")).limit(0)
+    variants = _partitions(prints.select("fp", F.col("fp").alias("bits")), "fp").mapInArrow(lambda it: _variants(it, BITS), VARIANTS)
+    pairs = variants.repartition("key").sortWithinPartitions("key", "node").mapInArrow(lambda it: _met(it, False), "a long, b long").distinct()
     return pairs.filter(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius)
 
 
@@ -89,11 +139,114 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, seed: int = 42, radius: i
     return found.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
-def one_of_each(docs: DataFrame, **options) -> DataFrame:
-    """docs, with one document of each component: the one with the smallest doc_id.
+class ShingleSets:
+    """The word shingles (A-Z in lower case) of each row of a text column as sets of hashes, row by row and sorted.
+
+    Fewer words than a shingle make one shingle; no words make none.
+    """
+
+    def __init__(self, column: pa.Array, shingle: int):
+        w = Words(column, lower=True)
+        runs = RunHash(w.hash)
+        many = np.where(w.counts == 0, 0, np.maximum(w.counts - shingle + 1, 1))
+        row = np.repeat(np.arange(len(many)), many)
+        start = w.first[:-1][row] + np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)
+        h = runs.of(start, start + np.minimum(shingle, w.counts[row]))
+        order = grouped_order(row, h)
+        h, row = h[order], row[order]
+        once = heads(h) | heads(row)
+        self.hash, self.row = h[once], row[once]
+        self.size = np.bincount(self.row, minlength=len(many))
+
+    def _sum(self, items: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(self.size), np.uint64)
+        some = np.flatnonzero(self.size)
+        if len(some):
+            out[some] = np.add.reduceat(items, (np.cumsum(self.size) - self.size)[some])
+        return out
+
+    def ids(self) -> tuple[np.ndarray, np.ndarray]:
+        """Two hashes of each set."""
+        return tuple(mix(self._sum(mix(self.hash + np.uint64(salt))) + self.size.astype(np.uint64)) for salt in (1, 1 << 40))
+
+    def print(self, number: int) -> np.ndarray:
+        """One of several fingerprints of 64 bits: a bit is 1 if over half the set's hashes, mixed for this number, have it."""
+        counts = np.zeros((len(self.size), BITS), np.int64)
+        for i in range(0, len(self.hash), 1 << 16):
+            h, row = mix(self.hash[i : i + (1 << 16)] + np.uint64((2 * number + 1) * BASE & (1 << 64) - 1)), self.row[i : i + (1 << 16)]
+            begins = np.flatnonzero(heads(row))
+            counts[row[begins]] += np.add.reduceat(np.unpackbits(h.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1), begins, axis=0, dtype=np.int32)
+        return np.packbits(2 * counts > self.size[:, None], axis=1).view(">u8").ravel().astype(np.uint64)
+
+
+#: Fingerprints of 64 bits of a set, and the bits of a part that two sets meet at.
+PRINTS, PART = 4, 32
+SETS = "doc_id long, tag long, node long, other long, " + ", ".join(f"p{i} long" for i in range(PRINTS))
+
+
+def _sets(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
+    release()
+    for batch in batches:
+        for part in slices(batch):
+            s = ShingleSets(part.column("text"), shingle)
+            yield number_batch(SETS, part.column("doc_id"), part.column("tag"), *s.ids(), *(s.print(i) for i in range(PRINTS)))
+
+
+def _shingles(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part in slices(batch, limit=1 << 20):
+            s = ShingleSets(part.column("text"), shingle)
+            cuts = np.concatenate(([0], np.cumsum(s.size))).astype(np.int32)
+            yield pa.record_batch([pa.array(signed(s.ids()[0])), pa.ListArray.from_arrays(pa.array(cuts), pa.array(signed(s.hash)))], names=["node", "shingles"])
+
+
+def farthest(similarity: float, bits: int = PRINTS * BITS) -> int:
+    """Bits in which fingerprints of two sets of one size with this Jaccard similarity differ at most, but for one pair in thirty thousand."""
+    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    return int(bits * (share + 4 * math.sqrt(share * (1 - share) / bits)))
 
-    Rows that repeat that doc_id all stay, as rows without a doc_id do.
+
+def similar_sets(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> tuple[DataFrame, DataFrame]:
+    """The shingle sets of docs' rows (SETS; doc_id, text and tag are read), and pairs (a, b) of nodes of sets that are similar.
+
+    Of each set PRINTS fingerprints are cut into parts of PART bits; each part emits all its variants within one bit,
+    so that two sets meet if some part of theirs differs in two bits at most.  Sets that meet are linked to the
+    first at the variant and to the one before; each pair is verified, by the whole fingerprints and then by the
+    Jaccard similarity of all shingles.
+    """
+    sets, _ = written(docs.select("doc_id", "tag", "text").mapInArrow(lambda it: _sets(it, shingle), SETS), "sets")
+    prints = [f"p{i}" for i in range(PRINTS)]
+    once = sets.groupBy("node").agg(F.min("doc_id").alias("least"), *(F.first(p).alias(p) for p in prints))
+    variants = _partitions(once.select("node", *prints), "node").mapInArrow(lambda it: _variants(it, PART), VARIANTS)
+    pairs, path = written(variants.repartition("key").sortWithinPartitions("key", "node").mapInArrow(lambda it: _met(it, True), "a long, b long").distinct(), "pairs")
+    sides = [once.select(F.col("node").alias(c), F.col("least").alias(f"{c}_least"), *(F.col(p).alias(f"{c}_{p}") for p in prints)) for c in "ab"]
+    far = sum((F.bit_count(F.col(f"a_{p}").bitwiseXOR(F.col(f"b_{p}"))) for p in prints), F.lit(0))
+    near, near_path = written(pairs.join(sides[0], "a").join(sides[1], "b").filter(far <= farthest(similarity)).select("a", "b", "a_least", "b_least"), "near")
+    wanted = near.select(F.col("a_least").alias("doc_id")).union(near.select("b_least")).distinct()
+    lists, lists_path = written(docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi").mapInArrow(lambda it: _shingles(it, shingle), "node long, shingles array<long>").dropDuplicates(["node"]), "shingles")
+    a, b = (lists.select(F.col("node").alias(c), F.col("shingles").alias(f"{c}_set")) for c in "ab")
+    found, _ = written(near.join(a, "a").join(b, "b").filter(alike("a_set", "b_set", Fraction(str(similarity)))).select("a", "b"), "links")
+    for x in (path, near_path, lists_path):
+        removed(docs.sparkSession, x)
+    return sets, found
+
+
+def one_of_each(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
+    """docs, with one document of each group of near-duplicates: the one with the smallest doc_id.
+
+    Near-duplicates: texts whose word shingles have a Jaccard similarity of `similarity` at least, as far as their
+    fingerprints meet (see similar_sets(); every link is verified), and whatever is connected by such links.  Texts
+    without words are copies of one another.  Rows that repeat the smallest doc_id of a group all stay, as rows
+    without a doc_id do; of rows that repeat another doc_id only those with a text of the group go.
+    Empty docs: an empty result.
     """
-    found = near_duplicates(docs, **options)
-    drop = found.filter("doc_id != component_id").select("doc_id").distinct()
-    return docs.join(drop, "doc_id", "left_anti").select(*docs.columns)
+    extra = {"_near_tag"} & set(docs.columns)
+    if extra:
+        raise ValueError("a column has the name _near_tag")
+    named = docs.withColumn("_near_tag", F.coalesce(F.xxhash64("text"), F.lit(0)))
+    sets, found = similar_sets(named.filter("doc_id is not null").select("doc_id", "text", F.col("_near_tag").alias("tag")), shingle, similarity)
+    roots = components(found)
+    rooted = sets.select("doc_id", "tag", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    least = rooted.groupBy("root").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).filter("least < most").select("root", "least")
+    drop = rooted.join(least, "root").filter("doc_id > least").select("doc_id", F.col("tag").alias("_near_tag")).distinct()
+    return named.join(drop, ["doc_id", "_near_tag"], "left_anti").select(*docs.columns)
