@@ -13,6 +13,7 @@ NUMBERS = "zero two three four five six seven eight nine ten eleven twelve twent
 #: What separates words, the marks taken off a word's ends, and ends of sentences.
 SPACE = r"[\x20\x09-\x0D]+"
 EDGES = r"^[!-/:-@\[-`{-~]+|[!-/:-@\[-`{-~]+$"
+MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 SENTENCE_END = r"[.!?:][\x22\x27)\]]*$"
 FIGURE = r"^[0-9][0-9.,:/]*$"
 MEASURE = rf"^[0-9][0-9.,:/]*({'|'.join(UNITS)})$"
@@ -20,66 +21,86 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def words(text: Column) -> Column:
-    return F.filter(F.split(F.coalesce(text, F.lit("")), SPACE), lambda w: w != "")
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACE), "")
 
 
 def cores(raw: Column) -> Column:
     """The words without marks at their ends."""
-    return F.transform(raw, lambda w: F.regexp_replace(w, EDGES, ""))
+    return F.transform(raw, lambda w: F.btrim(w, F.lit(MARKS)))
 
 
-def template(raw: Column, core: Column) -> Column:
-    """Each word in lower case (A-Z), or a placeholder of its type.
+def small(word: Column) -> Column:
+    """The word with A-Z in lower case."""
+    return F.when(F.length(word) == F.octet_length(word), F.lower(word)).otherwise(F.translate(word, UPPER, LOWER))
+
+
+def capital(word: Column) -> Column:
+    """Whether the word starts with A-Z."""
+    return (F.ascii(word) <= ord("Z")) & (F.ascii(word) >= ord("A"))
+
+
+def template(raw: Column, core: Column, low: Column) -> Column:
+    """Each word in lower case (A-Z; low), or a placeholder of its type.
 
     <num>: figures and number words.  <unit>: a unit of measure; <num><unit>: both in one word.  <name>: a word that
-    starts with A-Z but no sentence (the first word, or one after . ! ? or :).
+    starts with A-Z but no sentence (the first word, or one after . ! ? or :).  Few steps for a word that starts with
+    a small letter, which most do.
     """
 
     def typed(c: Column, i: Column) -> Column:
-        first, small = F.substring(c, 1, 1), F.translate(c, UPPER, LOWER)
-        figure = F.when(c.rlike(FIGURE), "<num>").when(small.rlike(MEASURE), "<num><unit>").otherwise(small)
-        capital = F.when((i > 0) & ~F.get(raw, i - 1).rlike(SENTENCE_END), "<name>").otherwise(small)
-        known = F.when(small.isin(NUMBERS), "<num>").when(small.isin(UNITS), "<unit>").otherwise(small)
-        return F.when(first.between("0", "9"), figure).when(first.between("A", "Z"), capital).otherwise(known)
+        word = F.get(low, i)
+        figure = F.when(c.rlike(FIGURE), "<num>").when(word.rlike(MEASURE), "<num><unit>").otherwise(word)
+        named = F.when((i > 0) & ~F.get(raw, i - 1).rlike(SENTENCE_END), "<name>").otherwise(word)
+        known = F.when(word.isin(NUMBERS + UNITS), F.when(word.isin(NUMBERS), "<num>").otherwise("<unit>")).otherwise(word)
+        return F.when(F.ascii(c) > ord("Z"), known).when(capital(c), named).when(F.ascii(c).between(ord("0"), ord("9")), figure).otherwise(known)
 
     return F.transform(core, typed)
 
 
-def wide(core: Column, t: Column) -> Column:
-    """The template t, with words that start a sentence typed too if they start with A-Z: <num>, <unit> or <name>."""
+def starts(core: Column, t: Column) -> Column:
+    """For each word, null; for one that starts a sentence and with A-Z, its type: <num>, <unit> or <name>."""
 
     def typed(c: Column, i: Column) -> Column:
         own = F.get(t, i)
         kind = F.when(own.isin(NUMBERS), "<num>").when(own.isin(UNITS), "<unit>").otherwise("<name>")
-        return F.when(F.substring(c, 1, 1).between("A", "Z") & (own != "<name>"), kind).otherwise(own)
+        return F.when(capital(c) & (own != "<name>"), kind)
 
     return F.transform(core, typed)
 
 
 def _templates(table: DataFrame, *keep: str) -> DataFrame:
-    """keep, core, t (the template) and g (the wide one) of each row; each array is computed once."""
+    """keep, core, t (the template) and s (see starts()) of each row; each array is computed once."""
     raw = table.select(*keep, words(F.col("text")).alias("raw"))
     core = raw.select(*keep, "raw", cores(F.col("raw")).alias("core"))
-    both = core.select(*keep, "core", template(F.col("raw"), F.col("core")).alias("t"))
-    return both.select(*keep, "core", "t", wide(F.col("core"), F.col("t")).alias("g"))
+    low = core.select(*keep, "raw", "core", F.transform("core", small).alias("low"))
+    both = low.select(*keep, "core", template(F.col("raw"), F.col("core"), F.col("low")).alias("t"))
+    return both.select(*keep, "core", "t", starts(F.col("core"), F.col("t")).alias("s"))
+
+
+def wide(at: Column) -> Column:
+    """The word of the template at this place, or its type where it starts a sentence."""
+    return F.coalesce(F.get("s", at), F.get("t", at))
 
 
-def _hashes(width: int, name: str, at: Column) -> Column:
-    """pos and h of the windows of so many words of the template that start at these places."""
-    return F.transform(at, lambda i: F.struct(i.alias("pos"), F.xxhash64(*(F.get(name, i + j) for j in range(width))).alias("h")))
+def _hashes(width: int, at: Column, word, *more: Column) -> Column:
+    """pos and h (and more) of the windows of so many words (word: from a place) that start at these places."""
+    return F.transform(at, lambda i: F.struct(i.alias("pos"), F.xxhash64(*(word(i + j) for j in range(width))).alias("h"), *more))
+
+
+def _strict(at: Column) -> Column:
+    return F.get("t", at)
 
 
 def _windows(templates: DataFrame, width: int, *keep: str) -> DataFrame:
-    """keep, pos, h and strict of each window of the template (strict), and of those of the wide one that differ; none for a shorter text.
+    """keep, pos, h and strict of each window of the template (strict), and of those over the start of a sentence with its type; none for a shorter text.
 
     No filter on the size: pushed below the arrays, it would compute them again for each word.
     """
     last = F.size("t") - width
-    placed = templates.select(*keep, "t", "g", F.filter(F.sequence(F.lit(0), F.size("t")), lambda i: F.get("t", i) != F.get("g", i)).alias("other"))
+    placed = templates.select(*keep, "t", "s", F.filter(F.sequence(F.lit(0), F.size("t")), lambda i: F.get("s", i).isNotNull()).alias("other"))
     over = F.flatten(F.transform("other", lambda i: F.transform(F.sequence(F.lit(0), F.lit(width - 1)), lambda j: i - j)))
     over = F.array_distinct(F.filter(over, lambda i: (i >= 0) & (i <= last)))
-    flagged = lambda hashes, strict: F.transform(hashes, lambda x: F.struct(x["pos"].alias("pos"), x["h"].alias("h"), F.lit(strict).alias("strict")))
-    both = F.concat(flagged(_hashes(width, "t", F.sequence(F.lit(0), last)), True), flagged(_hashes(width, "g", over), False))
+    both = F.concat(_hashes(width, F.sequence(F.lit(0), last), _strict, F.lit(True).alias("strict")), _hashes(width, over, wide, F.lit(False).alias("strict")))
     each = placed.select(*keep, F.explode(F.when(last >= 0, both)).alias("x"))
     return each.select(*keep, "x.pos", "x.h", "x.strict")
 
@@ -88,53 +109,40 @@ def _windows(templates: DataFrame, width: int, *keep: str) -> DataFrame:
 BROADCAST_ROWS = 1_000_000
 
 
-def contaminated(docs: DataFrame, items: DataFrame, width: int = 5, literals: int = 2, similarity: float = 0.8) -> DataFrame:
-    """doc_id, item_id, covered and n_words: the documents that hold an item, as it is or with other parameters.
-
-    docs: doc_id, text.  items: item_id, text.  Texts become templates (see template()); every window of `width`
-    template words that has `literals` ordinary words at least is looked up by hash.  Windows of one document and
-    item that lie on one diagonal are aligned word by word; there each name of the item must always become the
-    same name in the document and no two the same, else that diagonal doesn't count.  Words that start a sentence
-    may be names: windows are also looked up with them as placeholders (see wide()).  Where one of these, or a
-    figure or unit, becomes several values, or two such sentence starts the same one, only the words that
-    changed don't count; different numbers may become equal.  A pair that is found by the template alone, without
-    these liberties and with every value kept apart, has the words covered that way.  covered: how many of the item's n_words words lie
-    in windows found.  A pair is returned if covered is at least similarity * n_words.
+#: What tells texts apart, where rows repeat a doc_id.
+DOC = ["doc_id", "doc_tag"]
 
-    Nulls: a text counts as empty; a row without doc_id or item_id takes no part.  Rows that repeat a doc_id are
-    judged together; items that repeat an id are judged each for itself and give one row for the best.  Items of
-    fewer words than a window are never found.  Empty tables: an empty result.
 
-    Documents aren't shuffled: the items' windows are broadcast (their number is checked; beyond, a shuffled hash
-    join does the same).  Only windows found go on, written once; the texts of documents are read a second time
-    only for those that share windows having placeholders.
-    """
+def _found(docs: DataFrame, items: DataFrame, width: int, literals: int, similarity: float) -> DataFrame:
+    """doc_id, doc_tag (a hash of the text), item_id, covered and n_words: see contaminated()."""
     item = _templates(items.filter("item_id is not null").select("item_id", "text", F.xxhash64("text").alias("tag")).distinct(), "item_id", "tag")
-    item = item.filter(F.size("t") >= width).select("*", F.size("t").alias("n_words"), F.exists("g", lambda x: x.startswith("<")).alias("slotted"))
-    typed = F.arrays_zip(F.col("core").alias("core"), F.col("t").alias("t"), F.col("g").alias("g"))
+    item = item.filter(F.size("t") >= width).select("*", F.size("t").alias("n_words"), F.transform("t", lambda x, i: F.coalesce(F.get("s", i), x)).alias("g"))
+    item = item.select("*", F.exists("g", lambda x: x.startswith("<")).alias("slotted"))
+    typed = F.arrays_zip(F.col("core").alias("core"), F.col("t").alias("t"), F.transform("t", lambda x, i: F.coalesce(F.get("s", i), x)).alias("g"))
     slots = item.select("item_id", "tag", F.posexplode(typed).alias("pos", "x")).filter(F.col("x.g").startswith("<"))
-    slots = slots.select("item_id", "tag", "pos", F.col("x.t").alias("item_t"), F.col("x.g").alias("item_g"), F.translate("x.core", UPPER, LOWER).alias("item_value"))
-    starts = F.sequence(F.lit(0), F.col("n_words") - width)
-    plain = lambda name: F.transform(starts, lambda i: F.size(F.filter(F.slice(name, i + 1, width), lambda x: ~x.startswith("<"))))
-    held = [item.select("item_id", "tag", "n_words", "slotted", F.explode(F.arrays_zip(_hashes(width, n, starts).alias("x"), plain(n).alias("p"))).alias("y"), F.lit(n == "t").alias("item_strict")) for n in ("t", "g")]
+    slots = slots.select("item_id", "tag", "pos", F.col("x.t").alias("item_t"), F.col("x.g").alias("item_g"), small(F.col("x.core")).alias("item_value"))
+    begins = F.sequence(F.lit(0), F.col("n_words") - width)
+    plain = lambda name: F.transform(begins, lambda i: F.size(F.filter(F.slice(name, i + 1, width), lambda x: ~x.startswith("<"))))
+    held = [item.select("item_id", "tag", "n_words", "slotted", F.explode(F.arrays_zip(_hashes(width, begins, word).alias("x"), plain(n).alias("p"))).alias("y"), F.lit(n == "t").alias("item_strict")) for n, word in (("t", _strict), ("g", wide))]
     held = held[0].union(held[1]).filter(F.col("y.p") >= literals).select(F.col("y.x.h").alias("h"), "item_id", "tag", "n_words", "slotted", F.col("y.x.pos").alias("ipos"), "item_strict")
     held = held.groupBy(*(c for c in held.columns if c != "item_strict")).agg(F.max("item_strict").alias("item_strict"))
     if held.count() <= BROADCAST_ROWS:
         held = F.broadcast(held)
-    named = docs.filter("doc_id is not null").select("doc_id", "text")
-    seen = _windows(_templates(named, "doc_id"), width, "doc_id").withColumnRenamed("pos", "dpos")
-    found = seen.join(held, "h").select("doc_id", "item_id", "tag", "n_words", "slotted", (F.col("dpos") - F.col("ipos")).alias("diagonal"), "ipos", (F.col("strict") & F.col("item_strict")).alias("strict"))
+    named = docs.filter("doc_id is not null").select("doc_id", "text", F.xxhash64("text").alias("doc_tag"))
+    seen = _windows(_templates(named, *DOC), width, *DOC).withColumnRenamed("pos", "dpos")
+    found = seen.join(held, "h").select(*DOC, "item_id", "tag", "n_words", "slotted", (F.col("dpos") - F.col("ipos")).alias("diagonal"), "ipos", (F.col("strict") & F.col("item_strict")).alias("strict"))
     found, _ = written(found.groupBy(*(c for c in found.columns if c != "strict")).agg(F.max("strict").alias("strict")), "windows")
-    key = ["doc_id", "item_id", "tag", "diagonal"]
+    key = [*DOC, "item_id", "tag", "diagonal"]
     reached = found.select(*key, "n_words", "slotted", F.explode(F.sequence("ipos", F.col("ipos") + width - 1)).alias("pos"), "strict")
     reached = reached.groupBy(*key, "n_words", "slotted", "pos").agg(F.max("strict").alias("strict"))
-    wanted = found.filter("slotted").select("doc_id").distinct()
+    wanted = found.filter("slotted").select(*DOC).distinct()
     if wanted.count() <= BROADCAST_ROWS:
         wanted = F.broadcast(wanted)
-    some = named.join(wanted, "doc_id", "left_semi")
-    values = _templates(some, "doc_id").select("doc_id", F.posexplode(typed).alias("at", "x")).filter(F.col("x.g").startswith("<"))
-    values = values.select("doc_id", "at", F.col("x.t").alias("t"), F.translate("x.core", UPPER, LOWER).alias("value"))
-    pairs = reached.filter("slotted").join(slots, ["item_id", "tag", "pos"]).withColumn("at", (F.col("pos") + F.col("diagonal")).cast("int")).join(values, ["doc_id", "at"])
+    some = named.join(wanted, DOC, "left_semi")
+    values = _templates(some, *DOC).select(*DOC, F.posexplode(typed).alias("at", "x")).filter(F.col("x.g").startswith("<"))
+    values = values.select(*DOC, "at", F.col("x.t").alias("t"), small(F.col("x.core")).alias("value"))
+    pairs = reached.filter("slotted").join(slots, ["item_id", "tag", "pos"]).withColumn("at", (F.col("pos") + F.col("diagonal")).cast("int")).join(values, [*DOC, "at"])
+    pairs, _ = written(pairs, "slots")  # read by each of the rules below; texts are read once for all
 
     def broken(among: DataFrame) -> DataFrame:
         """Diagonals where a value becomes several, or several become one."""
@@ -143,9 +151,9 @@ def contaminated(docs: DataFrame, items: DataFrame, width: int = 5, literals: in
         return forward.filter("differs").select(*key).union(back.filter("differs").select(*key)).distinct()
 
     def enough(kept: DataFrame) -> DataFrame:
-        covered = kept.groupBy("doc_id", "item_id", "tag", "n_words").agg(F.count_distinct("pos").alias("covered"))
+        covered = kept.groupBy(*DOC, "item_id", "tag", "n_words").agg(F.count_distinct("pos").alias("covered"))
         covered = covered.filter(F.col("covered") >= F.col("n_words") * F.lit(similarity) - 1e-9)
-        return covered.groupBy("doc_id", "item_id").agg(F.max(F.struct(F.col("covered") / F.col("n_words"), "covered", "n_words")).alias("b"))
+        return covered.groupBy(*DOC, "item_id").agg(F.max(F.struct(F.col("covered") / F.col("n_words"), "covered", "n_words")).alias("b"))
 
     typed_both = "item_t like '<%' and t like '<%'"
     literal = enough(reached.filter("strict").join(broken(pairs.filter(f"strict and {typed_both}")), key, "left_anti"))
@@ -155,13 +163,43 @@ def contaminated(docs: DataFrame, items: DataFrame, width: int = 5, literals: in
     off = changed.join(several, [*key, "item_value"], "left_semi").select(*key, "pos").union(changed.filter("item_g = '<name>'").join(shared, [*key, "value"], "left_semi").select(*key, "pos"))
     names = broken(pairs.filter("item_t = '<name>' and t = '<name>'"))
     free = enough(reached.join(names, key, "left_anti").join(off, [*key, "pos"], "left_anti"))
-    best = literal.union(free.join(literal, ["doc_id", "item_id"], "left_anti").select(*literal.columns))
-    return best.select("doc_id", "item_id", "b.covered", F.col("b.n_words").cast("long").alias("n_words"))
+    best = literal.union(free.join(literal, [*DOC, "item_id"], "left_anti").select(*literal.columns))
+    return best.select(*DOC, "item_id", "b.covered", F.col("b.n_words").cast("long").alias("n_words"))
+
+
+def contaminated(docs: DataFrame, items: DataFrame, width: int = 5, literals: int = 2, similarity: float = 0.8) -> DataFrame:
+    """doc_id, item_id, covered and n_words: the documents that hold an item, as it is or with other parameters.
+
+    docs: doc_id, text.  items: item_id, text.  Texts become templates (see template()); every window of `width`
+    template words that has `literals` ordinary words at least is looked up by hash.  Windows of one document and
+    item that lie on one diagonal are aligned word by word; there each name of the item must always become the
+    same name in the document and no two the same, else that diagonal doesn't count.  Words that start a sentence
+    may be names: windows are also looked up with them as placeholders (see starts()).  Where one of these, or a
+    figure or unit, becomes several values, or two such sentence starts the same one, only the words that
+    changed don't count; different numbers may become equal.  A pair that is found by the template alone, without
+    these liberties and with every value kept apart, has the words covered that way.  covered: how many of the item's n_words words lie
+    in windows found.  A pair is returned if covered is at least similarity * n_words.
+
+    Nulls: a text counts as empty; a row without doc_id or item_id takes no part.  Rows that repeat a doc_id are
+    judged each for itself and give one row for the best; items that repeat an id are judged each for itself and give one row for the best.  Items of
+    fewer words than a window are never found.  Empty tables: an empty result.
+
+    Documents aren't shuffled: the items' windows are broadcast (their number is checked; beyond, a shuffled hash
+    join does the same).  Only windows found go on, written once; the texts of documents are read a second time
+    only for those that share windows having placeholders.
+    """
+    found = _found(docs, items, width, literals, similarity)
+    best = found.groupBy("doc_id", "item_id").agg(F.max(F.struct(F.col("covered") / F.col("n_words"), "covered", "n_words")).alias("b"))
+    return best.select("doc_id", "item_id", "b.covered", "b.n_words")
+
 
+def decontaminated(docs: DataFrame, items: DataFrame, width: int = 5, literals: int = 2, similarity: float = 0.8) -> DataFrame:
+    """docs without the texts in which contaminated() finds an item; rows without a doc_id stay.
 
-def decontaminated(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
-    """docs without those that contaminated() names; rows without a doc_id stay."""
-    return docs.join(contaminated(docs, items, **options).select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    Of rows that repeat a doc_id only those with such a text go.
+    """
+    found = _found(docs, items, width, literals, similarity).select(F.col("doc_id").alias("_leak_id"), F.col("doc_tag").alias("_leak_tag")).distinct()
+    return docs.join(found, (F.col("doc_id") == F.col("_leak_id")) & (F.xxhash64("text") == F.col("_leak_tag")), "left_anti").select(*docs.columns)
 
 
 def _list(values: list[str]) -> str:
