@@ -5,7 +5,9 @@ import random
 import re
 
 import numpy as np
+import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from fieldloom.llm import ann, chat, decontam, graph, langid, licenses, simhash, substrings
 
@@ -82,6 +84,50 @@ def test_fingerprint_and_components(spark):
     assert simhash.near_duplicates(docs_of(spark, [])).count() == 0
 
 
+def test_links_of_each_radius(spark):
+    rng = random.Random(8)
+    prints = {6, 7, 4, 3, -1, -2, -4} | {rng.getrandbits(8) | 1 << 62 for _ in range(60)}
+    table = spark.createDataFrame([(x,) for x in prints], "fp long")
+    for radius in (0, 2):
+        near = [(a, b) for a in prints for b in prints if a < b and ((a ^ b) % 2**64).bit_count() <= radius]
+        want = graph.components(spark.createDataFrame(near, "a long, b long"))
+        got = graph.components(simhash.links(table, radius))
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    with pytest.raises(ValueError):
+        simhash.links(table, 1)
+
+
+def test_one_of_each_near_duplicate(spark):
+    rng = random.Random(12)
+    vocabulary = [f"w{i}" for i in range(4000)]
+    rows = [(i, " ".join(rng.choices(vocabulary, k=rng.choice([3, 40, 200, 600])))) for i in range(0, 400, 2)]
+    for d, text in rng.sample(rows, 60):  # copies with a few words changed, in other lines and case
+        for j in range(rng.randint(1, 3)):
+            words = text.split()
+            for _ in range(rng.choice([0, 1, 2, 3, len(words) // 60])):
+                words[rng.randrange(len(words))] = rng.choice(vocabulary)
+            rows.append((1000 + len(rows), rng.choice([" ", "\n"]).join(words).upper()))
+    rows += [(5000, ""), (5001, None), (5002, " \n"), (None, rows[0][1]), (None, rows[0][1]), (0, rows[0][1]), (3, rows[2][1]), (3, "quite another text"), (6000, "long " * 30_000)]
+
+    def shingles(text):
+        w = re.findall(r"[^\x20\x09-\x0D]+", (text or "").lower())
+        return frozenset(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if w else frozenset()
+
+    docs = spark.createDataFrame([(d, t, 1, "x") for d, t in rows], "doc_id long, text string, tag long, node string").repartition(4)
+    kept = [(r["doc_id"], r["text"]) for r in simhash.one_of_each(docs).collect()]
+    named = [(d, shingles(t)) for d, t in rows if d is not None]
+    alike = lambda a, b: a == b or (len(a & b) >= 0.8 * len(a | b) - 1e-9 if a | b else True)
+    gone = {(d, t) for d, t in rows if d is not None} - set(kept)
+    for d, t in gone:  # nothing goes but for an earlier text that it is like, or like one that is
+        assert any(e != d and alike(shingles(t), s) for e, s in named)
+    left = [(d, shingles(t)) for d, t in kept if d is not None]
+    still = [(a, b) for i, (a, x) in enumerate(left) for b, y in left[:i] if a != b and alike(x, y) and (len(x & y) >= 0.9 * len(x | y) or x == y)]
+    assert not still
+    assert len(kept) + len(gone) == len(rows) and sum(d is None for d, _ in kept) == 2 and (3, "quite another text") in kept and (0, rows[0][1]) in kept
+    assert {5000, 5001, 5002} & {d for d, _ in kept} == {5000}
+    assert simhash.one_of_each(docs.limit(0)).count() == 0
+
+
 def test_components_of_a_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(100, 160)] + [(1000, 1000 + i) for i in range(1, 300)] + [(5, 5), (None, 3)]
     got = {r["node"]: r["root"] for r in graph.components(spark.createDataFrame(edges, "a long, b long")).collect()}
@@ -133,23 +179,58 @@ def test_chat_windows(spark):
     assert chat.windows(table.limit(0)).count() == 0
 
 
+def plain_language(train, texts):
+    """Language and score of each text, from counts made word by word."""
+    letters = lambda t: "".join(c if c.isalpha() else " " for c in (t or "").lower()).split()
+    langs = sorted({x for _, x in train})
+    counts = {(n, x): {} for n in range(6) for x in langs}
+    for text, lang in train:
+        for w in letters(text):
+            for n in range(6):
+                for g in [w] if n == 0 else [f"<{w}>"[i : i + n] for i in range(len(w) + 3 - n)]:
+                    counts[n, lang][g] = counts[n, lang].get(g, 0) + 1
+    known = [set().union(*(counts[n, x] for x in langs)) for n in range(6)]
+    log = lambda n, g, x: np.log((counts[n, x].get(g, 0) + 0.5) / (sum(counts[n, x].values()) + 0.5 * max(len(known[n]), 1)))
+    out = []
+    for text in texts:
+        total = dict.fromkeys(langs, 0.0)
+        for w in letters(text):
+            for n in (0, 5, 4, 3, 2, 1):
+                found = [g for g in ([w] if n == 0 else [f"<{w}>"[i : i + n] for i in range(len(w) + 3 - n)]) if g in known[n]]
+                if found:
+                    for x in langs:
+                        total[x] += np.mean([log(n, g, x) for g in found])
+                    break
+        best = max(langs, key=lambda x: (total[x], -langs.index(x)))
+        out.append((best, 1 / sum(np.exp(total[x] - total[best]) for x in langs)) if letters(text) else ("und", 0.0))
+    return out
+
+
 def test_language(spark):
     rng = random.Random(1)
     own = {"xx": ["alba", "bela", "cila", "dola"], "yy": ["krun", "strom", "prag", "wulk"]}
     rows = [(i, " ".join(rng.choices(own[lang], k=12)), lang) for i in range(60) for lang in [rng.choice(["xx", "yy"])]]
-    rows += [(100, None, "xx"), (101, "123 !?", "yy"), (102, "", None), (None, "alba bela", "xx"), (103, "strombul krunwulk", None)]
+    rows += [(100, None, "xx"), (101, "123 !?", "yy"), (102, "", None), (None, "alba bela", "xx"), (103, "strombul krunwulk", None), (104, "½ ² ① Ⅳ", None), (105, "1½alba2", None)]
+    rows += [(106, "Alba, PRAG ALB zzz ﬁ İx", None), (106, "Alba, PRAG ALB zzz ﬁ İx", None), (107, "alba krun", None), (108, "strom " * 50_000, None)]
     table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
-    model = langid.train(table)
-    got = langid.predict(table.withColumnRenamed("lang", "lang_pred"), model).collect()
-    for r, (d, text, lang) in zip(sorted(got, key=lambda r: r["doc_id"] or -1), sorted(rows, key=lambda r: r[0] or -1)):
-        assert 0 <= r["score"] <= 1
-        plain = model.predict(text)
-        assert (r["lang_pred"], round(r["score"], 9)) == (plain[0], round(plain[1], 9))
-        assert r["lang_pred"] == (("yy" if d == 103 else lang) if text and re.search("[a-z]", text) else "und")
+    got = langid.predict(table.withColumnRenamed("lang", "lang_pred"), langid.train(table)).collect()
+    want = plain_language([(t, x) for d, t, x in rows if d is not None and x and t is not None], [t for _, t, _ in rows])
+    key = lambda r: (r[0] is None, r[0] or 0)
+    for r, (d, (lang, score)) in zip(sorted(((r["doc_id"], r["lang_pred"], r["score"]) for r in got), key=key), sorted(zip([r[0] for r in rows], want), key=key)):
+        assert (r[0], r[1]) == (d, lang) and abs(r[2] - score) < 1e-4
+    assert dict(zip([r[0] for r in rows], want))[104] == ("und", 0.0) and {r["lang_pred"] for r in got if r["doc_id"] in (101, 102, 104)} == {"und"}
     none = langid.train(table.limit(0))
     assert {r["lang_pred"] for r in langid.predict(table, none).collect()} == {"und"}
 
 
+def test_language_of_held_out_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = langid.train(docs.filter(~langid.held_out()))
+    found = langid.predict(docs.filter(langid.held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull()), model).filter("lang_pred != 'und'")
+    right, n = found.agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("double")), F.count("*")).first()
+    assert n > 200 and right > 0.98
+
+
 def test_licenses(spark):
     mit = dict((b, a) for a, b in reversed(licenses.KNOWN))
     whole = next(t for i, t in licenses.KNOWN if i == "ISC")
@@ -173,6 +254,16 @@ def test_decontamination(spark):
     assert decontam.contaminated(docs_of(spark, rows), items.limit(0)).count() == 0
 
 
+def test_decontamination_of_rows_that_repeat_an_id(spark):
+    item = "A farmer called Tom has 5 apples and Mary has 3 pears, so how many fruits do Tom and Mary have together now?"
+    again = item.replace("Tom", "Anna").replace("5", "12")
+    rows = [(1, item), (2, item), (2, again), (2, again), (3, "a clean text"), (3, again + " word" * 30_000)]
+    items = spark.createDataFrame([(1, item, "x")], "item_id long, text string, doc_tag string")
+    docs = spark.createDataFrame([(a, b, 1, 2) for a, b in rows], "doc_id long, text string, at long, s long")
+    assert sorted((r["doc_id"], r["item_id"]) for r in decontam.contaminated(docs, items).collect()) == [(1, 1), (2, 1), (3, 1)]
+    assert [tuple(r) for r in decontam.decontaminated(docs, items).collect()] == [(3, "a clean text", 1, 2)]
+
+
 def test_decontamination_of_names_at_sentence_starts_and_equal_numbers(spark):
     item = "Tom has 5 apples. Mary buys 3 pears. Tom eats 2 of them. How many are left?"
     other = "A farmer called Tom has 5 apples and Mary has 3 pears, so how many fruits do Tom and Mary have together now?"
