@@ -71,8 +71,8 @@ def radar_indices(vv: Column, vh: Column) -> dict[str, Column]:
 
 
 def remapped(b1: Column, b2: Column) -> tuple[Column, Column]:
-    """vv and vh of an archive that stores vh first where both exist, and vv alone otherwise."""
-    b1, b2 = finite(b1), finite(b2)
+    """vv and vh of an archive that stores vh first where both exist, and vv alone otherwise; only finite values over 0 count."""
+    b1, b2 = (F.when(b > 0, b) for b in (finite(b1), finite(b2)))
     return F.coalesce(b2, b1), F.when(b1.isNotNull() & b2.isNotNull(), b1)
 
 

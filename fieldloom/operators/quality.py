@@ -31,3 +31,17 @@ def unique_or_raise(table: DataFrame, keys: list[str]) -> DataFrame:
     if twice:
         raise ValueError(f"keys that repeat: {[r.asDict() for r in twice]}")
     return table
+
+
+def polarisation(valid_1: Column, valid_2: Column, paired: Column, share: Column, greater: Column, least: int = 1_000) -> Column:
+    """What the two bands of a radar file are likely to be.
+
+    valid_1, valid_2: finite values over 0 of each band; paired: places where both have one; there, share: the
+    second band's median by the first's, and greater: the part in which the second is greater.
+    """
+    return (
+        F.when((valid_1 == 0) & (valid_2 == 0), "both_empty").when((valid_1 > 0) & (valid_2 == 0), "band1_only").when((valid_2 > 0) & (valid_1 == 0), "band2_only")
+        .when((paired < least) | share.isNull() | F.isnan(share) | (F.abs(share) == float("inf")), "insufficient_paired_samples")
+        .when((share >= 1.25) & (greater >= 0.70), "band1_likely_vh_band2_likely_vv")
+        .when((share <= 0.80) & (greater <= 0.30), "band1_likely_vv_band2_likely_vh").otherwise("ambiguous")
+    )

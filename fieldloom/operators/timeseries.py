@@ -14,11 +14,13 @@ def dense(fields: DataFrame, axis: DataFrame, values: DataFrame, key: str, week:
 
 
 def normalised(table: DataFrame, key: str, value: str, out: str) -> DataFrame:
-    """By the field's 10th and 90th percentile, clipped to 0..1; NULL with under 3 values or no spread."""
-    spread = table.groupBy(key).agg(F.percentile(value, F.array(F.lit(0.1), F.lit(0.9))).alias("_p"), F.count(value).alias("_n"))
-    low, high = F.col("_p")[0], F.col("_p")[1]
-    scaled = F.when((F.col("_n") >= 3) & (high - low > 1e-8), clip(ratio(F.col(value) - low, high - low), 0.0, 1.0))
-    return table.join(spread, key, "left").withColumn(out, scaled).drop("_p", "_n")
+    """By the field's 10th and 90th percentile, clipped to 0..1; NULL with under 3 values or no spread.  No join: windows over the field."""
+    field = Window.partitionBy(key)
+    low, high = (F.percentile(value, F.lit(x)).over(field) for x in (0.1, 0.9))
+    t = table.withColumn("_low", low).withColumn("_high", high).withColumn("_n", F.count(value).over(field))
+    span = F.col("_high") - F.col("_low")
+    scaled = F.when((F.col("_n") >= 3) & (span > 1e-8), clip(ratio(F.col(value) - F.col("_low"), span), 0.0, 1.0))
+    return t.withColumn(out, scaled).drop("_low", "_high", "_n")
 
 
 def filled(table: DataFrame, key: str, week: str, value: str, out: str, limit: int = 2) -> DataFrame:
@@ -46,19 +48,19 @@ def smoothed(table: DataFrame, key: str, week: str, value: str, out: str) -> Dat
 
 def boundaries(table: DataFrame, key: str, week: str, value: str, share: float = 0.2, least: int = 6, amplitude: float = 0.2) -> DataFrame:
     """Per field: peak (the first maximum), base (median of the first and last three values), threshold, start and end
-    of season: the first of two adjacent weeks above the threshold up to the peak, and the first of two
-    adjacent weeks below it from the peak on; and a status."""
-    order = Window.partitionBy(key).orderBy(week)
-    back = Window.partitionBy(key).orderBy(F.desc(week))
+    of season: the first of two adjacent weeks at or above the threshold, both up to the peak, and the first of two
+    adjacent weeks at or below it, both from the peak on; and a status.  Windows over the field, so one shuffle in all."""
+    field, order, back = Window.partitionBy(key), Window.partitionBy(key).orderBy(week), Window.partitionBy(key).orderBy(F.desc(week))
+    v, w = F.col(value), F.col(week)
     t = table.withColumn("_f", F.count(value).over(order)).withColumn("_b", F.count(value).over(back))
-    has = F.col(value).isNotNull()
-    edges = t.groupBy(key).agg(F.count(value).alias("valid_weeks"), F.max(value).alias("peak_value"), F.median(F.when(has & ((F.col("_f") <= 3) | (F.col("_b") <= 3)), F.col(value))).alias("base"))
-    t = t.join(edges, key)
-    top = t.filter(F.col(value) == F.col("peak_value")).groupBy(key).agg(F.min(week).alias("peak_week"))
-    t = t.join(top, key, "left").withColumn("threshold", F.col("base") + share * (F.col("peak_value") - F.col("base")))
-    above, below = F.col(value) >= F.col("threshold"), F.col(value) < F.col("threshold")
-    t = t.withColumn("_up", F.coalesce(above, F.lit(False)) & F.coalesce(F.lead(above).over(order), F.lit(False))).withColumn("_down", F.coalesce(below, F.lit(False)) & F.coalesce(F.lead(below).over(order), F.lit(False)))
-    out = t.groupBy(key, "valid_weeks", "peak_value", "base", "peak_week").agg(F.min(F.when(F.col("_up") & (F.col(week) <= F.col("peak_week")), F.col(week))).alias("sos"), F.min(F.when(F.col("_down") & (F.col(week) >= F.col("peak_week")), F.col(week))).alias("eos"))
+    edge = F.when(v.isNotNull() & ((F.col("_f") <= 3) | (F.col("_b") <= 3)), v)
+    t = t.withColumn("valid_weeks", F.count(value).over(field)).withColumn("peak_value", F.max(value).over(field)).withColumn("base", F.percentile(edge, F.lit(0.5)).over(field))
+    t = t.withColumn("peak_week", F.min(F.when(v == F.col("peak_value"), w)).over(field))
+    threshold = F.round(F.col("base") + share * (F.col("peak_value") - F.col("base")), 9)
+    t = t.withColumn("_above", F.coalesce((v >= threshold) & (w <= F.col("peak_week")), F.lit(False))).withColumn("_below", F.coalesce((v <= threshold) & (w >= F.col("peak_week")), F.lit(False)))
+    pair = lambda c: F.col(c) & F.coalesce(F.lead(c).over(order), F.lit(False))
+    t = t.withColumn("_up", pair("_above")).withColumn("_down", pair("_below"))
+    out = t.groupBy(key, "valid_weeks", "peak_value", "base", "peak_week").agg(F.min(F.when(F.col("_up"), w)).alias("sos"), F.min(F.when(F.col("_down"), w)).alias("eos"))
     low = F.col("peak_value") - F.col("base") < amplitude
     status = F.when(F.col("valid_weeks") == 0, "no_data").when(F.col("valid_weeks") < least, "too_few_weeks").when(low, "low_amplitude").when(F.col("sos").isNull() & F.col("eos").isNull(), "no_boundary").when(F.col("sos").isNull() | F.col("eos").isNull(), "one_boundary").otherwise("detected")
     return out.withColumn("qa_status", status)

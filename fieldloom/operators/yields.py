@@ -11,41 +11,50 @@ from ..functions.expr import ratio
 #: Carbon productivity to total biomass, and for each crop the factors low, central and high.
 NPP_TO_BIOMASS = 0.022222
 CROPS = {
-    "maize": {"fc": 1.8, "aot": (0.8, 0.8, 0.8), "hi": (0.3, 0.35, 0.4), "moisture": 0.125},
-    "beans": {"fc": 1.0, "aot": (0.8, 0.85, 0.9), "hi": (0.25, 0.3, 0.35), "moisture": 0.12},
+    "maize": {"fc": (1.8, 1.8, 1.8), "aot": (0.65, 0.65, 0.65), "hi": (0.48, 0.50, 0.52), "moisture": (0.10, 0.125, 0.15)},
+    "beans": {"fc": (1.0, 1.0, 1.0), "aot": (0.65, 0.65, 0.65), "hi": (0.38, 0.50, 0.85), "moisture": (0.12, 0.14, 0.15)},
+    "potatoes": {"fc": (1.0, 1.0, 1.0), "aot": (1.0, 1.0, 1.0), "hi": (0.70, 0.79, 0.85), "moisture": (0.75, 0.79, 0.80)},
 }
+LEVELS = ("low", "central", "high")
+FACTORS = ("fc", "aot", "hi", "moisture")
 
 
 def crop_factors(spark: SparkSession, crops: dict = CROPS) -> DataFrame:
-    rows = [(c, float(v["fc"]), *map(float, v["aot"]), *map(float, v["hi"]), float(v["moisture"])) for c, v in crops.items()]
-    names = ["fc", "aot_low", "aot_central", "aot_high", "hi_low", "hi_central", "hi_high", "moisture"]
-    return spark.createDataFrame(rows, "crop string, " + ", ".join(f"{n} double" for n in names))
+    """A row a crop: crop, and each factor at each level (fc_low and so on)."""
+    rows = [(c, *(float(x) for f in FACTORS for x in v[f])) for c, v in crops.items()]
+    return spark.createDataFrame(rows, "crop string, " + ", ".join(f"{f}_{x} double" for f in FACTORS for x in LEVELS))
 
 
 def crop_yield(biomass: Column, level: str) -> Column:
     """Tonnes a hectare at a level (low, central, high); the factors are columns."""
-    return ratio(biomass * F.col("fc") * F.col(f"aot_{level}") * F.col(f"hi_{level}"), 1 - F.col("moisture"))
+    return ratio(biomass * F.col(f"fc_{level}") * F.col(f"aot_{level}") * F.col(f"hi_{level}"), 1 - F.col(f"moisture_{level}"))
+
+
+def bounds(days: int, first: Column, last: Column) -> dict[str, tuple[Column, Column]]:
+    """Start and end of a season: central, narrow (both moved in; one day at least is left) and wide (both moved out, up to the season's first and last day)."""
+    sos, eos = F.col("sos"), F.col("eos")
+    inner = F.least(eos, F.date_add(sos, days))
+    return {"central": (sos, eos), "narrow": (inner, F.greatest(inner, F.date_sub(eos, days))), "wide": (F.greatest(first, F.date_sub(sos, days)), F.least(last, F.date_add(eos, days)))}
 
 
 def integrated(seasons: DataFrame, periods: DataFrame, key: str, shift: int = 10) -> DataFrame:
-    """Productivity of each field between sos and eos, and with both moved in and out by `shift` days, in one pass.
+    """Productivity of each field between sos and eos, and between the bounds moved in and out by `shift` days, in one pass.
 
-    periods: key, period_start, period_end, rate (a day), coverage.  An equi-join by field with the overlap as
-    its residual; the three variants are conditional sums of one aggregate.
+    seasons: key, sos, eos, season_first, season_last.  periods: key, period_start, period_end, rate (a day), coverage.
+    An equi-join by field with the overlap as its residual; the three variants are conditional sums of one aggregate.
     """
+    variants = bounds(shift, F.col("season_first"), F.col("season_last"))
     joined = seasons.join(periods, key, "left")
-    variants = {"central": 0, "narrow": shift, "wide": -shift}
     sums = []
-    for name, days in variants.items():
-        d = overlap_days(F.date_add("sos", days), F.date_sub("eos", days), F.col("period_start"), F.col("period_end"))
+    for name, (start, end) in variants.items():
+        d = overlap_days(start, end, F.col("period_start"), F.col("period_end"))
         valid = F.when(F.col("rate").isNotNull(), d)
-        sums += [F.sum(F.col("rate") * valid).alias(f"npp_{name}"), F.sum(valid).alias(f"days_{name}"), F.sum(F.col("coverage") * valid).alias(f"_c_{name}")]
-    out = joined.groupBy(key, "sos", "eos").agg(*sums)
-    for name, days in variants.items():
-        length = F.datediff("eos", "sos") + 1 - 2 * days
-        out = out.withColumn(f"temporal_{name}", ratio(F.coalesce(F.col(f"days_{name}"), F.lit(0)), F.when(length > 0, length)))
+        sums += [F.sum(F.col("rate") * valid).alias(f"npp_{name}"), F.sum(valid).alias(f"days_{name}"), F.sum(F.col("coverage") * valid).alias(f"_c_{name}"), F.count(F.when(valid > 0, 1)).alias(f"periods_{name}")]
+    out = joined.groupBy(key, "sos", "eos", "season_first", "season_last").agg(*sums)
+    for name, (start, end) in variants.items():
+        out = out.withColumn(f"temporal_{name}", ratio(F.coalesce(F.col(f"days_{name}"), F.lit(0)), F.datediff(end, start) + 1))
         out = out.withColumn(f"spatial_{name}", ratio(F.col(f"_c_{name}"), F.when(F.col(f"days_{name}") > 0, F.col(f"days_{name}")))).drop(f"_c_{name}")
-    return out
+    return out.drop("season_first", "season_last")
 
 
 def intercrop(pattern: Column, mixed: Column) -> Column:

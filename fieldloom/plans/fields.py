@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import expr, geometry
 from ..functions.calendar import monday
+from ..functions.expr import ratio
 from ..operators import quality, zonal
 from ..operators.scenes import first_of
 from .registry import Tables, query
@@ -203,11 +204,23 @@ def footprint_overlap(t: Tables) -> DataFrame:
     return o.select("o_orderkey", F.round(area / (30.0 * 25), 6).alias("share"))
 
 
-@query("select l_returnflag, l_linestatus, count(*) as n, case when median(l_tax) > median(l_discount) * 1.5 then 'b2_high' when avg((l_tax > l_discount)::int) > 0.5 then 'mostly_b2' when avg((l_tax > l_discount)::int) > 0.3 then 'mixed' else 'mostly_b1' end as polarisation from lineitem group by 1, 2")
+_bands_sql = """f as (select l_suppkey as file_id, nullif(case when l_suppkey % 5 = 1 then 0 else l_tax * (1 + l_suppkey % 3) end, 0) as b1, nullif(case when l_suppkey % 7 = 1 then 0 else l_discount end, 0) as b2 from lineitem),
+a as (select file_id, count(b1) as valid_1, count(b2) as valid_2, count(*) filter (b1 > 0 and b2 > 0) as paired, median(b1) filter (b2 > 0) as m1, median(b2) filter (b1 > 0) as m2, avg((b2 > b1)::int) as greater from f group by 1)"""
+
+
+@query(f"with {_bands_sql} select file_id, valid_1, valid_2, paired, round(m2 / m1, 6) as share, round(greater, 6) as greater, case when valid_1 = 0 and valid_2 = 0 then 'both_empty' when valid_2 = 0 then 'band1_only' when valid_1 = 0 then 'band2_only' when paired < 10 or m2 / m1 is null then 'insufficient_paired_samples' when m2 / m1 >= 1.25 and greater >= 0.70 then 'band1_likely_vh_band2_likely_vv' when m2 / m1 <= 0.80 and greater <= 0.30 then 'band1_likely_vv_band2_likely_vh' else 'ambiguous' end as polarisation from a")
 def polarisation_class(t: Tables) -> DataFrame:
-    more = F.avg((F.col("l_tax") > F.col("l_discount")).cast("int"))
-    kind = F.when(F.median("l_tax") > F.median("l_discount") * 1.5, "b2_high").when(more > 0.5, "mostly_b2").when(more > 0.3, "mixed").otherwise("mostly_b1")
-    return t.lineitem.groupBy("l_returnflag", "l_linestatus").agg(F.count("*").alias("n"), kind.alias("polarisation"))
+    """Seven classes, by file; ten pairs are enough here, since the files are small."""
+    k = F.col("l_suppkey")
+    f = t.lineitem.select(k.alias("file_id"), F.when(k % 5 != 1, F.col("l_tax") * (1 + k % 3)).alias("b1"), F.when(k % 7 != 1, F.col("l_discount")).alias("b2"))
+    f = f.select("file_id", *(F.when(F.col(b) > 0, F.col(b)).alias(b) for b in ("b1", "b2")))
+    both = F.col("b1").isNotNull() & F.col("b2").isNotNull()
+    a = f.groupBy("file_id").agg(
+        F.count("b1").alias("valid_1"), F.count("b2").alias("valid_2"), F.count(F.when(both, 1)).alias("paired"),
+        ratio(F.median(F.when(both, F.col("b2"))), F.median(F.when(both, F.col("b1")))).alias("share"), F.avg((F.col("b2") > F.col("b1")).cast("int")).alias("greater"),
+    )
+    kind = quality.polarisation(*(F.col(c) for c in ("valid_1", "valid_2", "paired", "share", "greater")), least=10)
+    return rounded(a.withColumn("polarisation", kind))
 
 
 @query("with r as (select o_custkey, o_orderkey, row_number() over (partition by o_custkey order by o_totalprice desc, o_orderdate desc, o_orderkey) as k from orders) select o_custkey, o_orderkey from r where k <= 2")

@@ -132,8 +132,9 @@ def gap_fill_rolling_median(t: Tables) -> DataFrame:
 @query(f"""with {_fill_sql}, r as (select *, count(smoothed) over (partition by field_id order by w) as f, count(smoothed) over (partition by field_id order by w desc) as b from smooth),
 e as (select field_id, count(smoothed) as valid_weeks, max(smoothed) as peak_value, median(smoothed) filter (f <= 3 or b <= 3) as base from r group by 1),
 p as (select r.*, e.valid_weeks, e.peak_value, e.base, round(e.base + 0.2 * (e.peak_value - e.base), 9) as threshold, min(case when smoothed = peak_value then w end) over (partition by field_id) as peak_week from r join e using (field_id)),
-q as (select *, smoothed >= threshold and coalesce(lead(smoothed >= threshold) over o, false) as up, smoothed < threshold and coalesce(lead(smoothed < threshold) over o, false) as down from p window o as (partition by field_id order by w)),
-z as (select field_id, valid_weeks, peak_value, base, peak_week, min(w) filter (up and w <= peak_week) as sos, min(w) filter (down and w >= peak_week) as eos from q group by 1, 2, 3, 4, 5)
+h as (select *, coalesce(smoothed >= threshold and w <= peak_week, false) as above, coalesce(smoothed <= threshold and w >= peak_week, false) as below from p),
+q as (select *, above and coalesce(lead(above) over o, false) as up, below and coalesce(lead(below) over o, false) as down from h window o as (partition by field_id order by w)),
+z as (select field_id, valid_weeks, peak_value, base, peak_week, min(w) filter (up) as sos, min(w) filter (down) as eos from q group by 1, 2, 3, 4, 5)
 select field_id, valid_weeks, round(peak_value, 6) as peak_value, round(base, 6) as base, cast(peak_week as varchar) as peak_week, cast(sos as varchar) as sos, cast(eos as varchar) as eos,
 case when valid_weeks = 0 then 'no_data' when valid_weeks < 6 then 'too_few_weeks' when peak_value - base < 0.2 then 'low_amplitude' when sos is null and eos is null then 'no_boundary' when sos is null or eos is null then 'one_boundary' else 'detected' end as qa_status from z""")
 def phenology(t: Tables) -> DataFrame:
@@ -147,15 +148,29 @@ periods as (select field_id, cast(date_trunc('month', day) as date) + cast(10 *
 ends as (select *, case when day(period_start) < 21 then period_start + 9 else last_day(period_start) end as period_end from periods)"""
 
 
-def _variant_sql(name: str, shift: int) -> str:
-    d = f"greatest(0, date_diff('day', greatest(sos + {shift}, period_start), least(eos - {shift}, period_end)) + 1)"
-    return f"sum(rate * {d}) as npp_{name}, sum({d}) filter (period_start is not null) as days_{name}, sum(coverage * {d}) as c_{name}"
+_SEASON = ("date '1996-03-01'", "date '1996-08-31'")
+_bounds_sql = {
+    "central": ("sos", "eos"),
+    "narrow": ("least(eos, sos + 10)", "greatest(least(eos, sos + 10), eos - 10)"),
+    "wide": (f"greatest({_SEASON[0]}, sos - 10)", f"least({_SEASON[1]}, eos + 10)"),
+}
 
 
-@query(f"with {_season_sql}, {_dekad_sql}, a as (select field_id, sos, eos, {', '.join(_variant_sql(n, s) for n, s in (('central', 0), ('narrow', 10), ('wide', -10)))} from seasons left join ends using (field_id) group by 1, 2, 3) select field_id, " + ", ".join(f"round(npp_{n}, 4) as npp_{n}, cast(days_{n} as bigint) as days_{n}, round(coalesce(days_{n}, 0) / (date_diff('day', sos, eos) + 1 - {2 * s}), 6) as temporal_{n}, round(c_{n} / nullif(days_{n}, 0), 6) as spatial_{n}" for n, s in (("central", 0), ("narrow", 10), ("wide", -10))) + " from a")
+def _variant_sql(name: str) -> str:
+    start, end = _bounds_sql[name]
+    d = f"greatest(0, date_diff('day', greatest({start}, period_start), least({end}, period_end)) + 1)"
+    return f"sum(rate * {d}) as npp_{name}, sum({d}) filter (period_start is not null) as days_{name}, sum(coverage * {d}) as c_{name}, count(*) filter (period_start is not null and {d} > 0) as periods_{name}"
+
+
+def _variant_out(n: str) -> str:
+    start, end = _bounds_sql[n]
+    return f"round(npp_{n}, 4) as npp_{n}, cast(days_{n} as bigint) as days_{n}, periods_{n}, round(coalesce(days_{n}, 0) / (date_diff('day', {start}, {end}) + 1), 6) as temporal_{n}, round(c_{n} / nullif(days_{n}, 0), 6) as spatial_{n}"
+
+
+@query(f"with {_season_sql}, {_dekad_sql}, a as (select field_id, sos, eos, {', '.join(map(_variant_sql, _bounds_sql))} from seasons left join ends using (field_id) group by 1, 2, 3) select field_id, " + ", ".join(map(_variant_out, _bounds_sql)) + " from a")
 def npp_integration(t: Tables) -> DataFrame:
     k = F.col("s_suppkey")
-    seasons = t.supplier.select(k.alias("field_id"), F.date_add(F.lit("1996-03-11").cast("date"), (k % 30).cast("int")).alias("sos"), F.date_add(F.lit("1996-06-01").cast("date"), (k % 25).cast("int")).alias("eos"))
+    seasons = t.supplier.select(k.alias("field_id"), F.date_add(F.lit("1996-03-11").cast("date"), (k % 30).cast("int")).alias("sos"), F.date_add(F.lit("1996-06-01").cast("date"), (k % 25).cast("int")).alias("eos"), F.lit("1996-03-01").cast("date").alias("season_first"), F.lit("1996-08-31").cast("date").alias("season_last"))
     day = F.col("l_shipdate").cast("date")
     start = F.date_add(F.trunc(day, "month"), (10 * F.least(F.lit(2), F.floor((F.dayofmonth(day) - 1) / 10))).cast("int"))
     p = t.lineitem.filter(F.year("l_shipdate") == 1996).groupBy(F.col("l_suppkey").alias("field_id"), start.alias("period_start")).agg(F.avg("l_quantity").alias("rate"), (F.avg("l_discount") * 10).alias("coverage"))
@@ -165,17 +180,18 @@ def npp_integration(t: Tables) -> DataFrame:
     return rounded(rounded(out, *(c for c in out.columns if c not in npp), places=4))
 
 
-_crop_sql = """crops(crop, fc, al, ac, ah, hl, hc, hh, m) as (values ('maize', 1.8, 0.8, 0.8, 0.8, 0.3, 0.35, 0.4, 0.125), ('beans', 1.0, 0.8, 0.85, 0.9, 0.25, 0.3, 0.35, 0.12)),
-f as (select c_custkey, c_nationkey, case when c_custkey % 3 = 0 then 'maize' when c_custkey % 3 = 1 then 'beans' else 'tea' end as crop, c_acctbal, case when c_acctbal > 0 then c_acctbal / 1000 end as area_ha, c_mktsegment from customer),
-y as (select f.*, abs(c_acctbal) * 0.022222 * fc * al * hl / (1 - m) as low, abs(c_acctbal) * 0.022222 * fc * ac * hc / (1 - m) as central, abs(c_acctbal) * 0.022222 * fc * ah * hh / (1 - m) as high from f left join crops using (crop))"""
+_crop_rows = ", ".join("('" + c + "', " + ", ".join(str(x) for f in yields.FACTORS for x in v[f]) + ")" for c, v in yields.CROPS.items())
+_crop_sql = f"""crops(crop, {", ".join(f"{f}_{x}" for f in yields.FACTORS for x in yields.LEVELS)}) as (values {_crop_rows}),
+f as (select c_custkey, c_nationkey, case c_custkey % 4 when 0 then 'maize' when 1 then 'beans' when 2 then 'potatoes' else 'tea' end as crop, c_acctbal, case when c_acctbal > 0 then c_acctbal / 1000 end as area_ha, c_mktsegment from customer),
+y as (select f.*, {", ".join(f"abs(c_acctbal) * 0.022222 * fc_{x} * aot_{x} * hi_{x} / (1 - moisture_{x}) as {x}" for x in yields.LEVELS)} from f left join crops using (crop))"""
 
 
 def _yields(t: Tables) -> DataFrame:
-    k = F.col("c_custkey") % 3
-    f = t.customer.select("c_custkey", "c_nationkey", F.when(k == 0, "maize").when(k == 1, "beans").otherwise("tea").alias("crop"), "c_acctbal", F.when(F.col("c_acctbal") > 0, F.col("c_acctbal") / 1000).alias("area_ha"), "c_mktsegment")
+    k = F.col("c_custkey") % 4
+    f = t.customer.select("c_custkey", "c_nationkey", F.when(k == 0, "maize").when(k == 1, "beans").when(k == 2, "potatoes").otherwise("tea").alias("crop"), "c_acctbal", F.when(F.col("c_acctbal") > 0, F.col("c_acctbal") / 1000).alias("area_ha"), "c_mktsegment")
     joined = f.join(F.broadcast(yields.crop_factors(t.spark)), "crop", "left")  # a row for each crop
     biomass = F.abs("c_acctbal") * yields.NPP_TO_BIOMASS
-    return joined.select(*f.columns, *(yields.crop_yield(biomass, level).alias(level) for level in ("low", "central", "high")))
+    return joined.select(*f.columns, *(yields.crop_yield(biomass, level).alias(level) for level in yields.LEVELS))
 
 
 @query(f"with {_crop_sql} select c_custkey, crop, round(low, 6) as low, round(central, 6) as central, round(high, 6) as high, round(central * area_ha, 6) as production from y")

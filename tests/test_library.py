@@ -24,15 +24,19 @@ def test_seasons_and_dekads(spark):
 
 def test_maize(spark):
     r = yields.crop_factors(spark).filter("crop = 'maize'").select(*(yields.crop_yield(F.lit(300 * yields.NPP_TO_BIOMASS), x).alias(x) for x in ("low", "central", "high"))).first()
-    assert r["low"] < r["central"] < r["high"]
+    assert [round(r[x], 6) for x in ("low", "central", "high")] == [4.159958, 4.457098, 4.771717]
+    potatoes = yields.crop_factors(spark).filter("crop = 'potatoes'").select(*(yields.crop_yield(F.lit(2.1), x).alias(x) for x in yields.LEVELS)).first()
+    assert [round(x, 6) for x in potatoes] == [5.88, 7.9, 8.925]
 
 
 def test_integration_of_part_periods(spark):
     d = dt.date
-    seasons = spark.createDataFrame([(1, d(2023, 3, 5), d(2023, 3, 25))], "f long, sos date, eos date")
+    seasons = spark.createDataFrame([(1, d(2023, 3, 5), d(2023, 3, 25), d(2023, 3, 1), d(2023, 8, 31))], "f long, sos date, eos date, season_first date, season_last date")
     periods = spark.createDataFrame([(1, d(2023, 3, 1), d(2023, 3, 10), 1.0, 1.0), (1, d(2023, 3, 11), d(2023, 3, 20), 2.0, 1.0), (1, d(2023, 3, 21), d(2023, 3, 31), 3.0, 1.0)], "f long, period_start date, period_end date, rate double, coverage double")
     r = yields.integrated(seasons, periods, "f").first()
-    assert (r["npp_central"], r["days_central"], r["temporal_central"]) == (41.0, 21, 1.0)
+    assert (r["npp_central"], r["days_central"], r["temporal_central"], r["periods_central"]) == (41.0, 21, 1.0, 3)
+    assert (r["npp_narrow"], r["days_narrow"], r["temporal_narrow"], r["periods_narrow"]) == (2.0, 1, 1.0, 1)  # one day is left
+    assert (r["npp_wide"], r["days_wide"], r["periods_wide"]) == (10 + 20 + 33.0, 31, 3)  # no further back than the season
 
 
 def test_radar_remap(spark):
@@ -43,6 +47,27 @@ def test_radar_remap(spark):
     assert r[0] == 4 and r[2] == 2 and [round(x, 6) for x in (r[1], r[3], r[4])] == [0.115, 0.025, 0.2]
 
 
+def test_radar_validity(spark):
+    rows = [(0.0, 0.1), (-1.0, 0.2), (0.02, 0.0), (0.02, 0.1), (None, -0.1)]
+    vv, vh = expr.remapped(F.col("a"), F.col("b"))
+    got = [tuple(r) for r in spark.createDataFrame(rows, "a double, b double").coalesce(1).select(vv, vh).collect()]
+    assert got == [(0.1, None), (0.2, None), (0.02, None), (0.1, 0.02), (None, None)]
+
+
+def test_polarisation_classes(spark):
+    rows = [(0, 0, 0, None, None), (5, 0, 0, None, None), (0, 5, 0, None, None), (2000, 2000, 999, 2.0, 0.9), (2000, 2000, 1000, float("nan"), 0.9), (2000, 2000, 1000, 1.25, 0.70), (2000, 2000, 1000, 0.80, 0.30), (2000, 2000, 1000, 1.25, 0.69), (2000, 2000, 1000, 1.0, 0.5)]
+    t = spark.createDataFrame(rows, "a long, b long, p long, r double, g double").coalesce(1)
+    got = [r[0] for r in t.select(quality.polarisation(*(F.col(c) for c in "abprg"))).collect()]
+    assert got == ["both_empty", "band1_only", "band2_only", "insufficient_paired_samples", "insufficient_paired_samples", "band1_likely_vh_band2_likely_vv", "band1_likely_vv_band2_likely_vh", "ambiguous", "ambiguous"]
+
+
+def test_season_pairs_stay_on_their_side_of_the_peak(spark):
+    values = [0.0, 0.0, 0.0, 0.0, 0.0, 0.0, 1.0, 0.9, 0.2, 0.2, 0.0, 0.0]  # only the peak itself is above up to it
+    t = spark.createDataFrame([(1, i, v) for i, v in enumerate(values)], "f long, w long, v double")
+    r = timeseries.boundaries(t, "f", "w", "v").first()
+    assert (r["peak_week"], r["sos"], r["eos"], r["qa_status"]) == (6, None, 8, "one_boundary")  # at the threshold counts as below
+
+
 def test_phenology_curve(spark):
     ndvi = [0.10, 0.11, 0.13, 0.18, 0.30, 0.48, 0.62, 0.72, 0.78, 0.82, 0.84, 0.82, 0.79, 0.72, 0.62, 0.48, 0.34, 0.22, 0.15, 0.12, 0.10, 0.09, 0.09, 0.08, 0.08]
     rows = [(1, dt.date(2023, 3, 6) + dt.timedelta(7 * i), v) for i, v in enumerate(ndvi)] + [(2, dt.date(2023, 3, 6) + dt.timedelta(7 * i), None) for i in range(25)]
@@ -106,6 +131,8 @@ def test_plans(spark):
         plan = registry.QUERIES[name](spark, folder)._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in plan and "Python" not in plan
     assert set(registry.ORACLE_SQL) <= set(registry.QUERIES)
+    plan = registry.QUERIES["phenology"](spark, folder)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("lineitem") <= 1 and plan.count("Join") <= 2
 
 
 def test_zonal_grid(spark):
