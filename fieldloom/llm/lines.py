@@ -22,6 +22,8 @@ SPAN, SPARE = 3, Fraction(3, 2)
 GROUP = 64
 #: Candidates a set gets from those first ones.
 NEAREST = 2
+#: Words of 64 parity bits that candidates are compared by before their tokens are.
+WIDE = 4
 #: Set ids a task remembers, so that a line that it met before emits its keys once.
 SEEN = 1 << 20
 
@@ -62,6 +64,14 @@ class LineSets:
             return np.zeros(0, np.uint64)
         return np.bitwise_xor.reduceat(np.uint64(1) << (mix(self.token) & np.uint64(63)), self.begin)
 
+    def wide_parities(self) -> list[np.ndarray]:
+        """The same with WIDE times as many bits, which leaves few tokens to cancel out."""
+        if not len(self.size):
+            return [np.zeros(0, np.uint64)] * WIDE
+        spot = mix(self.token + np.uint64(7))
+        bit, word = np.uint64(1) << (spot & np.uint64(63)), (spot >> np.uint64(6)) % np.uint64(WIDE)
+        return [np.bitwise_xor.reduceat(np.where(word == i, bit, np.uint64(0)), self.begin) for i in range(WIDE)]
+
     def ids(self) -> tuple[np.ndarray, np.ndarray]:
         """Two hashes of each set, whatever the order of its tokens."""
         return tuple(mix(self._sum(mix(self.token + np.uint64(salt))) + self.size.astype(np.uint64)) for salt in (1, 1 << 40))
@@ -173,7 +183,7 @@ def _codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 #: kind 0: a line (x, y: its set's ids; doc_id, place).  Of a key's set: key, x (its id), y (parities), place (size, and rank of the key).
-#: kind 1: a pair of ids (x, y; place: how many parities differ).  kind 2: a row of a key that more than GROUP sets have.
+#: kind 1: a pair of ids (x, y).  kind 2: a row of a key that more than GROUP sets have.
 KEYS = "key long, x long, y long, doc_id long, place long"
 FOUND = "kind int, key long, x long, y long, doc_id long, place long"
 
@@ -238,15 +248,15 @@ def _candidates(batches: Iterator[pa.RecordBatch], rate: Fraction, group: int) -
         pairs = []
         while len(i):
             k = i[_may_match((bits[i], info[i]), (bits[i + step], info[i + step]), rule)]
-            pairs.append(np.stack((x[k], x[k + step], np.bitwise_count((bits[k] ^ bits[k + step]).view(np.uint64)).astype(np.int64))))
+            pairs.append(np.stack((x[k], x[k + step])))
             step += 1
             i = i[left[i] > step]
         if pairs and sum(p.shape[1] for p in pairs):
-            a, b, far = np.concatenate(pairs, axis=1)  # sets are in order within a key
+            a, b = np.concatenate(pairs, axis=1)  # sets are in order within a key
             order = np.lexsort((b, a))
             order = order[heads(a[order]) | heads(b[order])]
             none = pa.nulls(len(order), pa.int64())
-            yield number_batch(FOUND, kinds(1, len(order)), none, a[order], b[order], none, far[order])
+            yield number_batch(FOUND, kinds(1, len(order)), none, a[order], b[order], none, none)
 
     def shared_runs(rows: np.ndarray) -> np.ndarray:
         """The rows of keys that several have, sorted by key and set, each set once."""
@@ -283,7 +293,7 @@ def _candidates(batches: Iterator[pa.RecordBatch], rate: Fraction, group: int) -
     yield from done(shared_runs(carry))
 
 
-PAIRS = "a_doc long, a_place long, b_doc long, b_place long, far long"
+PAIRS = "a_doc long, a_place long, b_doc long, b_place long"
 
 
 def _stars(batches: Iterator[pa.RecordBatch], rate: Fraction, group: int, nearest: int) -> Iterator[pa.RecordBatch]:
@@ -310,10 +320,10 @@ def _stars(batches: Iterator[pa.RecordBatch], rate: Fraction, group: int, neares
                 near = np.argsort(far, axis=1, kind="stable")[:, :nearest]
                 b, c = np.nonzero(np.take_along_axis(ok, near, 1))
                 a = near[b, c]
-                yield number_batch(PAIRS, first[2][a], first[3][a], part[2][b], part[3][b], np.take_along_axis(far, near, 1)[b, c])
+                yield number_batch(PAIRS, first[2][a], first[3][a], part[2][b], part[3][b])
                 more = np.flatnonzero((ok.sum(axis=1) > nearest) | (n > group))
                 none = pa.nulls(len(more), pa.int64())
-                yield number_batch(PAIRS, none, none, part[2][more], part[3][more], none)
+                yield number_batch(PAIRS, none, none, part[2][more], part[3][more])
 
 
 def _cut(part: pa.RecordBatch, column: str) -> tuple[np.ndarray, ...]:
@@ -340,8 +350,11 @@ def _cut(part: pa.RecordBatch, column: str) -> tuple[np.ndarray, ...]:
     return data, start, stop, row, number, listed
 
 
+PARITIES = [f"w{i}" for i in range(WIDE)]
+
+
 def _needed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The tokens of the lines that are listed."""
+    """The tokens and wide parities of the lines that are listed."""
     for batch in batches:
         for part in slices(batch):
             data, start, stop, row, number, listed = _cut(part, "places")
@@ -352,16 +365,29 @@ def _needed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             s = LineSets(pa.LargeStringArray.from_buffers(len(k), pa.py_buffer(cuts), pa.py_buffer(np.ascontiguousarray(chosen))))
             doc, place = _places(part, row[k[s.row]], number[k[s.row]])
             at = np.concatenate(([0], np.cumsum(s.size))).astype(np.int32)
-            yield pa.record_batch([pa.array(doc), pa.array(place), pa.ListArray.from_arrays(pa.array(at), pa.array(signed(s.token)))], names=["doc_id", "place", "tokens"])
+            tokens = pa.ListArray.from_arrays(pa.array(at), pa.array(signed(s.token)))
+            yield pa.record_batch([pa.array(doc), pa.array(place), tokens, *(pa.array(signed(x)) for x in s.wide_parities())], names=["doc_id", "place", "tokens", *PARITIES])
 
 
 LINE = ["doc_id", "place"]
 
 
 def _tokens(named: DataFrame, lines: DataFrame) -> tuple[DataFrame, str]:
-    """doc_id, place and tokens of these lines, in a table of its own, and its path."""
+    """doc_id, place, tokens and wide parities of these lines, in a table of its own, and its path."""
     lists = lines.groupBy("doc_id").agg(F.collect_set("place").alias("places"))
-    return written(named.join(lists, "doc_id").mapInArrow(_needed, "doc_id long, place long, tokens array<long>").dropDuplicates(LINE), "sets")
+    return written(named.join(lists, "doc_id").mapInArrow(_needed, "doc_id long, place long, tokens array<long>, " + ", ".join(f"{w} long" for w in PARITIES)).dropDuplicates(LINE), "sets")
+
+
+def _close(pairs: DataFrame, sets: DataFrame, rate: Fraction) -> DataFrame:
+    """The pairs that may match by their sizes and wide parities, and (far) in how many bits they differ; no tokens are moved."""
+    p, q = rate.as_integer_ratio()
+    for t in "ab":
+        side = sets.select(F.col("doc_id").alias(f"{t}_doc"), F.col("place").alias(f"{t}_place"), F.size("tokens").alias(f"{t}_size"), *(F.col(w).alias(f"{t}_{w}") for w in PARITIES))
+        pairs = pairs.join(side, [f"{t}_doc", f"{t}_place"])
+    far = sum((F.bit_count(F.col(f"a_{w}").bitwiseXOR(F.col(f"b_{w}"))) for w in PARITIES), F.lit(0))
+    total = F.col("a_size") + F.col("b_size")
+    fits = (q * F.least("a_size", "b_size") >= p * F.greatest("a_size", "b_size")) & ((q + p) * far <= (q - p) * total)
+    return pairs.filter(fits).select("a_doc", "a_place", "b_doc", "b_place", far.alias("far"))
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, rate: Fraction) -> DataFrame:
@@ -408,9 +434,9 @@ def _gone(named: DataFrame, rate: Fraction) -> DataFrame:
     firsts, path = written(lines.groupBy("x", "y").agg(F.min(F.struct("doc_id", "place")).alias("f")).select("x", "y", F.col("f.doc_id").alias("doc_id"), F.col("f.place").alias("place")), "firsts")
     paths.append(path)
     one = lambda t, c: firsts.select(F.col("x").alias(c), F.struct(*LINE).alias(t))
-    pairs = found.filter("kind = 1").select("x", "y", F.col("place").alias("far")).distinct().join(one("f", "x"), "x").join(one("g", "y"), "y")
-    pairs = pairs.select(F.least("f", "g").alias("a"), F.greatest("f", "g").alias("b"), "far").filter("a < b")
-    pairs = pairs.select(F.col("a.doc_id").alias("a_doc"), F.col("a.place").alias("a_place"), F.col("b.doc_id").alias("b_doc"), F.col("b.place").alias("b_place"), "far")
+    pairs = found.filter("kind = 1").select("x", "y").distinct().join(one("f", "x"), "x").join(one("g", "y"), "y")
+    pairs = pairs.select(F.least("f", "g").alias("a"), F.greatest("f", "g").alias("b")).filter("a < b")
+    pairs = pairs.select(F.col("a.doc_id").alias("a_doc"), F.col("a.place").alias("a_place"), F.col("b.doc_id").alias("b_doc"), F.col("b.place").alias("b_place"))
     large = found.filter("kind = 2").select("key", "x", "y", F.col("place").alias("info"))
     large, path = written(large.distinct().join(firsts.select("x", *LINE), "x").select("key", "y", "info", *LINE), "large")
     paths.append(path)
@@ -421,6 +447,9 @@ def _gone(named: DataFrame, rate: Fraction) -> DataFrame:
     ends = [t.select(F.col(d).alias("doc_id"), F.col(p).alias("place")) for t, d, p in ((pairs, "a_doc", "a_place"), (pairs, "b_doc", "b_place"), (large, "doc_id", "place"))]
     sets, path = _tokens(named, ends[0].union(ends[1]).union(ends[2]))
     paths.append(path)
+    pairs, path = written(_close(pairs, sets, rate), "close")
+    paths.append(path)
+    sets = sets.drop(*PARITIES)
     # the nearest earlier line first; of those that it doesn't settle, all; last, those that have more in a key of many
     nearest = pairs.groupBy("b_doc", "b_place").agg(F.min(F.struct("far", "a_doc", "a_place")).alias("n")).select("n.a_doc", "n.a_place", "b_doc", "b_place")
     similar, path = written(_verified(nearest, sets, rate), "later")
@@ -491,7 +520,7 @@ def remove_similar_lines(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
        parity bits of each set), and become pairs.  Of a key with more than GROUP sets each line is compared with the
        first GROUP ones, and the nearest become pairs; those that match none of these, and may match others, are
        compared with all earlier lines of the key, in a join by key and size that skew handling can split.
-    4. Pairs are verified on all tokens, by 64-bit hashes.
+    4. Pairs are compared by more parity bits, and what is left is verified on all tokens, by 64-bit hashes.
 
     A null text stays null and has no lines.  A row without a doc_id is returned as it is.  Rows that repeat a
     doc_id are ordered by a hash of their texts; of rows with the same text too, each keeps the same lines.
