@@ -354,9 +354,15 @@ PARITIES = [f"w{i}" for i in range(WIDE)]
 
 
 def _needed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The tokens and wide parities of the lines that are listed."""
+    """The tokens and wide parities of the lines that are listed; of rows that repeat an id and a text, the task's first alone."""
+    seen: set[tuple[int, int]] = set()
     for batch in batches:
         for part in slices(batch):
+            names = list(zip(*(part.column(c).to_pylist() for c in ("doc_id", "tag"))))
+            first = [not (x in seen or seen.add(x)) for x in names]
+            if len(seen) > SEEN:  # what comes again later is only a repeated row
+                seen.clear()
+            part = part.filter(pa.array(first, pa.bool_()))
             data, start, stop, row, number, listed = _cut(part, "places")
             k = np.flatnonzero(listed)
             size = stop[k] - start[k]
@@ -373,9 +379,12 @@ LINE = ["doc_id", "place"]
 
 
 def _tokens(named: DataFrame, lines: DataFrame) -> tuple[DataFrame, str]:
-    """doc_id, place, tokens and wide parities of these lines, in a table of its own, and its path."""
+    """doc_id, place, tokens and wide parities of these lines, in a table of its own, and its path.
+
+    Rows of one doc_id meet in one task but where a join is split or broadcast; repeats that this leaves do no harm.
+    """
     lists = lines.groupBy("doc_id").agg(F.collect_set("place").alias("places"))
-    return written(named.join(lists, "doc_id").mapInArrow(_needed, "doc_id long, place long, tokens array<long>, " + ", ".join(f"{w} long" for w in PARITIES)).dropDuplicates(LINE), "sets")
+    return written(named.join(lists, "doc_id").mapInArrow(_needed, "doc_id long, place long, tokens array<long>, " + ", ".join(f"{w} long" for w in PARITIES)), "sets")
 
 
 def _close(pairs: DataFrame, sets: DataFrame, rate: Fraction) -> DataFrame:
@@ -387,7 +396,7 @@ def _close(pairs: DataFrame, sets: DataFrame, rate: Fraction) -> DataFrame:
     far = sum((F.bit_count(F.col(f"a_{w}").bitwiseXOR(F.col(f"b_{w}"))) for w in PARITIES), F.lit(0))
     total = F.col("a_size") + F.col("b_size")
     fits = (q * F.least("a_size", "b_size") >= p * F.greatest("a_size", "b_size")) & ((q + p) * far <= (q - p) * total)
-    return pairs.filter(fits).select("a_doc", "a_place", "b_doc", "b_place", far.alias("far"))
+    return pairs.filter(fits).select("a_doc", "a_place", "b_doc", "b_place", far.alias("far")).distinct()
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, rate: Fraction) -> DataFrame:
