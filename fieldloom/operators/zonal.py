@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+from functools import reduce
+from operator import and_, or_
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expr import finite, ratio
@@ -30,11 +34,42 @@ def with_every_field(fields: DataFrame, stats: DataFrame, key: str, bands: list[
 
 
 def weighted_stats(pixels: DataFrame, keys: list[str], value: str, weight: str) -> DataFrame:
-    """Coverage-weighted mean, standard deviation and count, and how many pixels."""
+    """Coverage-weighted mean, median, standard deviation and count, the least and greatest value, and how many pixels.
+
+    The median is the first value, in ascending order, up to which there is half of the weight.  Pixels of one value
+    are added up first, so that what a field's window orders are its distinct values."""
     v, w = finite(F.col(value)).cast("double"), F.col(weight).cast("double")
     valid = v.isNotNull() & (w > 0)
-    sums = pixels.groupBy(*keys).agg(
-        F.sum(F.when(valid, w)).alias("effective"), F.sum(F.when(valid, w * v)).alias("total"), F.sum(F.when(valid, w * v * v)).alias("squares"), F.count(F.when(valid, 1)).alias("n_pixels"), F.sum(w).alias("all_weight")
-    )
-    mean = ratio(F.col("total"), F.col("effective"))
-    return sums.select(*keys, mean.alias("w_mean"), F.sqrt(F.greatest(F.lit(0.0), ratio(F.col("squares"), F.col("effective")) - mean * mean)).alias("w_std"), "n_pixels", F.coalesce("effective", F.lit(0.0)).alias("effective_count"), ratio(F.coalesce("effective", F.lit(0.0)), F.col("all_weight")).alias("coverage_fraction"))
+    by_value = pixels.groupBy(*keys, F.when(valid, v).alias("_v")).agg(F.sum(w).alias("_all"), F.sum(F.when(valid, w)).alias("_w"), F.count(F.when(valid, 1)).alias("_n"))
+    field = Window.partitionBy(*keys)
+    upto = F.sum("_w").over(field.orderBy(F.col("_v").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0))
+    t = by_value.withColumn("_upto", upto).withColumn("_half", F.sum("_w").over(field) / 2)
+    sums = t.groupBy(*keys).agg(
+        F.sum("_w").alias("effective"), F.sum(F.col("_w") * F.col("_v")).alias("total"), F.sum(F.col("_w") * F.col("_v") * F.col("_v")).alias("squares"), F.sum("_n").alias("n_pixels"), F.sum("_all").alias("all_weight"),
+        F.min(F.when(F.col("_upto") >= F.col("_half") * (1 - 1e-12), F.col("_v"))).alias("w_median"), F.min("_v").alias("w_min"), F.max("_v").alias("w_max"),
+    )
+    mean, effective = ratio(F.col("total"), F.col("effective")), F.coalesce("effective", F.lit(0.0))
+    spread = F.sqrt(F.greatest(F.lit(0.0), ratio(F.col("squares"), F.col("effective")) - mean * mean))
+    return sums.select(*keys, mean.alias("w_mean"), "w_median", "w_min", "w_max", spread.alias("w_std"), "n_pixels", effective.alias("effective_count"), ratio(effective, F.col("all_weight")).alias("coverage_fraction"))
+
+
+def buffers(points: DataFrame, keys: list[str], sensors: list[str], least: Column, widths: tuple[int, ...] = (10, 5, 0)) -> DataFrame:
+    """The first inward buffer (metres) that leaves every sensor `least` pixels, or else the last, with each sensor's
+    pixels before and after, and whether too few are left.
+
+    points: keys, inside, distance (to the boundary) and a boolean column of each sensor: whether the point is its
+    pixel.  least is an expression of the keys."""
+    within = {d: F.col("inside") if d == 0 else F.col("inside") & (F.col("distance") > d) for d in widths}
+    n = points.groupBy(*keys).agg(*(F.count_if(F.col(s) & c).alias(f"_{s}_{d}") for s in sensors for d, c in within.items()))
+    enough = {d: reduce(and_, (F.col(f"_{s}_{d}") >= least for s in sensors)) for d in widths}
+
+    def chosen(of: Callable[[int], Column]) -> Column:
+        out = of(widths[-1])
+        for d in reversed(widths[:-1]):
+            out = F.when(enough[d], of(d)).otherwise(out)
+        return out
+
+    after = {s: chosen(lambda d, s=s: F.col(f"_{s}_{d}")) for s in sensors}
+    few = reduce(or_, (v < least for v in after.values()))
+    pairs = [x for s in sensors for x in (F.col(f"_{s}_{widths[-1]}").alias(f"{s}_before"), after[s].alias(f"{s}_after"))]
+    return n.select(*keys, chosen(lambda d: F.lit(d)).alias("buffer_width_m"), *pairs, few.alias("below_min_pixel_threshold"))

@@ -43,8 +43,10 @@ def zonal_stats_dim_preserving(t: Tables) -> DataFrame:
 
 
 @query("""with p as (select l_suppkey, nullif(l_extendedprice, 0) as v, case when l_linenumber = 1 then 0 else l_discount + 0.01 end as w from lineitem),
-s as (select l_suppkey, sum(w) filter (w > 0) as effective, sum(w * v) filter (w > 0) as total, sum(w * v * v) filter (w > 0) as squares, count(*) filter (w > 0) as n_pixels, sum(w) as all_weight from p group by 1)
-select l_suppkey, round(total / effective, 3) as w_mean, round(sqrt(greatest(0, squares / effective - (total / effective) * (total / effective))), 3) as w_std, n_pixels, round(effective, 6) as effective_count, round(effective / all_weight, 6) as coverage_fraction from s""")
+s as (select l_suppkey, sum(w) filter (w > 0) as effective, sum(w * v) filter (w > 0) as total, sum(w * v * v) filter (w > 0) as squares, count(*) filter (w > 0) as n_pixels, sum(w) as all_weight from p group by 1),
+m as (select l_suppkey, v, sum(w) as w, sum(sum(w)) over (partition by l_suppkey order by v) as upto, sum(sum(w)) over (partition by l_suppkey) / 2 as half from p where w > 0 and v is not null group by 1, 2),
+n as (select l_suppkey, min(v) filter (upto >= half * (1 - 1e-12)) as w_median, min(v) as w_min, max(v) as w_max from m group by 1)
+select l_suppkey, round(total / effective, 3) as w_mean, round(w_median, 3) as w_median, round(w_min, 3) as w_min, round(w_max, 3) as w_max, round(sqrt(greatest(0, squares / effective - (total / effective) * (total / effective))), 3) as w_std, n_pixels, round(effective, 6) as effective_count, round(effective / all_weight, 6) as coverage_fraction from s left join n using (l_suppkey)""")
 def zonal_weighted(t: Tables) -> DataFrame:
     pixels = t.lineitem.withColumn("w", F.when(F.col("l_linenumber") == 1, 0.0).otherwise(F.col("l_discount") + 0.01))
     out = zonal.weighted_stats(pixels, ["l_suppkey"], "l_extendedprice", "w")
@@ -182,12 +184,15 @@ def point_in_polygon(t: Tables) -> DataFrame:
     return rounded(_judged(t).groupBy("s_suppkey").agg(F.count_if("inside").alias("n_inside"), F.sum(F.when(F.col("inside"), F.col("distance"))).alias("total_distance")))
 
 
-@query(f"with {_points_sql}, n as (select s_suppkey, count(*) filter (inside and distance > 10) as n10, count(*) filter (inside and distance > 5) as n5, count(*) filter (inside) as n0, s_suppkey % 20 as least from judged group by 1) select s_suppkey, cast(case when n10 >= least then 10 when n5 >= least then 5 else 0 end as int) as buffer_width_m, case when n10 >= least then n10 when n5 >= least then n5 else n0 end as pixel_count_after, n0 < least as below_min_pixel_threshold from n")
+_counts_sql = ", ".join(f"count(*) filter (inside and distance > {d} and {where}) as {sensor}_{d}" for sensor, where in (("s1", "x % 8 = 0"), ("s2", "true")) for d in (0, 5, 10)).replace("distance > 0", "true")
+_choice_sql = "case when s1_10 >= least and s2_10 >= least then {}10 when s1_5 >= least and s2_5 >= least then {}5 else {}0 end"
+
+
+@query(f"with {_points_sql}, n as (select s_suppkey, {_counts_sql}, s_suppkey % 20 as least from judged group by 1), c as (select *, {_choice_sql.format('', '', '')} as width, {_choice_sql.format(*['s1_'] * 3)} as s1_after, {_choice_sql.format(*['s2_'] * 3)} as s2_after from n) select s_suppkey, cast(width as int) as buffer_width_m, s1_0 as s1_before, s1_after, s2_0 as s2_before, s2_after, s1_after < least or s2_after < least as below_min_pixel_threshold from c")
 def adaptive_buffer(t: Tables) -> DataFrame:
-    n = _judged(t).groupBy("s_suppkey").agg(F.count_if(F.expr("inside and distance > 10")).alias("n10"), F.count_if(F.expr("inside and distance > 5")).alias("n5"), F.count_if("inside").alias("n0"))
-    least = F.col("s_suppkey") % 20
-    wide, narrow = F.col("n10") >= least, F.col("n5") >= least
-    return n.select("s_suppkey", F.when(wide, 10).when(narrow, 5).otherwise(0).alias("buffer_width_m"), F.when(wide, F.col("n10")).when(narrow, F.col("n5")).otherwise(F.col("n0")).alias("pixel_count_after"), (F.col("n0") < least).alias("below_min_pixel_threshold"))
+    """Both sensors see the points; the first has every other column of them only."""
+    seen = _judged(t).withColumn("s1", F.col("x") % 8 == 0).withColumn("s2", F.lit(True))
+    return zonal.buffers(seen, ["s_suppkey"], ["s1", "s2"], F.col("s_suppkey") % 20)
 
 
 @query("select s_suppkey, round(abs((-20 * -15 - 25 * -20) + (25 * 0 - 5 * -15) + (5 * 25 - 20 * 0) + (20 * -20 - -20 * 25)) / 2, 6) as area_m2, s_acctbal > 0 as has_area, round(case when s_acctbal > 0 then s_acctbal else 550.0 end, 6) as area_used from supplier")

@@ -129,12 +129,15 @@ def gap_fill_rolling_median(t: Tables) -> DataFrame:
     return rounded(_smooth(t).select("field_id", F.col("w").cast("string").alias("w"), "filled", "smoothed"))
 
 
-@query(f"""with {_fill_sql}, r as (select *, count(smoothed) over (partition by field_id order by w) as f, count(smoothed) over (partition by field_id order by w desc) as b from smooth),
+_bound_sql = """r as (select *, count(smoothed) over (partition by field_id order by w) as f, count(smoothed) over (partition by field_id order by w desc) as b from smooth),
 e as (select field_id, count(smoothed) as valid_weeks, max(smoothed) as peak_value, median(smoothed) filter (f <= 3 or b <= 3) as base from r group by 1),
 p as (select r.*, e.valid_weeks, e.peak_value, e.base, round(e.base + 0.2 * (e.peak_value - e.base), 9) as threshold, min(case when smoothed = peak_value then w end) over (partition by field_id) as peak_week from r join e using (field_id)),
 h as (select *, coalesce(smoothed >= threshold and w <= peak_week, false) as above, coalesce(smoothed <= threshold and w >= peak_week, false) as below from p),
 q as (select *, above and coalesce(lead(above) over o, false) as up, below and coalesce(lead(below) over o, false) as down from h window o as (partition by field_id order by w)),
-z as (select field_id, valid_weeks, peak_value, base, peak_week, min(w) filter (up) as sos, min(w) filter (down) as eos from q group by 1, 2, 3, 4, 5)
+z as (select field_id, valid_weeks, peak_value, base, peak_week, min(w) filter (up) as sos, min(w) filter (down) as eos from q group by 1, 2, 3, 4, 5)"""
+
+
+@query(f"""with {_fill_sql}, {_bound_sql}
 select field_id, valid_weeks, round(peak_value, 6) as peak_value, round(base, 6) as base, cast(peak_week as varchar) as peak_week, cast(sos as varchar) as sos, cast(eos as varchar) as eos,
 case when valid_weeks = 0 then 'no_data' when valid_weeks < 6 then 'too_few_weeks' when peak_value - base < 0.2 then 'low_amplitude' when sos is null and eos is null then 'no_boundary' when sos is null or eos is null then 'one_boundary' else 'detected' end as qa_status from z""")
 def phenology(t: Tables) -> DataFrame:
@@ -167,19 +170,54 @@ def _variant_out(n: str) -> str:
     return f"round(npp_{n}, 4) as npp_{n}, cast(days_{n} as bigint) as days_{n}, periods_{n}, round(coalesce(days_{n}, 0) / (date_diff('day', {start}, {end}) + 1), 6) as temporal_{n}, round(c_{n} / nullif(days_{n}, 0), 6) as spatial_{n}"
 
 
+def _dekads(t: Tables) -> DataFrame:
+    day = F.col("l_shipdate").cast("date")
+    start = F.date_add(F.trunc(day, "month"), (10 * F.least(F.lit(2), F.floor((F.dayofmonth(day) - 1) / 10))).cast("int"))
+    p = t.lineitem.filter(F.year("l_shipdate") == 1996).groupBy(F.col("l_suppkey").alias("field_id"), start.alias("period_start")).agg(F.avg("l_quantity").alias("rate"), (F.avg("l_discount") * 10).alias("coverage"))
+    return p.withColumn("period_end", F.when(F.dayofmonth("period_start") < 21, F.date_add("period_start", 9)).otherwise(F.last_day("period_start")))
+
+
 @query(f"with {_season_sql}, {_dekad_sql}, a as (select field_id, sos, eos, {', '.join(map(_variant_sql, _bounds_sql))} from seasons left join ends using (field_id) group by 1, 2, 3) select field_id, " + ", ".join(map(_variant_out, _bounds_sql)) + " from a")
 def npp_integration(t: Tables) -> DataFrame:
     k = F.col("s_suppkey")
     seasons = t.supplier.select(k.alias("field_id"), F.date_add(F.lit("1996-03-11").cast("date"), (k % 30).cast("int")).alias("sos"), F.date_add(F.lit("1996-06-01").cast("date"), (k % 25).cast("int")).alias("eos"), F.lit("1996-03-01").cast("date").alias("season_first"), F.lit("1996-08-31").cast("date").alias("season_last"))
-    day = F.col("l_shipdate").cast("date")
-    start = F.date_add(F.trunc(day, "month"), (10 * F.least(F.lit(2), F.floor((F.dayofmonth(day) - 1) / 10))).cast("int"))
-    p = t.lineitem.filter(F.year("l_shipdate") == 1996).groupBy(F.col("l_suppkey").alias("field_id"), start.alias("period_start")).agg(F.avg("l_quantity").alias("rate"), (F.avg("l_discount") * 10).alias("coverage"))
-    p = p.withColumn("period_end", F.when(F.dayofmonth("period_start") < 21, F.date_add("period_start", 9)).otherwise(F.last_day("period_start")))
+    p = _dekads(t)
     out = yields.integrated(seasons, p, "field_id").drop("sos", "eos")
     npp = ["npp_central", "npp_narrow", "npp_wide"]
     return rounded(rounded(out, *(c for c in out.columns if c not in npp), places=4))
 
 
+_optics_sql = f"""g as (select s_suppkey as field_id, w from supplier, ({_axis.format(*SEASON)})),
+o as (select l_suppkey as field_id, cast(date_trunc('week', l_shipdate) as date) as w, avg(l_discount) filter (l_quantity > 20) as a, avg(l_tax) filter (l_quantity > 20) as b, avg(l_extendedprice) filter (l_quantity > 20) as c, avg(l_quantity) as r from lineitem group by 1, 2),
+s as (select g.field_id, g.w, a, b, c, r from g left join o on o.field_id = g.field_id and o.w = g.w),
+m as (select field_id, w, {", ".join(f"{_norm_sql(v)} as n{v}" for v in "abcr")} from s window f as (partition by field_id)),
+x as (select field_id, w, nr, list_aggregate([na, nb, nc], 'median') as optical, round(coalesce(list_aggregate([na, nb, nc], 'median'), nr), 9) as signal from m)"""
+_seasons_sql = f"""{_optics_sql}{_fill_sql.removeprefix(_norms_sql)}, {_bound_sql},
+c as (select field_id, count(optical) as optical_valid_weeks, count(*) filter (optical is null and nr is not null) as sar_supported_weeks, count(*) as n_weeks from x group by 1),
+u as (select *, {_SEASON[0]} as first_day, {_SEASON[1]} as last_day, peak_value - base as amplitude, optical_valid_weeks < 6 or valid_weeks < 6 as few from z join c using (field_id)),
+u2 as (select *, not few and coalesce(amplitude < 0.2, true) as weak, valid_weeks > 0 and (coalesce(sos, first_day) > peak_week or coalesce(eos, last_day) < peak_week or coalesce(sos, first_day) >= coalesce(eos, last_day)) as wrong from u),
+u3 as (select *, not wrong and sos is not null and eos is not null as both_found, least(0.95, 0.35 + 0.35 * least(1.0, optical_valid_weeks / greatest(1, n_weeks)) + 0.25 * least(1.0, amplitude)) as score from u2),
+found as (select field_id, case when few or weak or wrong then first_day else coalesce(sos, first_day) end as sos, peak_week as peak_date, case when few or weak or wrong then last_day else coalesce(eos, last_day) end as eos,
+  case when few or weak then 'full-season-fallback' when both_found then 'optical-rvi-relative-threshold-v1-matrix' else 'optical-rvi-relative-threshold-v1-matrix-one-boundary-fallback' end as method,
+  round(case when few and valid_weeks = 0 then 0.0 when few then 0.15 when weak then 0.2 when both_found then score else score * 0.65 end, 4) as confidence,
+  case when few and valid_weeks = 0 then 'no_weekly_signal' when few then 'insufficient_optical_weeks' when weak then 'weak_seasonal_amplitude' when both_found then 'detected' else 'partial_boundary_fallback' end as qa_status, optical_valid_weeks, sar_supported_weeks from u3)"""
+_dates = ", ".join(f"cast({c} as varchar) as {c}" for c in ("sos", "peak_date", "eos"))
+
+
+def _seasons(t: Tables) -> DataFrame:
+    seen = F.col("l_quantity") > 20
+    o = t.lineitem.groupBy(F.col("l_suppkey").alias("field_id"), monday(F.col("l_shipdate")).alias("w")).agg(
+        F.avg(F.when(seen, F.col("l_discount"))).alias("a"), F.avg(F.when(seen, F.col("l_tax"))).alias("b"), F.avg(F.when(seen, F.col("l_extendedprice"))).alias("c"), F.avg("l_quantity").alias("r")
+    )
+    first, last = (F.lit(d).cast("date") for d in ("1996-03-01", "1996-08-31"))
+    return timeseries.seasons(_grid(t, *SEASON).join(o, ["field_id", "w"], "left"), "field_id", "w", ["a", "b", "c"], "r", first, last)
+
+
+@query(f"with {_seasons_sql} select field_id, {_dates}, method, confidence, qa_status, optical_valid_weeks, sar_supported_weeks from found")
+def season_phenology(t: Tables) -> DataFrame:
+    return _seasons(t).withColumns({c: F.col(c).cast("string") for c in ("sos", "peak_date", "eos")})
+
+
 _crop_rows = ", ".join("('" + c + "', " + ", ".join(str(x) for f in yields.FACTORS for x in v[f]) + ")" for c, v in yields.CROPS.items())
 _crop_sql = f"""crops(crop, {", ".join(f"{f}_{x}" for f in yields.FACTORS for x in yields.LEVELS)}) as (values {_crop_rows}),
 f as (select c_custkey, c_nationkey, case c_custkey % 4 when 0 then 'maize' when 1 then 'beans' when 2 then 'potatoes' else 'tea' end as crop, c_acctbal, case when c_acctbal > 0 then c_acctbal / 1000 end as area_ha, c_mktsegment from customer),
@@ -212,9 +250,47 @@ def yield_summary(t: Tables) -> DataFrame:
     return rounded(y)
 
 
-@query(f"with {_side.format('O').join(['a as (', ')'])} select l.c_nationkey as county, r.field_id, count(*) as n_weeks from a r join (select s_suppkey, s_nationkey as c_nationkey from supplier where lower(s_name) like '%supplier%' or s_suppkey >= 0) l on l.s_suppkey = r.field_id group by 1, 2")
+_levels = ", ".join(f"round(case when eligible then tbp * fc_{x} * aot_{x} * hi_{x} / (1 - moisture_{x}) end, 4) as yield_{x}, round(case when eligible then tbp * fc_{x} * aot_{x} * hi_{x} / (1 - moisture_{x}) * area_ha end, 3) as production_{x}" for x in yields.LEVELS)
+_moved = ", ".join(f"round(case when eligible then npp_{v} * 0.022222 * fc_central * aot_central * hi_central / (1 - moisture_central) end, 4) as yield_{v}" for v in ("narrow", "wide"))
+_yield_sql = f"""{_seasons_sql}, {_dekad_sql.replace("10 as coverage", "18 as coverage")}, sums as (select field_id, sos, eos, {", ".join(map(_variant_sql, _bounds_sql))} from found left join ends using (field_id) group by 1, 2, 3),
+metrics as (select field_id, npp_central, npp_narrow, npp_wide, coalesce(days_central, 0) / (date_diff('day', sos, eos) + 1) as temporal, c_central / nullif(days_central, 0) as spatial from sums),
+crops(crop, {", ".join(f"{f}_{x}" for f in yields.FACTORS for x in yields.LEVELS)}) as (values {{rows}}),
+plots as (select s_suppkey as field_id, s_nationkey as county, s_suppkey % 9 + 0.5 as area_ha, case s_suppkey % 4 when 0 then 'yes' when 1 then 'no' when 2 then 'unknown' end as intercrop, case s_suppkey % 3 when 0 then 'Sweet_Corn' when 1 then 'bean-plot' end as survey from supplier),
+labels_ as (select s_suppkey as field_id, case s_suppkey % 5 when 0 then 'Maize' when 1 then 'beans' when 2 then 'POTATOES' when 3 then 'tea' end as label, case when s_suppkey % 13 > 0 then (s_suppkey % 10) / 10.0 end as sure, case when s_suppkey % 11 = 0 then 'provisional' else 'final' end as status from supplier where s_suppkey % 17 > 0),
+joined as (select plots.*, lower(coalesce(label, 'unclassified')) as crop, sure, status, npp_central, npp_narrow, npp_wide, npp_central * 0.022222 as tbp, temporal, spatial, coalesce(intercrop, 'unknown') as mix from plots left join labels_ using (field_id) left join metrics using (field_id)),
+rated as (select joined.*, crops.* exclude (crop), fc_central is not null as supported, coalesce(status = 'final', false) as final, coalesce(sure >= 0.2, false) as confident, mix = 'no' and coalesce(not list_has_any(string_split_regex(translate(lower(trim(survey)), '_-', '  '), '\\s+'), case crop when 'maize' then ['maize', 'corn'] when 'beans' then ['bean', 'beans'] when 'potatoes' then ['potato', 'potatoes'] else [crop] end), false) as mismatch, coalesce(temporal >= 0.8, false) as long_enough, coalesce(spatial >= 0.8, false) as wide_enough, npp_central is not null as known from joined left join crops using (crop)),
+judged as (select *, supported and final and confident and mix <> 'yes' and not mismatch and long_enough and wide_enough and known as eligible from rated)"""
+_yield_sql = _yield_sql.replace("{rows}", _crop_rows)
+_flags = {
+    "unsupported_or_unclassified_crop": "not supported", "seasonal_status_not_final": "not final", "crop_confidence_below_threshold": "not confident", "mixed_crop_biomass_only": "mix = 'yes'", "survey_crop_mismatch": "mismatch",
+    "low_npp_temporal_coverage": "not long_enough and supported and final", "low_npp_spatial_coverage": "not wide_enough and supported and final", "missing_npp": "not known and supported and final", "intercrop_unknown": "eligible and mix = 'unknown'",
+}
+_flag_sql = ", ".join(f"case when {c} then '{name}' end" for name, c in _flags.items())
+
+
+def _season_yield(t: Tables) -> DataFrame:
+    """Labels and survey answers stand in for what a model and a survey say of each field."""
+    k = F.col("s_suppkey")
+    fields = t.supplier.select(k.alias("field_id"), F.col("s_nationkey").alias("county"), (k % 9 + 0.5).alias("area_ha"), F.when(k % 4 == 0, "yes").when(k % 4 == 1, "no").when(k % 4 == 2, "unknown").alias("intercrop_status"), F.when(k % 3 == 0, "Sweet_Corn").when(k % 3 == 1, "bean-plot").alias("survey_crop_text"))
+    label = F.when(k % 5 == 0, "Maize").when(k % 5 == 1, "beans").when(k % 5 == 2, "POTATOES").when(k % 5 == 3, "tea")
+    labels = t.supplier.filter(k % 17 > 0).select(k.alias("field_id"), F.col("s_nationkey").alias("county"), label.alias("seasonal_label"), F.when(k % 13 > 0, (k % 10) / 10.0).alias("seasonal_confidence"), F.when(k % 11 == 0, "provisional").otherwise("final").alias("status"))
+    found = _seasons(t)
+    first, last = (F.lit(d).cast("date") for d in ("1996-03-01", "1996-08-31"))
+    periods = _dekads(t).withColumn("coverage", F.col("coverage") * 1.8)
+    metrics = yields.integrated(found.select("field_id", "sos", "eos", first.alias("season_first"), last.alias("season_last")), periods, "field_id")
+    return yields.season_yield(fields, labels, found, metrics, yields.crop_factors(t.spark), confidence=0.2)
+
+
+@query(f"with {_yield_sql} select field_id, county, crop, {_levels}, {_moved}, case when eligible and mix = 'unknown' then 'calculated_unvalidated_intercrop_unknown' when eligible then 'calculated_unvalidated' else 'not_calculated' end as yield_status, concat_ws(';', {_flag_sql}) as qa_flags from judged")
+def season_yield(t: Tables) -> DataFrame:
+    y = _season_yield(t)
+    amounts = [c for x in yields.LEVELS for c in (f"yield_{x}", f"production_{x}")] + ["yield_narrow", "yield_wide"]
+    return y.select("field_id", "county", F.when(F.col("crop_label") == "Unclassified", "unclassified").otherwise(F.col("crop_label")).alias("crop"), *(F.round(c, 3 if c.startswith("production") else 4).alias(c) for c in amounts), "yield_status", "qa_flags")
+
+
+@query(f"with {_side.format('O').join(['a as (', ')'])} select l.c_nationkey as county, r.field_id, count(*) as n_weeks from a r join (select s_suppkey, s_nationkey as c_nationkey from supplier where lower(substr(s_name, -1)) in ('1', '3', '5', '7')) l on l.s_suppkey = r.field_id group by 1, 2")
 def predictions_join(t: Tables) -> DataFrame:
-    fields = t.supplier.filter(F.lower("s_name").contains("supplier") | (F.col("s_suppkey") >= 0)).select(F.col("s_suppkey").alias("field_id"), F.col("s_nationkey").alias("county"))
+    fields = t.supplier.filter(F.lower(F.substring("s_name", -1, 1)).isin("1", "3", "5", "7")).select(F.col("s_suppkey").alias("field_id"), F.col("s_nationkey").alias("county"))
     return _sensor(t, "O").join(fields, "field_id").groupBy("county", "field_id").agg(F.count("*").alias("n_weeks"))
 
 

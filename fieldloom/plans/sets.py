@@ -150,11 +150,14 @@ def safe_name_parse(t: Tables) -> DataFrame:
     return t.customer.select("c_custkey", part[0].alias("platform"), part[1].alias("sensor_mode"), F.substring(part[2], 1, 8).alias("acq"))
 
 
-@query("select p_partkey, case when trim(m) <> '' or regexp_matches(lower(trim(p)), 'mix|intercrop') then 'yes' when regexp_matches(lower(trim(p)), 'mono|single') then 'no' else 'unknown' end as intercrop from (select p_partkey, case p_size % 4 when 0 then 'Mono_culture' when 1 then 'mixed_cropping' when 2 then '' else 'other' end as p, case when p_size % 7 = 0 then 'maize beans' else ' ' end as m from part)")
+@query("""with s as (select p_partkey, case p_size % 4 when 0 then 'Mono_culture' when 1 then 'mixed_cropping' when 2 then '' else 'other' end as p, case when p_size % 7 = 0 then 'maize beans' else ' ' end as m, case when p_size % 5 = 0 then ' maize ' end as o from part)
+select p_partkey, case when trim(m) <> '' or regexp_matches(lower(p), 'mix|intercrop') then 'yes' when trim(o) <> '' or regexp_matches(lower(p), 'mono|single') then 'no' else 'unknown' end as intercrop, coalesce(nullif(trim(m), ''), trim(o)) as crop_text from s""")
 def intercrop_class(t: Tables) -> DataFrame:
     k = F.col("p_size") % 4
-    p = F.when(k == 0, "Mono_culture").when(k == 1, "mixed_cropping").when(k == 2, "").otherwise("other")
-    return t.part.select("p_partkey", yields.intercrop(p, F.when(F.col("p_size") % 7 == 0, "maize beans").otherwise(" ")).alias("intercrop"))
+    pattern = F.when(k == 0, "Mono_culture").when(k == 1, "mixed_cropping").when(k == 2, "").otherwise("other")
+    s = t.part.select("p_partkey", pattern.alias("cropping_pattern_2"), F.when(F.col("p_size") % 7 == 0, "maize beans").otherwise(" ").alias("croptype_mixed_2"), F.when(F.col("p_size") % 5 == 0, " maize ").alias("croptype_mono_2"))
+    kind, text = yields.survey_answers(s, "lr")
+    return s.select("p_partkey", kind.alias("intercrop"), text.alias("crop_text"))
 
 
 @query("select p_partkey, case when trim(s) <> '' then len(list_intersect(string_split_regex(translate(lower(trim(s)), '_-', '  '), '\\s+'), ['maize', 'corn'])) > 0 end as matches from (select p_partkey, case p_size % 3 when 0 then 'Sweet_Corn' when 1 then 'irish-potato' else null end as s from part)")

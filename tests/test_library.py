@@ -206,3 +206,70 @@ def test_greedy_cover_is_the_plain_loop_over_all_scenes(spark):
     assert got == {g: _plain_cover(r) for g, r in groups.items()}
     assert len(got["small"]) == 100 and got["whole"] == [(900, 100, 100)]
     assert greedy_cover(table, ["region"], limit=2).filter("region = 'few'").count() == 2
+
+
+def _season_weeks(spark, curves):
+    """curves: field -> (optical or None, radar or None) by week."""
+    rows = [(f, dt.date(2023, 3, 6) + dt.timedelta(7 * i), o, o, o, r) for f, (optical, radar) in curves.items() for i, (o, r) in enumerate(zip(optical, radar))]
+    return spark.createDataFrame(rows, "f string, w date, a double, b double, c double, r double")
+
+
+def test_seasons_and_what_stands_in_for_them(spark):
+    bell = [0.10, 0.11, 0.13, 0.18, 0.30, 0.48, 0.62, 0.72, 0.78, 0.82, 0.84, 0.82, 0.79, 0.72, 0.62, 0.48, 0.34, 0.22, 0.15, 0.12, 0.10, 0.09, 0.09, 0.08, 0.08]
+    none, n = [None] * 25, 25
+    curves = {
+        "clear": (bell, none), "cloudy": ([None if 9 <= i <= 12 else v for i, v in enumerate(bell)], bell), "nothing": (none, none),
+        "few": ([0.1, 0.5, 0.9, 0.2, 0.1] + [None] * 20, none), "flat": ([0.5] * n, none), "rising": ([i / 24 for i in range(n)], none),
+    }
+    first, last = (F.lit(d).cast("date") for d in ("2023-03-01", "2023-08-31"))
+    got = {r["f"]: r for r in timeseries.seasons(_season_weeks(spark, curves), "f", "w", ["a", "b", "c"], "r", first, last).collect()}
+    whole = (dt.date(2023, 3, 1), dt.date(2023, 8, 31))
+    assert got["clear"]["qa_status"] == "detected" and got["clear"]["method"] == timeseries.DETECTED
+    assert got["clear"]["sos"] < got["clear"]["peak_date"] < got["clear"]["eos"] and got["clear"]["optical_valid_weeks"] == n and got["clear"]["confidence"] > 0.9
+    assert (got["cloudy"]["optical_valid_weeks"], got["cloudy"]["sar_supported_weeks"], got["cloudy"]["qa_status"]) == (21, 4, "detected")
+    assert (got["nothing"]["qa_status"], got["nothing"]["confidence"], got["nothing"]["peak_date"]) == ("no_weekly_signal", 0.0, None)
+    assert (got["few"]["qa_status"], got["few"]["confidence"]) == ("insufficient_optical_weeks", 0.15)
+    assert got["flat"]["qa_status"] == "no_weekly_signal"  # no spread, so nothing to normalise
+    assert (got["rising"]["qa_status"], got["rising"]["method"], got["rising"]["eos"]) == ("partial_boundary_fallback", timeseries.ONE_BOUNDARY, whole[1])
+    assert all((got[f]["sos"], got[f]["eos"], got[f]["method"]) == (*whole, timeseries.FULL_SEASON) for f in ("nothing", "few", "flat"))
+
+
+def test_season_yield_flags(spark):
+    d = dt.date
+    fields = [("ok", "yes?", None), ("mixed", "yes", "maize"), ("other", "no", "irish_potato"), ("same", "no", "sweet-corn"), ("tea", "no", None), ("draft", None, None), ("short", None, None), ("none", None, None), ("absent", None, None)]
+    fields = [("ok", None, None), *fields[1:]]
+    plots = spark.createDataFrame([(f, "k", 2.0, m, s) for f, m, s in fields], "field_id string, county string, area_ha double, intercrop_status string, survey_crop_text string")
+    labels = spark.createDataFrame([(f, "k", "Tea" if f == "tea" else "Maize", None if f == "none" else 0.9, "draft" if f == "draft" else "final") for f, _, _ in fields if f != "absent"], "field_id string, county string, seasonal_label string, seasonal_confidence double, status string")
+    found = spark.createDataFrame([(f, d(2023, 3, 10), d(2023, 6, 1), d(2023, 7, 1), "m", 0.9, "detected", 20, 0) for f, _, _ in fields], "field_id string, sos date, peak_date date, eos date, method string, confidence double, qa_status string, optical_valid_weeks long, sar_supported_weeks long")
+    sums = [(f, None if f == "none" else 300.0, 250.0, 350.0, 100, 0.5 if f == "short" else 0.0 if f == "none" else 0.9, None if f == "none" else 0.7 if f == "short" else 0.9, 5) for f, _, _ in fields]
+    metrics = spark.createDataFrame(sums, "field_id string, npp_central double, npp_narrow double, npp_wide double, days_central long, temporal_central double, spatial_central double, periods_central long")
+    got = {r["field_id"]: r for r in yields.season_yield(plots, labels, found, metrics, yields.crop_factors(spark)).collect()}
+    assert {f: r["qa_flags"] for f, r in got.items()} == {
+        "ok": "intercrop_unknown", "mixed": "mixed_crop_biomass_only", "other": "survey_crop_mismatch", "same": "", "tea": "unsupported_or_unclassified_crop", "draft": "seasonal_status_not_final",
+        "short": "low_npp_temporal_coverage;low_npp_spatial_coverage", "none": "crop_confidence_below_threshold;low_npp_temporal_coverage;low_npp_spatial_coverage;missing_npp",
+        "absent": "unsupported_or_unclassified_crop;seasonal_status_not_final;crop_confidence_below_threshold",
+    }
+    assert [round(got["same"][f"yield_{x}"], 6) for x in ("low", "central", "high")] == [4.159958, 4.457098, 4.771717]
+    assert got["same"]["yield_status"] == "calculated_unvalidated" and got["ok"]["yield_status"] == "calculated_unvalidated_intercrop_unknown"
+    assert round(got["same"]["production_central"], 6) == 8.914197 and got["same"]["yield_narrow"] < got["same"]["yield_central"] < got["same"]["yield_wide"]
+    assert got["mixed"]["yield_central"] is None and got["mixed"]["biomass"] is not None and got["absent"]["crop_label"] == "Unclassified"
+
+
+def test_weighted_median_and_bounds(spark):
+    rows = [(1, 5.0, 0.2), (1, 1.0, 0.5), (1, 3.0, 0.5), (1, 3.0, 0.5), (1, None, 1.0), (1, 99.0, 0.0), (2, None, 1.0)]
+    got = zonal.weighted_stats(spark.createDataFrame(rows, "f long, v double, w double"), ["f"], "v", "w").orderBy("f").collect()
+    assert (got[0]["w_median"], got[0]["w_min"], got[0]["w_max"], got[0]["n_pixels"]) == (3.0, 1.0, 5.0, 4)
+    assert (got[1]["w_median"], got[1]["w_min"], got[1]["n_pixels"], got[1]["effective_count"]) == (None, None, 0, 0.0)
+
+
+def test_buffers_need_both_sensors(spark):
+    rows = [(f, True, dist, s1, True) for f, near in (("wide", 12.0), ("mid", 7.0), ("thin", 1.0)) for dist, s1 in ((near, True), (near, True), (20.0, False), (20.0, False))]
+    t = spark.createDataFrame(rows + [("out", False, 9.0, True, True)], "f string, inside boolean, distance double, s1 boolean, s2 boolean")
+    got = {r["f"]: tuple(r)[1:] for r in zonal.buffers(t, ["f"], ["s1", "s2"], F.lit(2)).collect()}
+    assert got == {"wide": (10, 2, 2, 4, 4, False), "mid": (5, 2, 2, 4, 4, False), "thin": (0, 2, 2, 4, 4, False), "out": (0, 0, 0, 0, 0, True)}
+
+
+def test_survey_answers_of_each_season(spark):
+    t = spark.createDataFrame([("mixed_cropping", "maize beans", "mono_culture", "maize")], "cropping_pattern string, croptype_mixed string, cropping_pattern_2 string, croptype_mono_2 string")
+    got = [t.select(*yields.survey_answers(t, s)).first() for s in ("lr", "sr")]
+    assert [tuple(r) for r in got] == [("no", "maize"), ("yes", "maize beans")]
