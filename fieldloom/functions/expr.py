@@ -88,3 +88,70 @@ def middle(values: Column) -> Column:
     n = F.size(v)
     low, high = F.get(v, F.floor((n - 1) / 2).cast("int")), F.get(v, F.floor(n / 2).cast("int"))
     return F.when(n > 0, (low + high) / 2)
+
+
+def band_name(raw: Column, position: Column, aliases: dict[str, tuple[str, ...]]) -> Column:
+    """The name of a band by an alias of what it is called (case and punctuation don't count), else by its position
+    (from 1) among the names, else as it is."""
+    plain = lambda x: F.regexp_replace(F.lower(x), "[^a-z0-9]+", "")
+    names = list(aliases)
+    known = {"".join(ch for ch in a.lower() if ch.isascii() and ch.isalnum()): n for n in reversed(names) for a in aliases[n]}
+    by_alias = F.try_element_at(F.create_map(*(F.lit(x) for pair in known.items() for x in pair)), plain(raw))
+    return F.coalesce(by_alias, F.get(F.array(*map(F.lit, names)), position - 1), raw)
+
+
+def product_bands(descriptions: Column, product: Column) -> Column:
+    """Positions (from 1) of a radar file's vv and vh, and how they are known: by the bands' descriptions, else by the
+    product's code: a single band is vv, two without descriptions are vh and vv.  Anything else is an error."""
+    plain = F.transform(descriptions, lambda d: F.regexp_replace(F.upper(F.coalesce(d, F.lit(""))), "[^A-Z0-9]+", ""))
+    name, n = F.upper(product), F.size(descriptions)
+
+    def last(band: str) -> Column:
+        hits = F.filter(F.transform(plain, lambda d, i: F.when(d.contains(f"SIGMA0{band}") | (d == band), i + 1)), lambda x: x.isNotNull())
+        return F.array_max(hits)
+
+    vv, vh, single = last("VV"), last("VH"), name.contains("_1SSV_")
+    how = lambda v, h, text: F.struct(v.cast("int").alias("vv"), h.cast("int").alias("vh"), F.lit(text).alias("how"))
+    error = F.raise_error(F.concat(F.lit("unknown bands: "), product)).cast("struct<vv:int,vh:int,how:string>")
+    return (
+        F.when(vv.isNotNull() & (vh.isNotNull() | single), how(vv, vh, "band-descriptions")).when((n == 1) & single, how(F.lit(1), F.lit(None), "safe-single-vv"))
+        .when((n >= 2) & name.contains("_1SDV_"), how(F.lit(2), F.lit(1), "audited-dual-vh-vv")).otherwise(error)
+    )
+
+
+def display_name(region: Column, special: dict[str, str]) -> Column:
+    """A region's name for people: a special one, or its words with capitals."""
+    key = F.lower(F.trim(region))
+    out = F.initcap(F.translate(key, "_", " "))
+    for k, v in special.items():
+        out = F.when(key == k, v).otherwise(out)
+    return out
+
+
+def day_bounds(day: Column) -> tuple[Column, Column]:
+    """First and last instant of a day as texts in UTC, to the millisecond."""
+    d = F.date_format(day, "yyyy-MM-dd")
+    return F.concat(d, F.lit("T00:00:00.000Z")), F.concat(d, F.lit("T23:59:59.999Z"))
+
+
+def duration(seconds: Column) -> Column:
+    """Seconds as 5.0s, 2m 5.0s or 1h 2m 5.0s; NULL is 0."""
+    t = F.coalesce(seconds.cast("double"), F.lit(0.0))
+    hours, minutes, rest = F.floor(t / 3600).cast("int"), F.floor(t % 3600 / 60).cast("int"), t % 60
+    return F.when(t < 60, F.format_string("%.1fs", t)).when(t < 3600, F.format_string("%dm %.1fs", minutes, rest)).otherwise(F.format_string("%dh %dm %.1fs", hours, minutes, rest))
+
+
+#: Reducers of a pixel's values over time, by name: of a value and what orders it.
+REDUCERS = {
+    "nanmean": lambda v, order: F.avg(finite(v)),
+    "nanmedian": lambda v, order: F.median(finite(v)),
+    "lastvalid": lambda v, order: F.max_by(finite(v), F.when(finite(v).isNotNull(), order)),
+    "firstvalid": lambda v, order: F.min_by(finite(v), F.when(finite(v).isNotNull(), order)),
+}
+
+
+def reduced(name: str, value: Column, order: Column) -> Column:
+    """An aggregate by its name; an unknown one is an error."""
+    if name not in REDUCERS:
+        raise ValueError(f"unknown reducer: {name}")
+    return REDUCERS[name](value, order)

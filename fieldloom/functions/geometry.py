@@ -53,3 +53,36 @@ def rectangle_overlap(a: dict[str, Column], b: dict[str, Column]) -> Column:
     w = F.least(a["x1"], b["x1"]) - F.greatest(a["x0"], b["x0"])
     h = F.least(a["y1"], b["y1"]) - F.greatest(a["y0"], b["y0"])
     return F.greatest(F.lit(0.0), w) * F.greatest(F.lit(0.0), h)
+
+
+def pixel_window(bounds: dict[str, Column], x0: float, y1: float, size: float, width: int, height: int) -> dict[str, Column]:
+    """Rows and columns of a grid (its upper left corner x0, y1) that bounds (x0, y0, x1, y1) touch, clipped to it; NULL if none."""
+    left, right = F.greatest(F.lit(0), F.floor((bounds["x0"] - x0) / size)), F.least(F.lit(width), F.ceil((bounds["x1"] - x0) / size))
+    top, bottom = F.greatest(F.lit(0), F.floor((y1 - bounds["y1"]) / size)), F.least(F.lit(height), F.ceil((y1 - bounds["y0"]) / size))
+    some = (right > left) & (bottom > top)
+    return {"col": F.when(some, left), "row": F.when(some, top), "n_cols": F.when(some, right - left), "n_rows": F.when(some, bottom - top)}
+
+
+def snapped(bounds: dict[str, Column], size: float) -> dict[str, Column]:
+    """Bounds moved outwards to multiples of size."""
+    return {k: (F.floor(v / size) if k in ("x0", "y0") else F.ceil(v / size)) * size for k, v in bounds.items()}
+
+
+def quarters(bounds: dict[str, Column]) -> Column:
+    """The four quarters of a rectangle, as an array of structs x0, y0, x1, y1, by rows from below."""
+    xs = [bounds["x0"], (bounds["x0"] + bounds["x1"]) / 2, bounds["x1"]]
+    ys = [bounds["y0"], (bounds["y0"] + bounds["y1"]) / 2, bounds["y1"]]
+    return F.array(*(F.struct(xs[i].alias("x0"), ys[j].alias("y0"), xs[i + 1].alias("x1"), ys[j + 1].alias("y1")) for j in (0, 1) for i in (0, 1)))
+
+
+def rectangle_wkt(bounds: dict[str, Column], places: int = 6) -> Column:
+    """A rectangle as closed WKT, from its lower left corner against the clock."""
+    n = f"%.{places}f"
+    corners = [("x0", "y0"), ("x1", "y0"), ("x1", "y1"), ("x0", "y1"), ("x0", "y0")]
+    return F.format_string("POLYGON((" + ", ".join(f"{n} {n}" for _ in corners) + "))", *(bounds[c] for pair in corners for c in pair))
+
+
+def ring_wkt(ring: Column, places: int = 6) -> Column:
+    """A ring as WKT, closed with its first point."""
+    point = lambda p: F.format_string(f"%.{places}f %.{places}f", p["x"], p["y"])
+    return F.concat(F.lit("POLYGON(("), F.array_join(F.transform(F.concat(ring, F.slice(ring, 1, 1)), point), ", "), F.lit("))"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -45,3 +45,23 @@ def polarisation(valid_1: Column, valid_2: Column, paired: Column, share: Column
         .when((share >= 1.25) & (greater >= 0.70), "band1_likely_vh_band2_likely_vv")
         .when((share <= 0.80) & (greater <= 0.30), "band1_likely_vv_band2_likely_vh").otherwise("ambiguous")
     )
+
+
+def one_to_one(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
+    """A join, after the key is found to be unique on both sides."""
+    return unique_or_raise(left, keys).join(unique_or_raise(right, keys), keys, how)
+
+
+def sampled(a: DataFrame, b: DataFrame, key: str, n: int, seed: int = 42, common: bool = True) -> DataFrame:
+    """n of the ids that both tables have (common) or either has, by a seeded hash: the same for the same ids, however
+    they lie.  Each table's rows of the sample are its left semi-join with the result."""
+    ids = a.select(key).intersect(b.select(key)) if common else a.select(key).union(b.select(key)).distinct()
+    return ids.filter(F.col(key).isNotNull()).orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(n)
+
+
+def sampled_blocks(blocks: DataFrame, file: str, block: str, pairs: str, target: int, least: int = 1, most: int = 1_000) -> DataFrame:
+    """Of each file, blocks in the order of a hash of file and block until there are `least` blocks and target pairs,
+    or `most` blocks: what a reader that stops early would read."""
+    order = Window.partitionBy(file).orderBy(F.xxhash64(F.col(file), F.col(block)), block)
+    t = blocks.withColumn("_i", F.row_number().over(order)).withColumn("_before", F.coalesce(F.sum(pairs).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    return t.filter((F.col("_i") <= most) & ((F.col("_i") <= least) | (F.col("_before") < target))).drop("_i", "_before")

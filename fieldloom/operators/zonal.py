@@ -73,3 +73,23 @@ def buffers(points: DataFrame, keys: list[str], sensors: list[str], least: Colum
     few = reduce(or_, (v < least for v in after.values()))
     pairs = [x for s in sensors for x in (F.col(f"_{s}_{widths[-1]}").alias(f"{s}_before"), after[s].alias(f"{s}_after"))]
     return n.select(*keys, chosen(lambda d: F.lit(d)).alias("buffer_width_m"), *pairs, few.alias("below_min_pixel_threshold"))
+
+
+def cell_rates(weights: DataFrame, raster: DataFrame, field: str, period: str, scale: float = 1.0, offset: float = 0.0, nodata: float | None = None) -> DataFrame:
+    """Each field's coverage-weighted value in each period, from weights made once (field, cell_id, coverage) and the
+    raster's cells (cell_id, period, raw): rate, pixels, their coverage and its share of the field's.
+
+    An equi-join by cell, then one aggregate; a cell without a valid value counts in the field's whole coverage only."""
+    whole = weights.groupBy(field).agg(F.sum("coverage").alias("_whole"))
+    v = finite(F.col("raw")).cast("double")
+    valid = v.isNotNull() if nodata is None else v.isNotNull() & (v != nodata)
+    w = F.when(valid, F.col("coverage"))
+    sums = weights.join(raster.select("cell_id", period, "raw"), "cell_id").groupBy(field, period).agg(F.sum(w).alias("_w"), F.sum(w * (v * scale + offset)).alias("_t"), F.count(w).alias("source_pixel_count"))
+    effective = F.coalesce("_w", F.lit(0.0))
+    return sums.join(whole, field).select(field, period, ratio(F.col("_t"), F.col("_w")).alias("rate"), "source_pixel_count", effective.alias("effective_pixel_count"), ratio(effective, F.col("_whole")).alias("coverage_fraction"))
+
+
+def with_expected(table: DataFrame, names: dict[str, str], expected: list[str]) -> DataFrame:
+    """Columns renamed and, of those expected, the absent ones added: counts as 0, the rest as NULL."""
+    t = table.withColumnsRenamed(names)
+    return t.withColumns({c: F.lit(0).cast("long") if c.endswith("_count") else F.lit(None).cast("double") for c in expected if c not in t.columns})

@@ -32,4 +32,4 @@ def query(sql: str | None):
     return add
 
 
-from . import fields, series, sets  # noqa: E402, F401  they register their queries
+from . import audits, fields, series, sets  # noqa: E402, F401  they register their queries
