@@ -31,7 +31,10 @@ class Graph:
     """
 
     def __init__(self, points: np.ndarray, degree: int = 32, beam: int = 64, alpha: float = 1.2, entries: int = 48, seed: int = 1, edges: np.ndarray | None = None):
-        self.points = points.astype(np.float32)
+        self.size = max(float(np.abs(points).max(initial=0)), np.finfo(float).tiny)
+        self.centre = (points / self.size).mean(axis=0) if len(points) else np.zeros(points.shape[1])
+        self.reach = max(float(np.abs(points / self.size - self.centre).max(initial=0)), 1e-300)
+        self.points = self._placed(points)
         self.norms = np.einsum("nd,nd->n", self.points, self.points)
         self.degree, self.beam, self.alpha = degree, beam, alpha
         n = len(points)
@@ -41,6 +44,12 @@ class Graph:
         if edges is None:
             self._build(order)
 
+    def _placed(self, vectors: np.ndarray) -> np.ndarray:
+        """Single precision, around the points' centre and in their scale, so that neither large components nor a
+        common offset cost digits.  Vectors far outside are brought to where squares are still finite."""
+        with np.errstate(over="ignore"):
+            return np.clip((vectors / self.size - self.centre) / self.reach, -1e15, 1e15).astype(np.float32)
+
     def _build(self, order: np.ndarray) -> None:
         first = order[: min(len(order), max(len(self.entries), 2 * self.degree))]
         every = np.broadcast_to(first, (len(first), len(first)))
@@ -49,7 +58,7 @@ class Graph:
         while at < len(order):
             block = order[at : at + min(BLOCK, at)]
             at += len(block)
-            found, _ = self.search(self.points[block], self.beam)
+            found, _ = self._searched(self.points[block], self.beam, 4)
             self._insert(block, np.concatenate((found, self.edges[np.maximum(found[:, 0], 0)]), axis=1))
 
     def _insert(self, block: np.ndarray, proposed: np.ndarray) -> None:
@@ -93,16 +102,17 @@ class Graph:
                 between = self.norms[np.maximum(c, 0)] + self.norms[star][:, None] - 2 * np.matmul(found, self.points[star][:, :, None])[:, :, 0]
                 alive &= (factor * between > d) | ~some[:, None]
                 alive[rows, k] = False
-            # diverse ones first, then the nearest of the rest
-            rank = np.where(keep, np.arange(width), np.where(np.isfinite(d), width + np.arange(width), 3 * width))
-            order = np.argsort(rank, axis=1, kind="stable")[:, : self.degree]
-            best = np.where(np.take_along_axis(rank, order, 1) < 2 * width, np.take_along_axis(c, order, 1), -1)
+            order = np.argsort(~keep, axis=1, kind="stable")[:, : self.degree]  # those kept, nearest first; what was pruned stays out
+            best = np.where(np.take_along_axis(keep, order, 1), np.take_along_axis(c, order, 1), -1)
             out[i : i + BLOCK, : best.shape[1]] = best
         return out
 
     def search(self, vectors: np.ndarray, beam: int, wide: int = 4) -> tuple[np.ndarray, np.ndarray]:
-        """Places of up to `beam` points near each vector (-1: none) and squared distances, nearest first."""
-        parts = [self._search(vectors[i : i + BLOCK].astype(np.float32), beam, wide) for i in range(0, len(vectors), BLOCK)]
+        """Places of up to `beam` points near each vector (-1: none) and squared distances (in the points' scale), nearest first."""
+        return self._searched(self._placed(vectors), beam, wide)
+
+    def _searched(self, placed: np.ndarray, beam: int, wide: int) -> tuple[np.ndarray, np.ndarray]:
+        parts = [self._search(placed[i : i + BLOCK], beam, wide) for i in range(0, len(placed), BLOCK)]
         return tuple(np.concatenate(x) for x in zip(*parts))
 
     def _search(self, vectors: np.ndarray, beam: int, wide: int) -> tuple[np.ndarray, np.ndarray]:
