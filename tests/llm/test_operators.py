@@ -1,6 +1,7 @@
 """The other operators against plain versions, and their edge cases."""
 
 import hashlib
+import pathlib
 import random
 import re
 
@@ -158,6 +159,27 @@ def test_neighbours(spark):
     assert ann.neighbours(table.limit(0), table, k=3).count() == 0
 
 
+def test_no_edge_that_pruning_removes(spark):
+    x = np.random.default_rng(3).normal(size=(700, 8))
+    g = ann.Graph(x, degree=24, alpha=1.2)
+    p = g.points.astype(float)
+    for i in range(0, 700, 7):
+        kept = [j for j in g.edges[i] if j >= 0]
+        to = [((p[i] - p[j]) ** 2).sum() for j in kept]
+        assert to == sorted(to) and len(kept) == len(set(kept)) and i not in kept
+        for b in range(len(kept)):
+            for a in range(b):
+                assert 1.2**2 * ((p[kept[a]] - p[kept[b]]) ** 2).sum() > to[b] * (1 - 1e-4)
+
+
+@pytest.mark.parametrize("offset, scale", [(1e6, 1.0), (0.0, 1e30), (0.0, 1e-30)])
+def test_graph_of_offset_and_huge_vectors(offset, scale):
+    x = np.random.default_rng(4).normal(size=(1500, 10)) * scale + offset
+    found, _ = ann.Graph(x).search(x[::30], 64)
+    hit = sum(len(set(np.argsort(((x / scale - x[q] / scale) ** 2).sum(axis=1))[:10]) & set(f[:10])) for q, f in zip(range(0, 1500, 30), found))
+    assert hit >= 0.95 * 500
+
+
 def test_chat_windows(spark):
     said = "</s>[INST] ok [/INST]"
     hard = ["a\\b", "<|im_end|>", "<\\|im_end|>", said, "", "\\", "<<SYS>>\n<</SYS>>", "<s>", "<<s>"]
@@ -240,6 +262,28 @@ def test_licenses(spark):
     assert mit and licenses.scan(docs_of(spark, []), licenses.catalog(spark)).count() == 0
 
 
+def test_whole_licences_in_other_dress(spark):
+    bodies = {i: t for i, t in licenses.KNOWN if len(t) > 300}
+    rows, want = [], {}
+    for n, (i, t) in enumerate(sorted(bodies.items())):
+        for k, title in enumerate(("", *licenses.TITLES.get(i, ()))):
+            dressed = f"{title}\n\nCopyright (c) <holders>\n  (C) 2011-2020 A. Body\nAll rights reserved.\n\n" + t.replace(". ", ".\n\n   ").replace('"', "``").swapcase()
+            rows += [(100 * n + k, dressed), (100 * n + k + 50, dressed + " But not for you.")]
+            want |= {100 * n + k: i, 100 * n + k + 50: None}
+    got = {r["doc_id"]: r["license_id"] for r in licenses.scan(docs_of(spark, rows), licenses.catalog(spark)).collect()}
+    assert got == want and len(bodies) >= 7
+
+
+def test_long_licences_by_digest(spark):
+    files = {"GPL-3.0": "GPL-3", "GPL-2.0": "GPL-2", "MPL-2.0": "MPL-2.0", "Apache-2.0": "Apache-2.0"}
+    folder = pathlib.Path("/usr/share/common-licenses")
+    rows = [(k, (folder / f).read_text().upper().replace(",", " , ")) for k, f in enumerate(files.values()) if (folder / f).exists()]
+    if not rows:
+        pytest.skip("no licence texts here")
+    got = {r["doc_id"]: r["license_id"] for r in licenses.scan(docs_of(spark, rows), licenses.catalog(spark)).collect()}
+    assert got == {k: list(files)[k] for k, _ in rows}
+
+
 def test_decontamination(spark):
     item = "A farmer called Tom has 5 apples and Mary has 3 pears, so how many fruits do Tom and Mary have together now?"
     other = "Nothing of the kind is asked here, where only plain words of a quiet tale go by one after another."
