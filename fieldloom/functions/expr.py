@@ -21,6 +21,13 @@ def ratio(a: Column, b: Column) -> Column:
     return F.try_divide(a.cast("double"), b.cast("double"))
 
 
+def nearest(c: Column, places: int) -> Column:
+    """c scaled, rounded with halves away from zero, and scaled back: SQL engines that round doubles do so, where
+    Spark's round takes the shortest decimal of the double, which falls on the other side of some ties."""
+    scale = F.lit(10.0**places)
+    return F.round(c * scale) / scale
+
+
 def clip(c: Column, low: float, high: float) -> Column:
     """Between low and high; NULL stays NULL (least and greatest alone would skip it)."""
     return F.when(c.isNotNull(), F.greatest(F.lit(low), F.least(F.lit(high), c)))

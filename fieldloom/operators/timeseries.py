@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.expr import clip, middle, ratio
+from ..functions.expr import clip, middle, nearest, ratio
 
 #: How the bounds of a season were found.
 DETECTED = "optical-rvi-relative-threshold-v1-matrix"
@@ -62,7 +62,7 @@ def boundaries(table: DataFrame, key: str, week: str, value: str, share: float =
     edge = F.when(v.isNotNull() & ((F.col("_f") <= 3) | (F.col("_b") <= 3)), v)
     t = t.withColumn("valid_weeks", F.count(value).over(field)).withColumn("peak_value", F.max(value).over(field)).withColumn("base", F.percentile(edge, F.lit(0.5)).over(field))
     t = t.withColumn("peak_week", F.min(F.when(v == F.col("peak_value"), w)).over(field))
-    threshold = F.round(F.col("base") + share * (F.col("peak_value") - F.col("base")), 9)
+    threshold = nearest(F.col("base") + share * (F.col("peak_value") - F.col("base")), 9)
     t = t.withColumn("_above", F.coalesce((v >= threshold) & (w <= F.col("peak_week")), F.lit(False))).withColumn("_below", F.coalesce((v <= threshold) & (w >= F.col("peak_week")), F.lit(False)))
     pair = lambda c: F.col(c) & F.coalesce(F.lead(c).over(order), F.lit(False))
     t = t.withColumn("_up", pair("_above")).withColumn("_down", pair("_below"))
@@ -79,7 +79,7 @@ def combined(table: DataFrame, key: str, optical: list[str], radar: str) -> Data
     for c in [*optical, radar]:
         t = normalised(t, key, c, f"_n_{c}")
     t = t.withColumn("optical", middle(F.array(*(F.col(f"_n_{c}") for c in optical))))
-    t = t.withColumn("by_radar", F.col("optical").isNull() & F.col(f"_n_{radar}").isNotNull()).withColumn("signal", F.round(F.coalesce("optical", f"_n_{radar}"), 9))
+    t = t.withColumn("by_radar", F.col("optical").isNull() & F.col(f"_n_{radar}").isNotNull()).withColumn("signal", nearest(F.coalesce("optical", f"_n_{radar}"), 9))
     return t.drop(*(f"_n_{c}" for c in [*optical, radar]))
 
 
@@ -91,8 +91,8 @@ def seasons(table: DataFrame, key: str, week: str, optical: list[str], radar: st
     field = Window.partitionBy(key)
     t = combined(table, key, optical, radar)
     t = t.withColumn("optical_valid_weeks", F.count("optical").over(field)).withColumn("sar_supported_weeks", F.count_if("by_radar").over(field)).withColumn("_n_weeks", F.count("*").over(field))
-    t = filled(t, key, week, "signal", "_filled").withColumn("_filled", F.round("_filled", 9))
-    t = smoothed(t, key, week, "_filled", "_smooth").withColumn("_smooth", F.round("_smooth", 9))
+    t = filled(t, key, week, "signal", "_filled").withColumn("_filled", nearest(F.col("_filled"), 9))
+    t = smoothed(t, key, week, "_filled", "_smooth").withColumn("_smooth", nearest(F.col("_smooth"), 9))
     b = boundaries(t, key, week, "_smooth", least=least, also=("optical_valid_weeks", "sar_supported_weeks", "_n_weeks"))
     sos, eos = F.coalesce("sos", first), F.coalesce("eos", last)
     any_signal, peak = F.col("valid_weeks") > 0, F.col("peak_week")
@@ -106,7 +106,7 @@ def seasons(table: DataFrame, key: str, week: str, optical: list[str], radar: st
     confidence = F.when(few & ~any_signal, 0.0).when(few, 0.15).when(weak, 0.2).when(both, score).otherwise(score * 0.65)
     return b.select(
         key, F.when(whole, first).otherwise(sos).alias("sos"), peak.alias("peak_date"), F.when(whole, last).otherwise(eos).alias("eos"),
-        F.when(few | weak, FULL_SEASON).when(both, DETECTED).otherwise(ONE_BOUNDARY).alias("method"), F.round(confidence, 4).alias("confidence"),
+        F.when(few | weak, FULL_SEASON).when(both, DETECTED).otherwise(ONE_BOUNDARY).alias("method"), nearest(confidence, 4).alias("confidence"),
         F.when(few & ~any_signal, "no_weekly_signal").when(few, "insufficient_optical_weeks").when(weak, "weak_seasonal_amplitude").when(both, "detected").otherwise("partial_boundary_fallback").alias("qa_status"),
         "optical_valid_weeks", "sar_supported_weeks",
     )

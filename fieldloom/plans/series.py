@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions import calendar
 from ..functions.calendar import monday
-from ..functions.expr import middle
+from ..functions.expr import middle, nearest
 from ..operators import timeseries, yields
 from ..operators.scenes import first_of, scored
 from .fields import rounded
@@ -111,22 +111,22 @@ def _signal(t: Tables) -> DataFrame:
     s = _grid(t, *SEASON).join(o, ["field_id", "w"], "left")
     for c in ("a", "b"):
         s = timeseries.normalised(s, "field_id", c, f"n{c}")
-    return s.withColumn("signal", F.round(middle(F.array("na", "nb")), 9))
+    return s.withColumn("signal", nearest(middle(F.array("na", "nb")), 9))
 
 
 @query(f"with {_norms_sql} select field_id, cast(w as varchar) as w, round(na, 6) as na, round(nb, 6) as nb, round(signal, 6) as signal from x")
 def robust_normalize(t: Tables) -> DataFrame:
-    return rounded(_signal(t).select("field_id", F.col("w").cast("string").alias("w"), "na", "nb", "signal"))
+    return _signal(t).select("field_id", F.col("w").cast("string").alias("w"), *(nearest(F.col(c), 6).alias(c) for c in ("na", "nb", "signal")))
 
 
 def _smooth(t: Tables) -> DataFrame:
-    f = timeseries.filled(_signal(t).select("field_id", "w", "signal"), "field_id", "w", "signal", "filled").withColumn("filled", F.round("filled", 9))
-    return timeseries.smoothed(f, "field_id", "w", "filled", "smoothed").withColumn("smoothed", F.round("smoothed", 9))
+    f = timeseries.filled(_signal(t).select("field_id", "w", "signal"), "field_id", "w", "signal", "filled").withColumn("filled", nearest(F.col("filled"), 9))
+    return timeseries.smoothed(f, "field_id", "w", "filled", "smoothed").withColumn("smoothed", nearest(F.col("smoothed"), 9))
 
 
 @query(f"with {_fill_sql} select field_id, cast(w as varchar) as w, round(filled, 6) as filled, round(smoothed, 6) as smoothed from smooth")
 def gap_fill_rolling_median(t: Tables) -> DataFrame:
-    return rounded(_smooth(t).select("field_id", F.col("w").cast("string").alias("w"), "filled", "smoothed"))
+    return _smooth(t).select("field_id", F.col("w").cast("string").alias("w"), *(nearest(F.col(c), 6).alias(c) for c in ("filled", "smoothed")))
 
 
 _bound_sql = """r as (select *, count(smoothed) over (partition by field_id order by w) as f, count(smoothed) over (partition by field_id order by w desc) as b from smooth),
@@ -142,7 +142,7 @@ select field_id, valid_weeks, round(peak_value, 6) as peak_value, round(base, 6)
 case when valid_weeks = 0 then 'no_data' when valid_weeks < 6 then 'too_few_weeks' when peak_value - base < 0.2 then 'low_amplitude' when sos is null and eos is null then 'no_boundary' when sos is null or eos is null then 'one_boundary' else 'detected' end as qa_status from z""")
 def phenology(t: Tables) -> DataFrame:
     b = timeseries.boundaries(_smooth(t), "field_id", "w", "smoothed")
-    return rounded(b.select("field_id", "valid_weeks", "peak_value", "base", *(F.col(c).cast("string").alias(c) for c in ("peak_week", "sos", "eos")), "qa_status"))
+    return b.select("field_id", "valid_weeks", *(nearest(F.col(c), 6).alias(c) for c in ("peak_value", "base")), *(F.col(c).cast("string").alias(c) for c in ("peak_week", "sos", "eos")), "qa_status")
 
 
 _season_sql = "seasons as (select s_suppkey as field_id, date '1996-03-11' + cast(s_suppkey % 30 as int) as sos, date '1996-06-01' + cast(s_suppkey % 25 as int) as eos from supplier)"
