@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.calendar import overlap_days
-from ..functions.expr import ratio
+from ..functions.expr import nearest, ratio
 
 #: Carbon productivity to total biomass, and for each crop the factors low, central and high.
 NPP_TO_BIOMASS = 0.022222
@@ -27,7 +27,7 @@ def crop_factors(spark: SparkSession, crops: dict = CROPS) -> DataFrame:
 
 def crop_yield(biomass: Column, level: str) -> Column:
     """Tonnes a hectare at a level (low, central, high); the factors are columns."""
-    return ratio(biomass * F.col(f"fc_{level}") * F.col(f"aot_{level}") * F.col(f"hi_{level}"), 1 - F.col(f"moisture_{level}"))
+    return ratio(biomass * F.col(f"fc_{level}") * F.col(f"aot_{level}") * F.col(f"hi_{level}"), nearest(1 - F.col(f"moisture_{level}"), 12))  # 0.2, not 1 - 0.8 in doubles
 
 
 def bounds(days: int, first: Column, last: Column) -> dict[str, tuple[Column, Column]]:
@@ -125,7 +125,7 @@ def season_yield(fields: DataFrame, predictions: DataFrame, phenology: DataFrame
     supported, final = F.col("fc_central").isNotNull(), sure(F.col("status") == "final")
     confident, mixed = sure(F.col("seasonal_confidence") >= confidence), F.col("intercrop_status") == "yes"
     mismatch = (F.col("intercrop_status") == "no") & sure(~F.col("survey_crop_match"))
-    long, wide = sure(F.col("temporal_central") >= temporal), sure(F.col("spatial_central") >= spatial)
+    long, wide = (sure(nearest(F.col(c), 12) >= least) for c, least in (("temporal_central", temporal), ("spatial_central", spatial)))  # a share on the bound is not below it by a sum's last bits
     known = F.col("npp_central").isNotNull()
     eligible = supported & final & confident & ~mixed & ~mismatch & long & wide & known
     unsure = eligible & (F.col("intercrop_status") == "unknown")

@@ -170,10 +170,10 @@ def _variant_out(n: str) -> str:
     return f"round(npp_{n}, 4) as npp_{n}, cast(days_{n} as bigint) as days_{n}, periods_{n}, round(coalesce(days_{n}, 0) / (date_diff('day', {start}, {end}) + 1), 6) as temporal_{n}, round(c_{n} / nullif(days_{n}, 0), 6) as spatial_{n}"
 
 
-def _dekads(t: Tables) -> DataFrame:
+def _dekads(t: Tables, share: int = 10) -> DataFrame:
     day = F.col("l_shipdate").cast("date")
     start = F.date_add(F.trunc(day, "month"), (10 * F.least(F.lit(2), F.floor((F.dayofmonth(day) - 1) / 10))).cast("int"))
-    p = t.lineitem.filter(F.year("l_shipdate") == 1996).groupBy(F.col("l_suppkey").alias("field_id"), start.alias("period_start")).agg(F.avg("l_quantity").alias("rate"), (F.avg("l_discount") * 10).alias("coverage"))
+    p = t.lineitem.filter(F.year("l_shipdate") == 1996).groupBy(F.col("l_suppkey").alias("field_id"), start.alias("period_start")).agg(F.avg("l_quantity").alias("rate"), (F.avg("l_discount") * share).alias("coverage"))
     return p.withColumn("period_end", F.when(F.dayofmonth("period_start") < 21, F.date_add("period_start", 9)).otherwise(F.last_day("period_start")))
 
 
@@ -276,7 +276,7 @@ def _season_yield(t: Tables) -> DataFrame:
     labels = t.supplier.filter(k % 17 > 0).select(k.alias("field_id"), F.col("s_nationkey").alias("county"), label.alias("seasonal_label"), F.when(k % 13 > 0, (k % 10) / 10.0).alias("seasonal_confidence"), F.when(k % 11 == 0, "provisional").otherwise("final").alias("status"))
     found = _seasons(t)
     first, last = (F.lit(d).cast("date") for d in ("1996-03-01", "1996-08-31"))
-    periods = _dekads(t).withColumn("coverage", F.col("coverage") * 1.8)
+    periods = _dekads(t, 18)
     metrics = yields.integrated(found.select("field_id", "sos", "eos", first.alias("season_first"), last.alias("season_last")), periods, "field_id")
     return yields.season_yield(fields, labels, found, metrics, yields.crop_factors(t.spark), confidence=0.2)
 
@@ -285,7 +285,7 @@ def _season_yield(t: Tables) -> DataFrame:
 def season_yield(t: Tables) -> DataFrame:
     y = _season_yield(t)
     amounts = [c for x in yields.LEVELS for c in (f"yield_{x}", f"production_{x}")] + ["yield_narrow", "yield_wide"]
-    return y.select("field_id", "county", F.when(F.col("crop_label") == "Unclassified", "unclassified").otherwise(F.col("crop_label")).alias("crop"), *(F.round(c, 3 if c.startswith("production") else 4).alias(c) for c in amounts), "yield_status", "qa_flags")
+    return y.select("field_id", "county", F.when(F.col("crop_label") == "Unclassified", "unclassified").otherwise(F.col("crop_label")).alias("crop"), *(nearest(F.col(c), 3 if c.startswith("production") else 4).alias(c) for c in amounts), "yield_status", "qa_flags")
 
 
 @query(f"with {_side.format('O').join(['a as (', ')'])} select l.c_nationkey as county, r.field_id, count(*) as n_weeks from a r join (select s_suppkey, s_nationkey as c_nationkey from supplier where lower(substr(s_name, -1)) in ('1', '3', '5', '7')) l on l.s_suppkey = r.field_id group by 1, 2")

@@ -4,7 +4,7 @@ import duckdb
 from pyspark.sql import functions as F
 
 from fieldloom.functions.expr import nearest
-from fieldloom.operators import timeseries
+from fieldloom.operators import timeseries, yields
 
 
 def test_nearest_rounds_as_sql_does(spark):
@@ -28,3 +28,19 @@ def test_bounds_of_phenology_round_as_sql_does(spark):
     con.execute("create table smooth (field_id bigint, w date, smoothed double)")
     con.executemany("insert into smooth values (?, ?, ?)", rows)
     assert found == sorted(con.execute(f"with {series._bound_sql} select field_id, round(base, 6) from z").fetchall())
+
+
+def test_a_share_on_its_bound_is_enough_whatever_the_order_of_a_sum(spark):
+    fields = spark.createDataFrame([(i, 1, 2.0, "no", "maize") for i in range(5)], "field_id long, county int, area_ha double, intercrop_status string, survey_crop_text string")
+    labels = spark.createDataFrame([(i, 1, "maize", 0.9, "final") for i in range(5)], "field_id long, county int, seasonal_label string, seasonal_confidence double, status string")
+    seasons = spark.sql("select id as field_id, date '2020-03-01' as sos, date '2020-05-01' as peak_date, date '2020-07-01' as eos, 'm' as method, 0.5D as confidence, 'detected' as qa_status, 9L as optical_valid_weeks, 0L as sar_supported_weeks from range(5)")
+    shares = [(0.8, 0.8), (0.7999999999999999, 0.8), (0.8, 0.7999999999999998), (0.7999, 0.9), (0.9, 0.7999)]
+    metrics = spark.createDataFrame([(i, 100.0, 90.0, 110.0, 50, 5, a, b) for i, (a, b) in enumerate(shares)], "field_id long, npp_central double, npp_narrow double, npp_wide double, days_central long, periods_central long, temporal_central double, spatial_central double").withColumns({"sos": F.lit(None).cast("date"), "eos": F.lit(None).cast("date")})
+    found = yields.season_yield(fields, labels, seasons, metrics, yields.crop_factors(spark)).orderBy("field_id").collect()
+    assert [r["qa_flags"] for r in found] == ["", "", "", "low_npp_temporal_coverage", "low_npp_spatial_coverage"]
+    assert [r["yield_central"] is not None for r in found] == [True, True, True, False, False]
+
+
+def test_dry_share_is_the_decimal_one(spark):
+    row = yields.crop_factors(spark).filter("crop = 'potatoes'").select(yields.crop_yield(F.lit(1.0), "high").alias("y")).first()
+    assert row["y"] == duckdb.execute("select 1.0::double * 1.0 * 1.0 * 0.85 / (1 - 0.8)").fetchone()[0] == 0.85 / 0.2
