@@ -147,15 +147,23 @@ def _places(part: pa.RecordBatch, row: np.ndarray, line: np.ndarray) -> tuple[np
     return doc, (tag << 32) | line
 
 
-def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """How many tokens the task's texts have in each bucket: for each part, the buckets that have any and their counts; last, its lines."""
+def _words(column: pa.Array) -> tuple[np.ndarray, int]:
+    w = Words(column, lower=True)
+    return w.hash, int((w.data == 10).sum()) + len(column)
+
+
+def _counts(batches: Iterator[pa.RecordBatch], tokens) -> Iterator[pa.RecordBatch]:
+    """How many tokens the task's texts have in each bucket: for each part, the buckets that have any and their counts; last, its sets.
+
+    tokens: of a text column the tokens of all its sets, and how many sets there are at most.
+    """
     release()
     counts, lines = np.zeros(1 << BUCKET_BITS, np.int64), 0
     for batch in batches:
         for part in slices(batch):
-            w = Words(part.column("text"), lower=True)
-            counts += np.bincount(_buckets(w.hash), minlength=len(counts))
-            lines += int((w.data == 10).sum()) + part.num_rows
+            found, many = tokens(part.column("text"))
+            counts += np.bincount(_buckets(found), minlength=len(counts))
+            lines += many
     found = np.flatnonzero(counts)
     cuts = np.searchsorted(found, np.arange(0, len(counts) + 1, 1 << PART_BITS))
     rows = [(i, (found[a:b] & ((1 << PART_BITS) - 1)).astype("<u2").tobytes(), counts[found[a:b]].astype("<i8").tobytes()) for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])) if b > a]
@@ -182,6 +190,18 @@ def _codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield coded()
 
 
+def rarity(docs: DataFrame, tokens=_words) -> tuple[np.ndarray, int]:
+    """The code of each bucket of tokens (see _codes), and that of a token that every set has."""
+    coded = docs.select("text").mapInArrow(lambda it: _counts(it, tokens), "part int, bucket binary, n binary").repartition("part").sortWithinPartitions("part").mapInArrow(_codes, "part int, codes binary")
+    order, shift = np.zeros(1 << BUCKET_BITS, np.uint8), 0
+    for row in coded.collect():  # 2**(BUCKET_BITS - PART_BITS) rows of 2**PART_BITS bytes
+        if row["part"] < 0:
+            shift = row["codes"][0]
+        else:
+            order[row["part"] << PART_BITS : (row["part"] + 1) << PART_BITS] = np.frombuffer(row["codes"], np.uint8)
+    return order, shift
+
+
 #: kind 0: a line (x, y: its set's ids; doc_id, place).  Of a key's set: key, x (its id), y (parities), place (size, and rank of the key).
 #: kind 1: a pair of ids (x, y).  kind 2: a row of a key that more than GROUP sets have.
 KEYS = "key long, x long, y long, doc_id long, place long"
@@ -428,14 +448,7 @@ def _match_earlier(waiting: DataFrame, rows: DataFrame, sets: DataFrame, rate: F
 def _gone(named: DataFrame, rate: Fraction) -> DataFrame:
     """doc_id and the places of its lines that go, in a table of its own."""
     spark, paths = named.sparkSession, []
-    coded = named.mapInArrow(_counts, "part int, bucket binary, n binary").repartition("part").sortWithinPartitions("part").mapInArrow(_codes, "part int, codes binary")
-    order, shift = np.zeros(1 << BUCKET_BITS, np.uint8), 0
-    for row in coded.collect():  # 2**(BUCKET_BITS - PART_BITS) rows of 2**PART_BITS bytes
-        if row["part"] < 0:
-            shift = row["codes"][0]
-        else:
-            order[row["part"] << PART_BITS : (row["part"] + 1) << PART_BITS] = np.frombuffer(row["codes"], np.uint8)
-    shared = spark.sparkContext.broadcast((order, shift))
+    shared = spark.sparkContext.broadcast(rarity(named))
     keys = named.mapInArrow(lambda it: _keys(it, shared, rate), KEYS).repartition("key").sortWithinPartitions("key")
     found, path = written(keys.mapInArrow(lambda it, group=GROUP: _candidates(it, rate, group), FOUND), "candidates")
     paths.append(path)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from fractions import Fraction
 
@@ -12,9 +11,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import lines
 from .graph import components
 from .shared import alike, removed, written
-from .words import BASE, RunHash, Words, grouped_order, heads, mix, number_batch, raw, release, signed, slices
+from .words import RunHash, Words, grouped_order, heads, mix, number_batch, raw, release, signed, slices
 
 BITS = 64
 
@@ -169,73 +169,130 @@ class ShingleSets:
         """Two hashes of each set."""
         return tuple(mix(self._sum(mix(self.hash + np.uint64(salt))) + self.size.astype(np.uint64)) for salt in (1, 1 << 40))
 
-    def print(self, number: int) -> np.ndarray:
-        """One of several fingerprints of 64 bits: a bit is 1 if over half the set's hashes, mixed for this number, have it."""
-        counts = np.zeros((len(self.size), BITS), np.int64)
-        for i in range(0, len(self.hash), 1 << 16):
-            h, row = mix(self.hash[i : i + (1 << 16)] + np.uint64((2 * number + 1) * BASE & (1 << 64) - 1)), self.row[i : i + (1 << 16)]
-            begins = np.flatnonzero(heads(row))
-            counts[row[begins]] += np.add.reduceat(np.unpackbits(h.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1), begins, axis=0, dtype=np.int32)
-        return np.packbits(2 * counts > self.size[:, None], axis=1).view(">u8").ravel().astype(np.uint64)
+    def parities(self) -> np.ndarray:
+        """64 bits, each flipped by every shingle that falls to it: two sets differ in at least as many shingles as bits."""
+        out = np.zeros(len(self.size), np.uint64)
+        some = np.flatnonzero(self.size)
+        if len(some):
+            out[some] = np.bitwise_xor.reduceat(np.uint64(1) << (mix(self.hash) & np.uint64(63)), (np.cumsum(self.size) - self.size)[some])
+        return out
+
+    def prefixes(self, order: np.ndarray, rate: Fraction) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Row, shingle and rank of the rarest shingles of each set: two that are similar by rate share one of these.
+
+        Of similar sets the smaller lacks at most size * (1 - rate) shingles of either, so that one more is enough in
+        any order that is the same for all; order has the code of each bucket.  What occurs once in all is no key.
+        """
+        p, q = rate.as_integer_ratio()
+        code = order[lines._buckets(self.hash)]
+        sort = np.lexsort((self.hash, code, self.row))  # rows are in order already
+        shingle, row, code = self.hash[sort], self.row[sort], code[sort]
+        rank = np.arange(len(row)) - np.repeat(np.cumsum(self.size) - self.size, self.size)
+        keep = (rank <= self.size[row] * (q - p) // q) & (code != 1)
+        return row[keep], shingle[keep], rank[keep]
 
 
-#: Fingerprints of 64 bits of a set, and the bits of a part that two sets meet at.
-PRINTS, PART = 4, 32
-SETS = "doc_id long, tag long, node long, other long, " + ", ".join(f"p{i} long" for i in range(PRINTS))
+SETS = "doc_id long, tag long, node long, other long"
 
 
 def _sets(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
     release()
     for batch in batches:
-        for part in slices(batch):
+        for part in slices(batch, limit=SLICE):
+            yield number_batch(SETS, part.column("doc_id"), part.column("tag"), *ShingleSets(part.column("text"), shingle).ids())
+
+
+#: Bytes of text whose shingles are made at once.
+SLICE = 1 << 20
+PREFIXES = "key long, x long, y long, doc_id long, place long"
+
+
+def _prefixes(batches: Iterator[pa.RecordBatch], shared, shingle: int, rate: Fraction) -> Iterator[pa.RecordBatch]:
+    """The keys of the task's sets as _candidates() of lines reads them: key, set, parities, and size and rank."""
+    release()
+    for batch in batches:
+        for part in slices(batch, limit=SLICE):
             s = ShingleSets(part.column("text"), shingle)
-            yield number_batch(SETS, part.column("doc_id"), part.column("tag"), *s.ids(), *(s.print(i) for i in range(PRINTS)))
+            node, bits = s.ids()[0], s.parities()
+            row, key, rank = s.prefixes(shared.value[0], rate)
+            yield number_batch(PREFIXES, key, node[row], bits[row], pa.nulls(len(row), pa.int64()), (s.size[row] << 16) | np.minimum(rank, 0xFFFF))
 
 
 def _shingles(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for part in slices(batch, limit=1 << 20):
+        for part in slices(batch, limit=SLICE):
             s = ShingleSets(part.column("text"), shingle)
             cuts = np.concatenate(([0], np.cumsum(s.size))).astype(np.int32)
             yield pa.record_batch([pa.array(signed(s.ids()[0])), pa.ListArray.from_arrays(pa.array(cuts), pa.array(signed(s.hash)))], names=["node", "shingles"])
 
 
-def farthest(similarity: float, bits: int = PRINTS * BITS) -> int:
-    """Bits in which fingerprints of two sets of one size with this Jaccard similarity differ at most, but for one pair in thirty thousand."""
-    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    return int(bits * (share + 4 * math.sqrt(share * (1 - share) / bits)))
+def _verified(docs: DataFrame, sets: DataFrame, pairs: DataFrame, shingle: int, rate: Fraction) -> tuple[DataFrame, str]:
+    """The pairs (a, b) of nodes whose Jaccard similarity, by all shingles, is high enough; and the path of their table."""
+    near, path = written(pairs, "near")
+    nodes = near.select(F.col("a").alias("node")).union(near.select("b")).distinct()
+    wanted = sets.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct()
+    lists, lists_path = written(docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi").mapInArrow(lambda it: _shingles(it, shingle), "node long, shingles array<long>").dropDuplicates(["node"]), "shingles")
+    a, b = (lists.select(F.col("node").alias(c), F.col("shingles").alias(f"{c}_set")) for c in "ab")
+    found = written(near.join(a, "a").join(b, "b").filter(alike("a_set", "b_set", rate)).select("a", "b"), "links")
+    for x in (path, lists_path):
+        removed(docs.sparkSession, x)
+    return found
+
+
+def _chained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """_met() of rows (key, node, and what they are sorted by)."""
+    return _met((b.select(["key", "node"]) for b in batches), True)
 
 
 def similar_sets(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> tuple[DataFrame, DataFrame]:
-    """The shingle sets of docs' rows (SETS; doc_id, text and tag are read), and pairs (a, b) of nodes of sets that are similar.
+    """The shingle sets of docs' rows (SETS; doc_id, text and tag are read), and pairs (a, b) of similar nodes that connect all that are.
 
-    Of each set PRINTS fingerprints are cut into parts of PART bits; each part emits all its variants within one bit,
-    so that two sets meet if some part of theirs differs in two bits at most.  Sets that meet are linked to the
-    first at the variant and to the one before; each pair is verified, by the whole fingerprints and then by the
-    Jaccard similarity of all shingles.
+    Exact, by a prefix filter: each set emits its rarest shingles (see prefixes()), and two that are similar share one.  Sets of a key
+    pass filters by size, rank and parities and become pairs, which are verified by all shingles.  Of a key that more than
+    lines.GROUP sets have, each is first paired with the first and the one before; of the others only those are
+    compared that the links found so far don't connect, in a join by key and size that skew handling can split.
     """
+    spark, rate, paths = docs.sparkSession, Fraction(str(similarity)), []
+    p, q = rate.as_integer_ratio()
+    rule = lines.Rule(rate)
     sets, _ = written(docs.select("doc_id", "tag", "text").mapInArrow(lambda it: _sets(it, shingle), SETS), "sets")
-    prints = [f"p{i}" for i in range(PRINTS)]
-    once = sets.groupBy("node").agg(F.min("doc_id").alias("least"), *(F.first(p).alias(p) for p in prints))
-    variants = _partitions(once.select("node", *prints), "node").mapInArrow(lambda it: _variants(it, PART), VARIANTS)
-    pairs, path = written(variants.repartition("key").sortWithinPartitions("key", "node").mapInArrow(lambda it: _met(it, True), "a long, b long").distinct(), "pairs")
-    sides = [once.select(F.col("node").alias(c), F.col("least").alias(f"{c}_least"), *(F.col(p).alias(f"{c}_{p}") for p in prints)) for c in "ab"]
-    far = sum((F.bit_count(F.col(f"a_{p}").bitwiseXOR(F.col(f"b_{p}"))) for p in prints), F.lit(0))
-    near, near_path = written(pairs.join(sides[0], "a").join(sides[1], "b").filter(far <= farthest(similarity)).select("a", "b", "a_least", "b_least"), "near")
-    wanted = near.select(F.col("a_least").alias("doc_id")).union(near.select("b_least")).distinct()
-    lists, lists_path = written(docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi").mapInArrow(lambda it: _shingles(it, shingle), "node long, shingles array<long>").dropDuplicates(["node"]), "shingles")
-    a, b = (lists.select(F.col("node").alias(c), F.col("shingles").alias(f"{c}_set")) for c in "ab")
-    found, _ = written(near.join(a, "a").join(b, "b").filter(alike("a_set", "b_set", Fraction(str(similarity)))).select("a", "b"), "links")
-    for x in (path, near_path, lists_path):
-        removed(docs.sparkSession, x)
-    return sets, found
+
+    def hashes(column: pa.Array) -> tuple[np.ndarray, int]:
+        return ShingleSets(column, shingle).hash, len(column)
+
+    shared = spark.sparkContext.broadcast(lines.rarity(docs, hashes))
+    once = sets.groupBy("node").agg(F.min(F.struct("doc_id", "tag")).alias("f")).select("f.doc_id", "f.tag").distinct()  # a row of each set
+    texts = docs.select("doc_id", "tag", "text").join(once, ["doc_id", "tag"], "left_semi")
+    keys = texts.mapInArrow(lambda it: _prefixes(it, shared, shingle, rate), PREFIXES).repartition("key").sortWithinPartitions("key")
+    found, path = written(keys.mapInArrow(lambda it, group=lines.GROUP: lines._candidates(it, rate, group), lines.FOUND), "candidates")
+    paths.append(path)
+    large, path = written(found.filter("kind = 2").select("key", F.col("x").alias("node"), F.col("y").alias("bits"), F.col("place").alias("info")).distinct(), "large")
+    paths.append(path)
+    chain = large.repartition("key").sortWithinPartitions("key", F.shiftright("info", 16), "bits", "node").mapInArrow(_chained, "a long, b long")
+    links, path = _verified(docs, sets, found.filter("kind = 1").select(F.col("x").alias("a"), F.col("y").alias("b")).union(chain).distinct(), shingle, rate)
+    if not large.isEmpty():
+        paths.append(path)
+        step = F.floor(F.log(F.shiftright("info", 16).cast("double")) / F.log(F.lit(q / p)))
+        rows = large.join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node")).withColumn("step", step)
+        a, b = rows.alias("a"), rows.withColumn("step", F.explode(F.array(F.col("step") - 1, "step", F.col("step") + 1))).alias("b")
+        size, rank = (lambda t: F.shiftright(f"{t}.info", 16)), (lambda t: F.col(f"{t}.info").bitwiseAND(0xFFFF))
+        room = F.floor((rule.q - rule.p) * (size("a") + size("b")) / F.lit(rule.q + rule.p))
+        fits = (q * F.least(size("a"), size("b")) >= p * F.greatest(size("a"), size("b"))) & (F.greatest(rank("a"), rank("b")) <= room)
+        fits = fits & (F.bit_count(F.col("a.bits").bitwiseXOR(F.col("b.bits"))) <= room) & (F.col("a.root") != F.col("b.root")) & (F.col("a.node") < F.col("b.node"))
+        met = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.step") == F.col("b.step")) & fits)
+        more, _ = _verified(docs, sets, met.select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct(), shingle, rate)
+        links, _ = written(links.union(more), "links")
+    for x in paths:
+        removed(spark, x)
+    shared.unpersist()
+    return sets, links
 
 
 def one_of_each(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
     """docs, with one document of each group of near-duplicates: the one with the smallest doc_id.
 
-    Near-duplicates: texts whose word shingles have a Jaccard similarity of `similarity` at least, as far as their
-    fingerprints meet (see similar_sets(); every link is verified), and whatever is connected by such links.  Texts
+    Near-duplicates: texts whose word shingles have a Jaccard similarity of `similarity` at least (all of them, see
+    similar_sets()), and whatever is connected by such links.  Texts
     without words are copies of one another.  Rows that repeat the smallest doc_id of a group all stay, as rows
     without a doc_id do; of rows that repeat another doc_id only those with a text of the group go.
     Empty docs: an empty result.
