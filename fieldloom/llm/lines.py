@@ -160,7 +160,7 @@ def _counts(batches: Iterator[pa.RecordBatch], tokens) -> Iterator[pa.RecordBatc
     release()
     counts, lines = np.zeros(1 << BUCKET_BITS, np.int64), 0
     for batch in batches:
-        for part in slices(batch):
+        for part in slices(batch, limit=SLICE):
             found, many = tokens(part.column("text"))
             counts += np.bincount(_buckets(found), minlength=len(counts))
             lines += many
@@ -202,23 +202,35 @@ def rarity(docs: DataFrame, tokens=_words) -> tuple[np.ndarray, int]:
     return order, shift
 
 
-#: kind 0: a line (x, y: its set's ids; doc_id, place).  Of a key's set: key, x (its id), y (parities), place (size, and rank of the key).
+#: Of a key's set: key, x (its id), y (parities), place (size, and rank of the key).
 #: kind 1: a pair of ids (x, y).  kind 2: a row of a key that more than GROUP sets have.
-KEYS = "key long, x long, y long, doc_id long, place long"
-FOUND = "kind int, key long, x long, y long, doc_id long, place long"
+KEYS = "key long, x long, y long, place long"
+FOUND = "kind int, key long, x long, y long, place long"
+
+
+LINES = "x long, y long, doc_id long, place long"
+#: Bytes of text whose lines are made at once.
+SLICE = 1 << 20
+
+
+def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The task's lines: the ids of their sets, doc_id and place."""
+    release()
+    for batch in batches:
+        for part in slices(batch, limit=SLICE):
+            s = LineSets(part.column("text"))
+            yield number_batch(LINES, *s.ids(), *_places(part, s.row, s.line))
 
 
 def _keys(batches: Iterator[pa.RecordBatch], shared, rate: Fraction) -> Iterator[pa.RecordBatch]:
-    """The task's lines, with a key that spreads them, and the keys of their sets."""
+    """The keys of the sets of the task's lines."""
     release()
     (order, shift), rule = shared.value, Rule(rate)
     seen = np.zeros(0, np.uint64)
     for batch in batches:
-        for part in slices(batch):
+        for part in slices(batch, limit=SLICE):
             s = LineSets(part.column("text"))
-            first, second = s.ids()
-            doc, place = _places(part, s.row, s.line)
-            yield number_batch(KEYS, mix(place.view(np.uint64) + mix(doc.view(np.uint64))), first, second, doc, place)
+            first, _ = s.ids()
             new, at = np.unique(first, return_index=True)
             fresh = ~np.isin(new, seen)
             live = np.zeros(len(first), bool)
@@ -226,8 +238,7 @@ def _keys(batches: Iterator[pa.RecordBatch], shared, rate: Fraction) -> Iterator
             seen = np.concatenate((seen, new[fresh])) if len(seen) < SEEN else new
             bits = s.parities()
             for sets, key, rank in rule.keys(s, live, order, shift):
-                none = pa.nulls(len(sets), pa.int64())
-                yield number_batch(KEYS, key, first[sets], bits[sets], none, (s.size[sets] << 16) | np.minimum(rank, 0xFFFF))
+                yield number_batch(KEYS, key, first[sets], bits[sets], (s.size[sets] << 16) | np.minimum(rank, 0xFFFF))
 
 
 def _may_match(a: tuple, b: tuple, rule: Rule) -> np.ndarray:
@@ -240,7 +251,7 @@ def _may_match(a: tuple, b: tuple, rule: Rule) -> np.ndarray:
 
 
 def _candidates(batches: Iterator[pa.RecordBatch], rate: Fraction, group: int) -> Iterator[pa.RecordBatch]:
-    """From rows sorted by key: lines as they are, pairs of sets that may match, and the rows of keys that more than `group` sets have.
+    """From rows sorted by key: pairs of sets that may match, and the rows of keys that more than `group` sets have.
 
     Memory holds one batch and at most `group` sets of the key that goes on in the next one.
     """
@@ -253,7 +264,7 @@ def _candidates(batches: Iterator[pa.RecordBatch], rate: Fraction, group: int) -
 
     def large(rows: np.ndarray) -> pa.RecordBatch:
         key, x, bits, info = rows
-        return number_batch(FOUND, kinds(2, len(key)), key, x, bits, pa.nulls(len(key), pa.int64()), info)
+        return number_batch(FOUND, kinds(2, len(key)), key, x, bits, info)
 
     def done(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
         """All whole runs of these rows (sorted by key and set, each once)."""
@@ -276,7 +287,7 @@ def _candidates(batches: Iterator[pa.RecordBatch], rate: Fraction, group: int) -
             order = np.lexsort((b, a))
             order = order[heads(a[order]) | heads(b[order])]
             none = pa.nulls(len(order), pa.int64())
-            yield number_batch(FOUND, kinds(1, len(order)), none, a[order], b[order], none, none)
+            yield number_batch(FOUND, kinds(1, len(order)), none, a[order], b[order], none)
 
     def shared_runs(rows: np.ndarray) -> np.ndarray:
         """The rows of keys that several have, sorted by key and set, each set once."""
@@ -286,14 +297,9 @@ def _candidates(batches: Iterator[pa.RecordBatch], rate: Fraction, group: int) -
         return rows[:, heads(rows[0]) | heads(rows[1])]
 
     for batch in batches:
-        line = batch.column("doc_id").is_valid()
-        lines = batch.filter(line)
-        if lines.num_rows:
-            yield number_batch(FOUND, kinds(0, lines.num_rows), pa.nulls(lines.num_rows, pa.int64()), *lines.columns[1:])
-        rest = batch.filter(pa.compute.invert(line))
-        if not rest.num_rows:
+        if not batch.num_rows:
             continue
-        rows = np.stack([rest.column(i).to_numpy() for i in (0, 1, 2, 4)])
+        rows = np.stack([batch.column(i).to_numpy() for i in range(4)])
         if hot is not None:
             n = int(np.searchsorted(rows[0], hot, side="right"))
             yield large(rows[:, :n])
@@ -377,7 +383,7 @@ def _needed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The tokens and wide parities of the lines that are listed; of rows that repeat an id and a text, the task's first alone."""
     seen: set[tuple[int, int]] = set()
     for batch in batches:
-        for part in slices(batch):
+        for part in slices(batch, limit=SLICE):
             names = list(zip(*(part.column(c).to_pylist() for c in ("doc_id", "tag"))))
             first = [not (x in seen or seen.add(x)) for x in names]
             if len(seen) > SEEN:  # what comes again later is only a repeated row
@@ -451,10 +457,14 @@ def _gone(named: DataFrame, rate: Fraction) -> DataFrame:
     shared = spark.sparkContext.broadcast(rarity(named))
     keys = named.mapInArrow(lambda it: _keys(it, shared, rate), KEYS).repartition("key").sortWithinPartitions("key")
     found, path = written(keys.mapInArrow(lambda it, group=GROUP: _candidates(it, rate, group), FOUND), "candidates")
-    paths.append(path)
-    lines = found.filter("kind = 0").select("x", "y", "doc_id", "place")
+    candidates = path
+    lines, lines_path = written(named.mapInArrow(_lines, LINES), "lines")  # once the keys' shuffle files are gone
     firsts, path = written(lines.groupBy("x", "y").agg(F.min(F.struct("doc_id", "place")).alias("f")).select("x", "y", F.col("f.doc_id").alias("doc_id"), F.col("f.place").alias("place")), "firsts")
     paths.append(path)
+    same = lines.join(firsts.select("x", "y", F.struct("doc_id", "place").alias("f")), ["x", "y"]).filter(F.struct("doc_id", "place") > F.col("f")).select("doc_id", "place")
+    same, path = written(same, "same")
+    paths.append(path)
+    removed(spark, lines_path)
     one = lambda t, c: firsts.select(F.col("x").alias(c), F.struct(*LINE).alias(t))
     pairs = found.filter("kind = 1").select("x", "y").distinct().join(one("f", "x"), "x").join(one("g", "y"), "y")
     pairs = pairs.select(F.least("f", "g").alias("a"), F.greatest("f", "g").alias("b")).filter("a < b")
@@ -464,13 +474,14 @@ def _gone(named: DataFrame, rate: Fraction) -> DataFrame:
     paths.append(path)
     stars, path = written(large.repartition("key").sortWithinPartitions("key", *LINE).mapInArrow(lambda it, group=GROUP, nearest=NEAREST: _stars(it, rate, group, nearest), PAIRS), "stars")
     paths.append(path)
-    pairs, path = written(pairs.union(stars.filter("a_doc is not null")).distinct(), "pairs")
-    paths.append(path)
+    pairs, pairs_path = written(pairs.union(stars.filter("a_doc is not null")).distinct(), "pairs")
+    removed(spark, candidates)
     ends = [t.select(F.col(d).alias("doc_id"), F.col(p).alias("place")) for t, d, p in ((pairs, "a_doc", "a_place"), (pairs, "b_doc", "b_place"), (large, "doc_id", "place"))]
     sets, path = _tokens(named, ends[0].union(ends[1]).union(ends[2]))
     paths.append(path)
     pairs, path = written(_close(pairs, sets, rate), "close")
     paths.append(path)
+    removed(spark, pairs_path)
     sets = sets.drop(*PARITIES)
     # the nearest earlier line first; of those that it doesn't settle, all; last, those that have more in a key of many
     nearest = pairs.groupBy("b_doc", "b_place").agg(F.min(F.struct("far", "a_doc", "a_place")).alias("n")).select("n.a_doc", "n.a_place", "b_doc", "b_place")
@@ -482,7 +493,6 @@ def _gone(named: DataFrame, rate: Fraction) -> DataFrame:
     similar = similar.union(others)
     waiting = stars.filter("a_doc is null").select(F.col("b_doc").alias("doc_id"), F.col("b_place").alias("place")).distinct().join(similar, LINE, "left_anti")
     similar = similar.union(_match_earlier(waiting, large, sets, rate))
-    same = lines.join(firsts.select("x", "y", F.struct("doc_id", "place").alias("f")), ["x", "y"]).filter(F.struct("doc_id", "place") > F.col("f")).select("doc_id", "place")
     gone, _ = written(same.union(similar).groupBy("doc_id").agg(F.collect_set("place").alias("places")), "gone")
     for path in paths:
         removed(spark, path)
@@ -493,7 +503,7 @@ def _gone(named: DataFrame, rate: Fraction) -> DataFrame:
 def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The columns that are there, and n_lines, n_removed and kept_text."""
     for batch in batches:
-        for part in slices(batch):
+        for part in slices(batch, limit=SLICE):
             data, start, stop, row, _, listed = _cut(part, "_gone_places")
             valid = part.column("text").is_valid()
             stay = np.flatnonzero(~listed)

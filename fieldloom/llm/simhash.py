@@ -204,7 +204,6 @@ def _sets(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.Record
 
 #: Bytes of text whose shingles are made at once.
 SLICE = 1 << 20
-PREFIXES = "key long, x long, y long, doc_id long, place long"
 
 
 def _prefixes(batches: Iterator[pa.RecordBatch], shared, shingle: int, rate: Fraction) -> Iterator[pa.RecordBatch]:
@@ -215,7 +214,7 @@ def _prefixes(batches: Iterator[pa.RecordBatch], shared, shingle: int, rate: Fra
             s = ShingleSets(part.column("text"), shingle)
             node, bits = s.ids()[0], s.parities()
             row, key, rank = s.prefixes(shared.value[0], rate)
-            yield number_batch(PREFIXES, key, node[row], bits[row], pa.nulls(len(row), pa.int64()), (s.size[row] << 16) | np.minimum(rank, 0xFFFF))
+            yield number_batch(lines.KEYS, key, node[row], bits[row], (s.size[row] << 16) | np.minimum(rank, 0xFFFF))
 
 
 def _shingles(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
@@ -263,7 +262,7 @@ def similar_sets(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) ->
     shared = spark.sparkContext.broadcast(lines.rarity(docs, hashes))
     once = sets.groupBy("node").agg(F.min(F.struct("doc_id", "tag")).alias("f")).select("f.doc_id", "f.tag").distinct()  # a row of each set
     texts = docs.select("doc_id", "tag", "text").join(once, ["doc_id", "tag"], "left_semi")
-    keys = texts.mapInArrow(lambda it: _prefixes(it, shared, shingle, rate), PREFIXES).repartition("key").sortWithinPartitions("key")
+    keys = texts.mapInArrow(lambda it: _prefixes(it, shared, shingle, rate), lines.KEYS).repartition("key").sortWithinPartitions("key")
     found, path = written(keys.mapInArrow(lambda it, group=lines.GROUP: lines._candidates(it, rate, group), lines.FOUND), "candidates")
     paths.append(path)
     large, path = written(found.filter("kind = 2").select("key", F.col("x").alias("node"), F.col("y").alias("bits"), F.col("place").alias("info")).distinct(), "large")
