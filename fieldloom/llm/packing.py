@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from .shared import written
 from .tokens import encoded
+from .words import slices, trim
 
 
 def slack(total: int, capacity: int) -> int:
@@ -129,11 +130,13 @@ class Plan:
             name, at = tail, at + size
 
 
+#: Bytes of text, and of ids, handled at once.
+SLICE = 1 << 20
 PIECES = "doc_id long, start long, length long, doc_tokens long, ids binary"
 
 
 def _pieces(batches: Iterator[pa.RecordBatch], path: str, end_id: int, capacity: int) -> Iterator[pa.RecordBatch]:
-    for part, ids, sizes in encoded(batches, path, end_id):
+    for part, ids, sizes in encoded(batches, path, end_id, limit=SLICE):
         ids = ids.astype("<u4")
         many = -(-sizes // capacity)
         row = np.repeat(np.arange(len(sizes)), many)
@@ -169,21 +172,23 @@ def _ranked(batches: Iterator[pa.RecordBatch], capacity: int) -> Iterator[pa.Rec
 
 
 def _placed(batches: Iterator[pa.RecordBatch], chosen: Plan) -> Iterator[pa.RecordBatch]:
+    trim()
     for batch in batches:
-        ids = batch.column("ids")
-        rows, starts, sizes, numbers, offsets, data = [], [], [], [], [], []
-        for i, (start, length, rank, before) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("start", "length", "_pack_rank", "_pack_before")))):
-            for at, size, number, offset in chosen.places(length, rank + before):
-                rows.append(i)
-                starts.append(start + at)
-                sizes.append(size)
-                numbers.append(number)
-                offsets.append(offset)
-                data.append(ids[i].as_py() if size == length else ids[i].as_py()[4 * at : 4 * (at + size)])
-        new = {"start": pa.array(starts, pa.int64()), "length": pa.array(sizes, pa.int64()), "ids": pa.array(data, pa.binary())}
-        take = pa.array(rows, pa.int64())
-        names = [n for n in batch.schema.names if not n.startswith("_pack_")]
-        yield pa.RecordBatch.from_arrays([*(new[n] if n in new else batch.column(n).take(take) for n in names), pa.array(numbers, pa.int64()), pa.array(offsets, pa.int64())], names=[*names, "sequence_id", "offset"])
+        for part in slices(batch, "ids", SLICE):
+            ids = part.column("ids")
+            rows, starts, sizes, numbers, offsets, data = [], [], [], [], [], []
+            for i, (start, length, rank, before) in enumerate(zip(*(part.column(c).to_pylist() for c in ("start", "length", "_pack_rank", "_pack_before")))):
+                for at, size, number, offset in chosen.places(length, rank + before):
+                    rows.append(i)
+                    starts.append(start + at)
+                    sizes.append(size)
+                    numbers.append(number)
+                    offsets.append(offset)
+                    data.append(ids[i].as_py() if size == length else ids[i].as_py()[4 * at : 4 * (at + size)])
+            new = {"start": pa.array(starts, pa.int64()), "length": pa.array(sizes, pa.int64()), "ids": pa.array(data, pa.binary())}
+            take = pa.array(rows, pa.int64())
+            names = [n for n in part.schema.names if not n.startswith("_pack_")]
+            yield pa.RecordBatch.from_arrays([*(new[n] if n in new else part.column(n).take(take) for n in names), pa.array(numbers, pa.int64()), pa.array(offsets, pa.int64())], names=[*names, "sequence_id", "offset"])
 
 
 #: Rows of the table of counts by file and length up to which it is broadcast (some 70 MB); beyond, it is shuffled.

@@ -62,6 +62,21 @@ def alike(a: str, b: str, rate: Fraction) -> Column:
 
 #: A setting of Spark's: the shuffle files of a query go when it ends.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Another: bytes of a batch that goes to Python; rows by count alone are tens of MB, held in the JVM and in the worker.
+BATCH, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
+
+
+@contextlib.contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """These settings of the session until the end."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
@@ -70,12 +85,9 @@ def written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     The shuffle files that df took are deleted once it is written, so that they don't add up over the stages.
     """
     spark = df.sparkSession
-    path, before = new_path(spark, name), spark.conf.get(CLEANUP, None)
-    spark.conf.set(CLEANUP, "true")
-    try:
+    path = new_path(spark, name)
+    with settings(spark, {CLEANUP: "true", BATCH: str(BATCH_BYTES)}):
         df.write.parquet(path)
-    finally:
-        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path), path
 
 

@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 from tokenizers import Tokenizer
 
-from .words import SLICE_BYTES, Words, kept, mix, slices
+from .words import SLICE_BYTES, Words, kept, mix, slices, trim
 
 #: Pieces kept in the cache; beyond, those used once are dropped.
 CACHE_PIECES = 300_000
@@ -207,6 +207,7 @@ def encoder(path: str, pieces: int = CACHE_PIECES) -> Encoder:
 
 def encoded(batches: Iterator[pa.RecordBatch], path: str, end_id: int | None, pieces: int = CACHE_PIECES, limit: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Parts of the batches with the ids of their texts (null: none), each followed by end_id, and the counts."""
+    trim()
     for batch in batches:
         for part in slices(batch, limit=limit):
             ids, sizes = encoder(path, pieces).encode_column(part.column("text"))

@@ -41,6 +41,11 @@ def kept(key: object, make):
 def release() -> None:
     """Let go of what kept() holds, before an operator that needs the room, and give free memory back."""
     worker_cache().pop("kept", None)
+    trim()
+
+
+def trim() -> None:
+    """Give free memory back, and keep what kept() holds."""
     pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):  # where the C library has no such call
         ctypes.CDLL(None).malloc_trim(0)

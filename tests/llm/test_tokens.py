@@ -12,6 +12,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from fieldloom.llm import packing, simple8b
+from fieldloom.llm.shared import BATCH_BYTES, written
 from fieldloom.llm.tokens import Encoder
 
 FILES = ["word_bpe_49k.json", "byte_bpe_50k.json"]
@@ -150,3 +151,30 @@ def test_fill_is_the_best_with_the_longest(counts):
     top = max(sums)
     powers = [x for x in sums if x & (x - 1) == 0]
     assert total == (top if top == 24 or not packing.slack(top, 24) or not powers else max(powers))
+
+
+def test_packing_holds_little_at_once():
+    path, capacity = public_tokenizers.path("byte_bpe_50k.json"), 2048
+    docs = pa.record_batch([pa.array(range(400)), pa.array([f"{i} " * 8000 for i in range(400)])], names=["doc_id", "text"])
+    assert docs.nbytes > 8 * packing.SLICE
+    parts = list(packing._pieces(iter([docs]), path, 1, capacity))
+    assert max(p.nbytes for p in parts) < 6 * packing.SLICE  # four bytes an id, and a digit or two and a blank of text are two ids at most
+    whole = pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
+    n = whole.num_rows
+    length = whole.column("length").to_numpy()
+    rank = np.array([np.sum(length[:i] == length[i]) for i in range(n)])
+    ranked = pa.RecordBatch.from_arrays([*whole.columns, pa.array(rank), pa.array(np.zeros(n, np.int64))], names=[*whole.schema.names, "_pack_rank", "_pack_before"])
+    plan = packing.Plan(dict(zip(*(x.tolist() for x in np.unique(length, return_counts=True)))), capacity)
+    placed = list(packing._placed(iter([ranked]), plan))
+    assert max(p.nbytes for p in placed) < 2 * packing.SLICE < whole.nbytes
+    assert sum(map(len, (x.as_py() for p in placed for x in p.column("ids")))) == 4 * int(length.sum())
+
+
+def test_batches_for_workers_have_few_bytes(spark):
+    def sizes(batches):
+        for b in batches:
+            yield pa.record_batch([pa.array([b.nbytes])], names=["n"])
+
+    docs = spark.range(0, 3000, 1, 1).selectExpr("repeat('x', 10000) AS text")
+    got = [r["n"] for r in written(docs.mapInArrow(sizes, "n long"), "sizes")[0].collect()]
+    assert sum(got) > 3000 * 10000 and max(got) < 2 * BATCH_BYTES
