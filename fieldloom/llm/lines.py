@@ -8,7 +8,7 @@ from fractions import Fraction
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .shared import alike, removed, written
@@ -24,6 +24,8 @@ GROUP = 64
 NEAREST = 2
 #: Words of 64 parity bits that candidates are compared by before their tokens are.
 WIDE = 4
+#: Pairs up to which the ids of their lines are broadcast.
+FEW = 200_000
 #: Set ids a task remembers, so that a line that it met before emits its keys once.
 SEEN = 1 << 20
 
@@ -147,28 +149,31 @@ def _places(part: pa.RecordBatch, row: np.ndarray, line: np.ndarray) -> tuple[np
     return doc, (tag << 32) | line
 
 
-def _words(column: pa.Array) -> tuple[np.ndarray, int]:
-    w = Words(column, lower=True)
-    return w.hash, int((w.data == 10).sum()) + len(column)
+COUNTS = "part int, bucket binary, n binary"
+
+
+def _by_part(counts: np.ndarray, sets: int) -> pa.RecordBatch:
+    """For each part of the buckets, those that have any token and their counts; last, how many sets there are."""
+    found = np.flatnonzero(counts)
+    cuts = np.searchsorted(found, np.arange(0, len(counts) + 1, 1 << PART_BITS))
+    rows = [(i, (found[a:b] & ((1 << PART_BITS) - 1)).astype("<u2").tobytes(), counts[found[a:b]].astype("<i8").tobytes()) for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])) if b > a]
+    rows.append((-1, np.zeros(1, "<u2").tobytes(), np.array([sets], "<i8").tobytes()))
+    return pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows), (pa.int32(), pa.binary(), pa.binary()))], names=["part", "bucket", "n"])
 
 
 def _counts(batches: Iterator[pa.RecordBatch], tokens) -> Iterator[pa.RecordBatch]:
-    """How many tokens the task's texts have in each bucket: for each part, the buckets that have any and their counts; last, its sets.
+    """How many tokens the task's texts have in each bucket (see _by_part).
 
     tokens: of a text column the tokens of all its sets, and how many sets there are at most.
     """
     release()
-    counts, lines = np.zeros(1 << BUCKET_BITS, np.int64), 0
+    counts, sets = np.zeros(1 << BUCKET_BITS, np.int64), 0
     for batch in batches:
         for part in slices(batch, limit=SLICE):
             found, many = tokens(part.column("text"))
-            counts += np.bincount(_buckets(found), minlength=len(counts))
-            lines += many
-    found = np.flatnonzero(counts)
-    cuts = np.searchsorted(found, np.arange(0, len(counts) + 1, 1 << PART_BITS))
-    rows = [(i, (found[a:b] & ((1 << PART_BITS) - 1)).astype("<u2").tobytes(), counts[found[a:b]].astype("<i8").tobytes()) for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])) if b > a]
-    rows.append((-1, np.zeros(1, "<u2").tobytes(), np.array([lines], "<i8").tobytes()))
-    yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows), (pa.int32(), pa.binary(), pa.binary()))], names=["part", "bucket", "n"])
+            np.add.at(counts, _buckets(found), 1)
+            sets += many
+    yield _by_part(counts, sets)
 
 
 def _codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -190,15 +195,21 @@ def _codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield coded()
 
 
-def rarity(docs: DataFrame, tokens=_words) -> tuple[np.ndarray, int]:
+def rarity(docs: DataFrame, tokens) -> tuple[np.ndarray, int]:
     """The code of each bucket of tokens (see _codes), and that of a token that every set has."""
-    coded = docs.select("text").mapInArrow(lambda it: _counts(it, tokens), "part int, bucket binary, n binary").repartition("part").sortWithinPartitions("part").mapInArrow(_codes, "part int, codes binary")
+    return _summed(docs.select("text").mapInArrow(lambda it: _counts(it, tokens), COUNTS))
+
+
+def _summed(counts: DataFrame) -> tuple[np.ndarray, int]:
+    """rarity() of the counts of all tasks."""
+    coded, path = written(counts.repartition("part").sortWithinPartitions("part").mapInArrow(_codes, "part int, codes binary"), "codes")
     order, shift = np.zeros(1 << BUCKET_BITS, np.uint8), 0
     for row in coded.collect():  # 2**(BUCKET_BITS - PART_BITS) rows of 2**PART_BITS bytes
         if row["part"] < 0:
             shift = row["codes"][0]
         else:
             order[row["part"] << PART_BITS : (row["part"] + 1) << PART_BITS] = np.frombuffer(row["codes"], np.uint8)
+    removed(counts.sparkSession, path)
     return order, shift
 
 
@@ -214,19 +225,52 @@ SLICE = 1 << 20
 
 
 def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The task's lines: the ids of their sets, doc_id and place."""
+    """The task's lines: the ids of their sets, doc_id and place; last, the counts of their tokens (see _by_part)."""
     release()
+    names = [x.split()[0] for x in f"{LINES}, {COUNTS}".split(", ")]
+    counts, sets = np.zeros(1 << BUCKET_BITS, np.int64), 0
     for batch in batches:
         for part in slices(batch, limit=SLICE):
             s = LineSets(part.column("text"))
-            yield number_batch(LINES, *s.ids(), *_places(part, s.row, s.line))
+            np.add.at(counts, _buckets(s.token), 1)
+            sets += len(s.row)
+            found = number_batch(LINES, *s.ids(), *_places(part, s.row, s.line))
+            yield pa.RecordBatch.from_arrays([*found.columns, *(pa.nulls(len(s.row), k) for k in (pa.int32(), pa.binary(), pa.binary()))], names=names)
+    found = _by_part(counts, sets)
+    yield pa.RecordBatch.from_arrays([*[pa.nulls(found.num_rows, pa.int64())] * 4, *found.columns], names=names)
+
+
+#: Rows of keys that a task holds before it sends them; parts a shuffle partition has; bytes of each number of a row.
+HOLD, PARTS, PACKED = 1 << 18, 4, (6, 8, 8, 6)
+SENT = "spot long, part int, rows binary"
+
+
+def _packed(rows: np.ndarray, spots: np.ndarray) -> pa.RecordBatch:
+    """Rows (KEYS) by part of the keys' range: spot (which deals it), part, and the rows' bytes, the first of all rows first (so that zeros go together)."""
+    part = ((rows[0].view(np.uint64) >> np.uint64(32)) * np.uint64(len(spots) * PARTS)) >> np.uint64(32)
+    order = np.argsort(part, kind="stable")
+    part = part[order].astype(np.int64)
+    begins = np.flatnonzero(heads(part))
+    planes = np.concatenate([np.ascontiguousarray(x[order]).view(np.uint8).reshape(-1, 8)[:, :n].T for x, n in zip(rows, PACKED)])
+    found = [planes[:, a:b].tobytes() for a, b in zip(begins, np.append(begins[1:], len(part)))]
+    return pa.record_batch([pa.array(spots[part[begins] // PARTS]), pa.array(part[begins].astype(np.int32)), pa.array(found, pa.binary())], names=["spot", "part", "rows"])
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    """The rows of a part; of a key only the low bytes, by which those of a part are told apart."""
+    planes = np.frombuffer(data, np.uint8).reshape(sum(PACKED), -1)
+    rows, at = np.zeros((len(PACKED), planes.shape[1], 8), np.uint8), 0
+    for i, n in enumerate(PACKED):
+        rows[i, :, :n] = planes[at : at + n].T
+        at += n
+    return rows.reshape(len(PACKED), -1).view(np.int64)
 
 
 def _keys(batches: Iterator[pa.RecordBatch], shared, rate: Fraction) -> Iterator[pa.RecordBatch]:
-    """The keys of the sets of the task's lines."""
+    """The keys of the sets of the task's lines, packed by part."""
     release()
-    (order, shift), rule = shared.value, Rule(rate)
-    seen = np.zeros(0, np.uint64)
+    (order, shift, spots), rule = shared.value, Rule(rate)
+    seen, held, many = np.zeros(0, np.uint64), [], 0
     for batch in batches:
         for part in slices(batch, limit=SLICE):
             s = LineSets(part.column("text"))
@@ -238,7 +282,78 @@ def _keys(batches: Iterator[pa.RecordBatch], shared, rate: Fraction) -> Iterator
             seen = np.concatenate((seen, new[fresh])) if len(seen) < SEEN else new
             bits = s.parities()
             for sets, key, rank in rule.keys(s, live, order, shift):
-                yield number_batch(KEYS, key, first[sets], bits[sets], (s.size[sets] << 16) | np.minimum(rank, 0xFFFF))
+                held.append(np.stack((signed(key), signed(first[sets]), signed(bits[sets]), (s.size[sets] << 16) | np.minimum(rank, 0xFFFF))))
+                many += len(key)
+            if many >= HOLD:
+                yield _packed(np.concatenate(held, axis=1), spots)
+                held, many = [], 0
+    if many:
+        yield _packed(np.concatenate(held, axis=1), spots)
+
+
+def _sorted(batches: Iterator[pa.RecordBatch], group: int, most: int) -> Iterator[pa.RecordBatch]:
+    """From packed rows sorted by part: the rows (KEYS) of each part, sorted by key.
+
+    Where a part has more than `most` rows, those of keys that more than `group` sets have go on at once, as FOUND, so that they aren't held.
+    """
+    now, held, many, hot, limit = None, [], 0, np.zeros(0, np.int64), most
+
+    def taken() -> pa.RecordBatch:
+        rows = np.concatenate(held, axis=1)
+        return number_batch(KEYS, *rows[:, np.argsort(rows[0])])
+
+    for batch in batches:
+        for part, data in zip(batch.column("part").to_pylist(), batch.column("rows")):
+            if part != now:
+                if many:
+                    yield taken()
+                now, held, many, hot, limit = part, [], 0, hot[:0], most
+            rows = _unpacked(data.as_buffer())
+            if len(hot):
+                large = np.isin(rows[0], hot)
+                if large.any():
+                    yield _large(rows[:, large])
+                rows = rows[:, ~large]
+            held.append(rows)
+            many += rows.shape[1]
+            if many > limit:
+                rows = _once(np.concatenate(held, axis=1))
+                begins = np.flatnonzero(heads(rows[0]))
+                count = np.diff(np.append(begins, rows.shape[1]))
+                large = np.repeat(count > group, count)
+                if large.any():
+                    hot = np.concatenate((hot, rows[0, begins[count > group]]))
+                    yield _large(rows[:, large])
+                held = [rows[:, ~large]]
+                many = held[0].shape[1]
+                limit = max(most, 2 * many)
+    if many:
+        yield taken()
+
+
+def _once(rows: np.ndarray) -> np.ndarray:
+    """The rows sorted by key and set, each set once."""
+    rows = rows[:, np.lexsort((rows[1], rows[0]))]
+    return rows[:, heads(rows[0]) | heads(rows[1])]
+
+
+def _large(rows: np.ndarray) -> pa.RecordBatch:
+    key, x, bits, info = rows
+    return number_batch(FOUND, np.full(len(key), 2, np.int32), key, x, bits, info)
+
+
+#: Rows of a part from which those of large keys are no longer held.
+MOST = 1 << 20
+
+
+def _spots(spark: SparkSession) -> np.ndarray:
+    """A number for each shuffle partition that Spark's hash deals there, so that each gets as many parts."""
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    found = spark.range(n * 30 + 100).select("id", F.pmod(F.hash("id"), F.lit(n)).alias("to")).groupBy("to").agg(F.min("id").alias("id")).collect()
+    spots = np.arange(n, dtype=np.int64)  # where none is found, any will do
+    for row in found:
+        spots[row["to"]] = row["id"]
+    return spots
 
 
 def _may_match(a: tuple, b: tuple, rule: Rule) -> np.ndarray:
@@ -253,7 +368,7 @@ def _may_match(a: tuple, b: tuple, rule: Rule) -> np.ndarray:
 def _candidates(batches: Iterator[pa.RecordBatch], rate: Fraction, group: int) -> Iterator[pa.RecordBatch]:
     """From rows sorted by key: pairs of sets that may match, and the rows of keys that more than `group` sets have.
 
-    Memory holds one batch and at most `group` sets of the key that goes on in the next one.
+    Memory holds one batch and at most `group` sets of the key that goes on in the next one.  Batches of FOUND go through.
     """
     release()
     rule = Rule(rate)
@@ -262,10 +377,6 @@ def _candidates(batches: Iterator[pa.RecordBatch], rate: Fraction, group: int) -
     def kinds(kind: int, n: int) -> np.ndarray:
         return np.full(n, kind, np.int32)
 
-    def large(rows: np.ndarray) -> pa.RecordBatch:
-        key, x, bits, info = rows
-        return number_batch(FOUND, kinds(2, len(key)), key, x, bits, info)
-
     def done(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
         """All whole runs of these rows (sorted by key and set, each once)."""
         key, x, bits, info = rows
@@ -273,7 +384,7 @@ def _candidates(batches: Iterator[pa.RecordBatch], rate: Fraction, group: int) -
         count = np.diff(np.append(begins, len(key)))
         run = np.repeat(count, count)
         if (run > group).any():
-            yield large(rows[:, run > group])
+            yield _large(rows[:, run > group])
         left = np.repeat(begins + count, count) - np.arange(len(key))  # rows of the key from here on
         i, step = np.flatnonzero((run <= group) & (left > 1)), 1
         pairs = []
@@ -293,16 +404,18 @@ def _candidates(batches: Iterator[pa.RecordBatch], rate: Fraction, group: int) -
         """The rows of keys that several have, sorted by key and set, each set once."""
         head = heads(rows[0])
         rows = rows[:, ~(head & np.append(head[1:], True))]
-        rows = rows[:, np.lexsort((rows[1], rows[0]))]
-        return rows[:, heads(rows[0]) | heads(rows[1])]
+        return _once(rows)
 
     for batch in batches:
+        if batch.num_columns > 4:
+            yield batch
+            continue
         if not batch.num_rows:
             continue
         rows = np.stack([batch.column(i).to_numpy() for i in range(4)])
         if hot is not None:
             n = int(np.searchsorted(rows[0], hot, side="right"))
-            yield large(rows[:, :n])
+            yield _large(rows[:, :n])
             rows = rows[:, n:]
             if not rows.shape[1]:
                 continue
@@ -314,7 +427,7 @@ def _candidates(batches: Iterator[pa.RecordBatch], rate: Fraction, group: int) -
         if carry.shape[1] > group:
             carry = shared_runs(carry)
             if carry.shape[1] > group:
-                yield large(carry)
+                yield _large(carry)
                 carry, hot = carry[:, :0], rows[0, -1]
     yield from done(shared_runs(carry))
 
@@ -454,11 +567,12 @@ def _match_earlier(waiting: DataFrame, rows: DataFrame, sets: DataFrame, rate: F
 def _gone(named: DataFrame, rate: Fraction) -> DataFrame:
     """doc_id and the places of its lines that go, in a table of its own."""
     spark, paths = named.sparkSession, []
-    shared = spark.sparkContext.broadcast(rarity(named))
-    keys = named.mapInArrow(lambda it: _keys(it, shared, rate), KEYS).repartition("key").sortWithinPartitions("key")
-    found, path = written(keys.mapInArrow(lambda it, group=GROUP: _candidates(it, rate, group), FOUND), "candidates")
+    lines, lines_path = written(named.mapInArrow(_lines, f"{LINES}, {COUNTS}"), "lines")
+    shared = spark.sparkContext.broadcast((*_summed(lines.filter("part is not null").select("part", "bucket", "n")), _spots(spark)))
+    lines = lines.filter("part is null").select("x", "y", *LINE)
+    keys = named.mapInArrow(lambda it: _keys(it, shared, rate), SENT).repartition(len(shared.value[2]), "spot").sortWithinPartitions("part").select("part", "rows")
+    found, path = written(keys.mapInArrow(lambda it, group=GROUP, most=MOST: _candidates(_sorted(it, group, most), rate, group), FOUND), "candidates")
     candidates = path
-    lines, lines_path = written(named.mapInArrow(_lines, LINES), "lines")  # once the keys' shuffle files are gone
     firsts, path = written(lines.groupBy("x", "y").agg(F.min(F.struct("doc_id", "place")).alias("f")).select("x", "y", F.col("f.doc_id").alias("doc_id"), F.col("f.place").alias("place")), "firsts")
     paths.append(path)
     same = lines.join(firsts.select("x", "y", F.struct("doc_id", "place").alias("f")), ["x", "y"]).filter(F.struct("doc_id", "place") > F.col("f")).select("doc_id", "place")
@@ -488,7 +602,12 @@ def _gone(named: DataFrame, rate: Fraction) -> DataFrame:
     similar, path = written(_verified(nearest, sets, rate), "later")
     paths.append(path)
     settled = similar.select(F.col("doc_id").alias("b_doc"), F.col("place").alias("b_place"))
-    others, path = written(_verified(pairs.join(settled, ["b_doc", "b_place"], "left_anti"), sets, rate), "later")
+    rest, path = written(pairs.join(settled, ["b_doc", "b_place"], "left_anti"), "rest")
+    paths.append(path)
+    some = sets
+    if rest.count() <= FEW:  # then their lines are picked out before any tokens are moved
+        some = sets.join(F.broadcast(rest.select(F.explode(F.array(F.struct(F.col("a_doc").alias("doc_id"), F.col("a_place").alias("place")), F.struct(F.col("b_doc").alias("doc_id"), F.col("b_place").alias("place")))).alias("l")).select("l.*").distinct()), LINE, "left_semi")
+    others, path = written(_verified(rest, some, rate), "later")
     paths.append(path)
     similar = similar.union(others)
     waiting = stars.filter("a_doc is null").select(F.col("b_doc").alias("doc_id"), F.col("b_place").alias("place")).distinct().join(similar, LINE, "left_anti")

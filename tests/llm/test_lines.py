@@ -111,3 +111,28 @@ def test_documents_keep_their_columns(spark):
     docs = spark.createDataFrame([(1, "a b c", "en", "s", 5), (2, "a b c", "en", "s", 5), (3, "a b c\nd e", None, "s", 9), (4, "", "en", "s", 0), (5, None, "en", "s", 0)], "doc_id long, text string, lang string, source string, n_chars long")
     got = {r["doc_id"]: (r["text"], r["n_chars"], r["lang"]) for r in lines.without_similar_lines(docs).collect()}
     assert got == {1: ("a b c", 5, "en"), 3: ("d e", 3, None), 4: ("", 0, "en"), 5: (None, 0, "en")}
+
+
+def test_packed_keys_come_back_by_part():
+    rng = np.random.default_rng(5)
+    spots = np.arange(3)
+    rows = np.stack((rng.integers(-(2**63), 2**63, 5000), rng.integers(-(2**63), 2**63, 5000), rng.integers(-(2**63), 2**63, 5000), (rng.integers(1, 2**31, 5000) << 16) | rng.integers(0, 2**16, 5000)))
+    rows[0, ::7] = rows[0, 0]
+    sent = lines._packed(rows, spots)
+    assert sum(map(len, sent.column("rows").to_pylist())) == 28 * 5000  # a row as KEYS has 32 bytes and what Spark adds
+    sent = sent.select(["part", "rows"])
+    found = [[c.to_numpy() for c in b.columns] for b in lines._sorted(iter([sent]), 64, 1 << 20)]
+    assert len(found) == 3 * lines.PARTS and all((np.diff(f[0]) >= 0).all() for f in found)
+    low = (1 << 48) - 1
+    got = sorted(zip(*(np.concatenate(x).tolist() for x in zip(*found))))
+    assert got == sorted(zip((rows[0] & low).tolist(), *(x.tolist() for x in rows[1:])))
+
+
+def test_rows_of_large_keys_are_not_held():
+    spots, rng = np.arange(1), np.random.default_rng(6)
+    made = [np.stack((np.full(300, 77), np.arange(300) + 300 * i, rng.integers(0, 9, 300), np.full(300, 20 << 16))) for i in range(20)]
+    sent = pa.Table.from_batches([lines._packed(m, spots).select(["part", "rows"]) for m in made]).combine_chunks().to_batches()
+    found = list(lines._candidates(lines._sorted(iter(sent), 64, 500), Fraction(4, 5), 64))
+    assert max(f.num_rows for f in found) <= 600
+    assert sorted(x for f in found for x in f.column("x").to_pylist()) == list(range(6000))
+    assert {k for f in found for k in f.column("kind").to_pylist()} == {2}
