@@ -45,7 +45,7 @@ def integrated(seasons: DataFrame, periods: DataFrame, key: str, shift: int = 10
     An equi-join by field with the overlap as its residual; the three variants are conditional sums of one aggregate.
     """
     variants = bounds(shift, F.col("season_first"), F.col("season_last"))
-    joined = seasons.join(periods, key, "left")
+    joined = seasons.join(periods, key, "left").sortWithinPartitions(key, "period_start")  # a sum of doubles depends on the order
     shares = {"_c": "coverage"} | ({"_p": "effective_pixels"} if "effective_pixels" in periods.columns else {})
     sums = []
     for name, (start, end) in variants.items():
@@ -108,13 +108,15 @@ def joined_reasons(reasons: dict[str, Column]) -> Column:
     return F.concat_ws(";", *(F.when(c, F.lit(name)) for name, c in reasons.items()))
 
 
-def season_yield(fields: DataFrame, predictions: DataFrame, phenology: DataFrame, metrics: DataFrame, factors: DataFrame, confidence: float = 0.0, temporal: float = 0.8, spatial: float = 0.8) -> DataFrame:
+def season_yield(fields: DataFrame, predictions: DataFrame, phenology: DataFrame, metrics: DataFrame, factors: DataFrame, confidence: float = 0.0, temporal: float = 0.8, spatial: float = 0.8, places: int | None = 12) -> DataFrame:
     """A row for every field: its crop, season, productivity, yield and production at three levels, and all reasons
     why there is no yield.
 
     fields: field_id, county, area_ha, intercrop_status, survey_crop_text.  predictions: field_id, county,
     seasonal_label, seasonal_confidence, status.  phenology: as of seasons().  metrics: as of integrated().
     factors: as of crop_factors(), a row a crop, and so broadcast.  What is missing is NULL and no reason to drop a field.
+    places: to which shares are rounded before they are held against their bounds, so that one on its bound is not below
+    it by a sum's last bits; None: the doubles as they are.
     """
     t = fields.join(predictions, ["field_id", "county"], "left").join(phenology, "field_id", "left").join(metrics.drop("sos", "eos"), "field_id", "left")
     label = F.lower(F.coalesce("seasonal_label", F.lit("unclassified")))
@@ -125,7 +127,8 @@ def season_yield(fields: DataFrame, predictions: DataFrame, phenology: DataFrame
     supported, final = F.col("fc_central").isNotNull(), sure(F.col("status") == "final")
     confident, mixed = sure(F.col("seasonal_confidence") >= confidence), F.col("intercrop_status") == "yes"
     mismatch = (F.col("intercrop_status") == "no") & sure(~F.col("survey_crop_match"))
-    long, wide = (sure(nearest(F.col(c), 12) >= least) for c, least in (("temporal_central", temporal), ("spatial_central", spatial)))  # a share on the bound is not below it by a sum's last bits
+    share = lambda c: F.col(c) if places is None else nearest(F.col(c), places)
+    long, wide = (sure(share(c) >= least) for c, least in (("temporal_central", temporal), ("spatial_central", spatial)))
     known = F.col("npp_central").isNotNull()
     eligible = supported & final & confident & ~mixed & ~mismatch & long & wide & known
     unsure = eligible & (F.col("intercrop_status") == "unknown")

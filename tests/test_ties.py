@@ -44,3 +44,20 @@ def test_a_share_on_its_bound_is_enough_whatever_the_order_of_a_sum(spark):
 def test_dry_share_is_the_decimal_one(spark):
     row = yields.crop_factors(spark).filter("crop = 'potatoes'").select(yields.crop_yield(F.lit(1.0), "high").alias("y")).first()
     assert row["y"] == duckdb.execute("select 1.0::double * 1.0 * 1.0 * 0.85 / (1 - 0.8)").fetchone()[0] == 0.85 / 0.2
+
+
+def test_season_yield_holds_doubles_against_its_bounds_as_its_sql_does(spark, tmp_path):
+    """Fields with one line item each, so that sums have no order, whose spatial share is 0.8 or the double below it."""
+    from fieldloom.plans import registry
+
+    con, share = duckdb.connect(), 0.8 / 18
+    con.execute("create table supplier as select id as s_suppkey, 'S' as s_name, 1 as s_nationkey from range(60) t(id)")
+    con.execute("create table lineitem as select s_suppkey as l_suppkey, timestamp '1996-06-05' as l_shipdate, 30.0::double as l_quantity, case s_suppkey % 2 when 0 then ?::double else ?::double end as l_discount, 0.01::double as l_tax, 1.0::double as l_extendedprice from supplier", [share, share - 2e-17])
+    for t in ("supplier", "lineitem"):
+        con.execute(f"copy {t} to '{tmp_path}/{t}.parquet'")
+    want = con.execute(registry.ORACLE_SQL["season_yield"])
+    names = [c[0] for c in want.description]
+    want = sorted(want.fetchall())
+    found = registry.QUERIES["season_yield"](spark, str(tmp_path)).select(*names).collect()
+    assert sorted(map(tuple, found)) == want
+    assert {k % 2 for k, *_, flags in want if "low_npp_spatial_coverage" in flags} == {1}
