@@ -20,6 +20,10 @@ BUCKET_BITS, PART_BITS = 22, 14
 SPAN, SPARE = 3, Fraction(3, 2)
 #: Sets of a key whose pairs are all made at once; beyond, each is compared with so many of the first.
 GROUP = 64
+#: Sets of a key up to which each is compared with all others by its parities where it is; those with so many pairs that they'd add up go on as rows.
+CROWD, CLOSE = 1 << 14, 8
+#: Parities that are compared at once.
+BLOCK = 1 << 20
 #: Candidates a set gets from those first ones.
 NEAREST = 2
 #: Words of 64 parity bits that candidates are compared by before their tokens are.
@@ -365,13 +369,35 @@ def _may_match(a: tuple, b: tuple, rule: Rule) -> np.ndarray:
     return fits & (np.maximum(a_info & 0xFFFF, b_info & 0xFFFF) <= room) & (np.bitwise_count((a_bits ^ b_bits).view(np.uint64)) <= room)
 
 
-def _candidates(batches: Iterator[pa.RecordBatch], rate: Fraction, group: int) -> Iterator[pa.RecordBatch]:
+def _crowd(rows: np.ndarray, rule: Rule, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of a key's sets: the pairs that may match of each set with `most` of them at most, and the rows of the other sets, which may also match each other."""
+    rows = rows[:, np.argsort(rows[3] >> 16, kind="stable")]
+    _, x, bits, info = rows
+    size = info >> 16
+    room = rule.room(size + size * rule.q // rule.p).astype(np.uint8 if size[-1] < 500 else np.int64)  # with the largest partner
+    since, until = np.searchsorted(size, -(-rule.p * size // rule.q)), np.searchsorted(size, size * rule.q // rule.p, side="right")
+    pairs, many, step = [np.zeros((2, 0), np.int64)], np.zeros(len(x), bool), max(1, BLOCK // len(x))
+    for i in range(0, len(x), step):
+        j = min(i + step, len(x))
+        first, last = int(since[i]), int(until[j - 1])
+        a, b = np.nonzero(np.bitwise_count((bits[i:j, None] ^ bits[None, first:last]).view(np.uint64)) <= room[i:j, None])
+        a, b = a + i, b + first
+        fits = (a != b) & _may_match((bits[a], info[a]), (bits[b], info[b]), rule)
+        a, b = a[fits], b[fits]
+        many[i:j] = np.bincount(a - i, minlength=j - i) > most
+        a, b = a[~many[a]], b[~many[a]]
+        pairs.append(np.stack((np.minimum(x[a], x[b]), np.maximum(x[a], x[b]))))
+    return np.concatenate(pairs, axis=1), rows[:, many]
+
+
+def _candidates(batches: Iterator[pa.RecordBatch], rate: Fraction, group: int, crowd: int = 0) -> Iterator[pa.RecordBatch]:
     """From rows sorted by key: pairs of sets that may match, and the rows of keys that more than `group` sets have.
 
-    Memory holds one batch and at most `group` sets of the key that goes on in the next one.  Batches of FOUND go through.
+    Of keys that no more than `crowd` sets have, only the rows of sets with many pairs (see _crowd).  Memory holds one
+    batch and at most so many sets of the key that goes on in the next one.  Batches of FOUND go through.
     """
     release()
-    rule = Rule(rate)
+    rule, most = Rule(rate), max(group, crowd)
     carry, hot = np.zeros((4, 0), np.int64), None
 
     def kinds(kind: int, n: int) -> np.ndarray:
@@ -383,13 +409,21 @@ def _candidates(batches: Iterator[pa.RecordBatch], rate: Fraction, group: int) -
         begins = np.flatnonzero(heads(key))
         count = np.diff(np.append(begins, len(key)))
         run = np.repeat(count, count)
-        if (run > group).any():
-            yield _large(rows[:, run > group])
+        if (run > most).any():
+            yield _large(rows[:, run > most])
+        pairs = []
+        for k in np.flatnonzero((count > group) & (count <= most)):
+            found, many = _crowd(rows[:, begins[k] : begins[k] + count[k]], rule, CLOSE)
+            pairs.append(found)
+            if many.shape[1]:
+                yield _large(many)
         left = np.repeat(begins + count, count) - np.arange(len(key))  # rows of the key from here on
         i, step = np.flatnonzero((run <= group) & (left > 1)), 1
-        pairs = []
+        size = info >> 16
+        room = rule.room(size + size * rule.q // rule.p)  # with the largest partner
         while len(i):
-            k = i[_may_match((bits[i], info[i]), (bits[i + step], info[i + step]), rule)]
+            k = i[np.bitwise_count((bits[i] ^ bits[i + step]).view(np.uint64)) <= room[i]]
+            k = k[_may_match((bits[k], info[k]), (bits[k + step], info[k + step]), rule)]
             pairs.append(np.stack((x[k], x[k + step])))
             step += 1
             i = i[left[i] > step]
@@ -424,9 +458,9 @@ def _candidates(batches: Iterator[pa.RecordBatch], rate: Fraction, group: int) -
         last = int(np.searchsorted(rows[0], rows[0, -1]))
         yield from done(shared_runs(rows[:, :last]))
         carry = rows[:, last:]
-        if carry.shape[1] > group:
+        if carry.shape[1] > most:
             carry = shared_runs(carry)
-            if carry.shape[1] > group:
+            if carry.shape[1] > most:
                 yield _large(carry)
                 carry, hot = carry[:, :0], rows[0, -1]
     yield from done(shared_runs(carry))
@@ -550,11 +584,12 @@ def _match_earlier(waiting: DataFrame, rows: DataFrame, sets: DataFrame, rate: F
     """Which of the lines that wait match an earlier one of a key they are in, of all that its rows have.
 
     A semi-join by key and by sizes that a match can have, so that no pairs are made; the filters come before the tokens.
+    Only rows of keys in which a line waits are given their tokens.
     """
     p, q = rate.as_integer_ratio()
     size, rank = (lambda t: F.shiftright(f"{t}.info", 16)), (lambda t: F.col(f"{t}.info").bitwiseAND(0xFFFF))
     step = F.floor(F.log(F.shiftright("info", 16).cast("double")) / F.log(F.lit(q / p)))
-    rows = rows.withColumn("step", step).join(sets, LINE)
+    rows = rows.join(rows.join(waiting, LINE, "left_semi").select("key").distinct(), "key", "left_semi").withColumn("step", step).join(sets, LINE)
     a, b = rows.alias("a"), rows.join(waiting, LINE, "left_semi").withColumn("step", F.explode(F.array(F.col("step") - 1, "step", F.col("step") + 1))).alias("b")
     room = F.floor((q - p) * (size("a") + size("b")) / F.lit(q + p))
     fits = (q * F.least(size("a"), size("b")) >= p * F.greatest(size("a"), size("b"))) & (F.greatest(rank("a"), rank("b")) <= room)
@@ -571,7 +606,7 @@ def _gone(named: DataFrame, rate: Fraction) -> DataFrame:
     shared = spark.sparkContext.broadcast((*_summed(lines.filter("part is not null").select("part", "bucket", "n")), _spots(spark)))
     lines = lines.filter("part is null").select("x", "y", *LINE)
     keys = named.mapInArrow(lambda it: _keys(it, shared, rate), SENT).repartition(len(shared.value[2]), "spot").sortWithinPartitions("part").select("part", "rows")
-    found, path = written(keys.mapInArrow(lambda it, group=GROUP, most=MOST: _candidates(_sorted(it, group, most), rate, group), FOUND), "candidates")
+    found, path = written(keys.mapInArrow(lambda it, group=GROUP, crowd=max(GROUP, CROWD), most=MOST: _candidates(_sorted(it, crowd, most), rate, group, crowd), FOUND), "candidates")
     candidates = path
     firsts, path = written(lines.groupBy("x", "y").agg(F.min(F.struct("doc_id", "place")).alias("f")).select("x", "y", F.col("f.doc_id").alias("doc_id"), F.col("f.place").alias("place")), "firsts")
     paths.append(path)
@@ -668,9 +703,10 @@ def remove_similar_lines(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
        tokens together.  A composite with a token that occurs once is no key.  Every line emits its set's id, which
        is aggregated to the first line of each set; lines of equal sets (by 128 bits) go but for the first.
     3. Sets that share a key pass the length and positional filters, and a bound on how many tokens differ (from 64
-       parity bits of each set), and become pairs.  Of a key with more than GROUP sets each line is compared with the
-       first GROUP ones, and the nearest become pairs; those that match none of these, and may match others, are
-       compared with all earlier lines of the key, in a join by key and size that skew handling can split.
+       parity bits of each set), and become pairs.  Of a key with more than GROUP sets, those with more than CLOSE such
+       pairs, and of one with more than CROWD all, are lines compared with the first GROUP ones, and the nearest become
+       pairs; those that match none of these, and may match others, are compared with all earlier lines of the key
+       among them, in a join by key and size that skew handling can split.
     4. Pairs are compared by more parity bits, and what is left is verified on all tokens, by 64-bit hashes.
 
     A null text stays null and has no lines.  A row without a doc_id is returned as it is.  Rows that repeat a

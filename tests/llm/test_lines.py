@@ -136,3 +136,39 @@ def test_rows_of_large_keys_are_not_held():
     assert max(f.num_rows for f in found) <= 600
     assert sorted(x for f in found for x in f.column("x").to_pylist()) == list(range(6000))
     assert {k for f in found for k in f.column("kind").to_pylist()} == {2}
+
+
+def test_sets_of_a_crowded_key_that_are_not_alike_become_no_rows():
+    """A key of 2,000 sets of which few are alike: all pairs that may match, and no row to be joined with its tokens; of sets all alike, rows."""
+    rng, rule = np.random.default_rng(8), lines.Rule(Fraction(4, 5))
+    bits = rng.integers(-(2**63), 2**63, 2000)
+    for i in range(0, 1980, 40):
+        bits[i + 1] = bits[i] ^ (1 << (i % 60))
+        bits[i + 2] = bits[i] ^ (3 << (i % 60))
+    rows = np.stack((np.full(2000, 77), rng.permutation(2000), bits, (rng.integers(9, 30, 2000) << 16) | rng.integers(0, 3, 2000)))
+    a, b = np.triu_indices(2000, 1)
+    ok = lines._may_match((bits[a], rows[3][a]), (bits[b], rows[3][b]), rule)
+    want = {(int(min(x, y)), int(max(x, y))) for x, y in zip(rows[1][a[ok]], rows[1][b[ok]])}
+    assert len(want) > 30
+
+    def found(rows):
+        batches = [pa.record_batch(list(rows[:, i : i + 300]), names=["key", "x", "y", "place"]) for i in range(0, 2000, 300)]
+        table = pa.Table.from_batches(lines._candidates(iter(batches), Fraction(4, 5), 64, 1 << 14))
+        pairs, large = (table.filter(pa.compute.equal(table["kind"], k)) for k in (1, 2))
+        return set(zip(pairs["x"].to_pylist(), pairs["y"].to_pylist())), large["x"].to_pylist()
+
+    assert found(rows) == (want, [])
+    rows[2, :500], rows[3, :500] = 5, 20 << 16
+    pairs, large = found(rows)
+    assert sorted(large) == sorted(rows[1, :500].tolist()) and not any(x in large and y in large for x, y in pairs)
+    assert {p for p in want if not set(p) & set(large)} <= pairs
+
+
+def test_crowded_keys(spark, monkeypatch):
+    """Keys of each kind: all pairs of few, pairs of some or rows of a crowd, and rows of all of more."""
+    monkeypatch.setattr(lines, "GROUP", 2)
+    monkeypatch.setattr(lines, "CLOSE", 2)
+    rows = made(5)
+    for crowd in (6, 1 << 14):
+        monkeypatch.setattr(lines, "CROWD", crowd)
+        assert {r["doc_id"]: r["kept_text"] for r in run(spark, rows)} == brute(rows)
