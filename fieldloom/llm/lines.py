@@ -46,11 +46,10 @@ class LineSets:
 
     def __init__(self, column: pa.Array):
         w = Words(column, lower=True)
-        line = np.cumsum(w.data == 10)
-        at = line[w.starts] if len(w.starts) else np.zeros(0, np.int64)
+        ends = np.flatnonzero(w.data == 10)
         row = w.rows()
-        before = np.concatenate(([0], line))[w.offsets[:-1]]
-        at = at - before[row]
+        at = np.repeat(np.arange(len(ends) + 1), np.diff(np.searchsorted(w.starts, ends), prepend=0, append=len(w.starts)))
+        at = at - np.searchsorted(ends, w.offsets[:-1])[row]
         new = heads(row) | heads(at)
         group = np.cumsum(new) - 1
         self.row, self.line = row[new], at[new]
@@ -252,7 +251,7 @@ SENT = "spot long, part int, rows binary"
 def _packed(rows: np.ndarray, spots: np.ndarray) -> pa.RecordBatch:
     """Rows (KEYS) by part of the keys' range: spot (which deals it), part, and the rows' bytes, the first of all rows first (so that zeros go together)."""
     part = ((rows[0].view(np.uint64) >> np.uint64(32)) * np.uint64(len(spots) * PARTS)) >> np.uint64(32)
-    order = np.argsort(part, kind="stable")
+    order = np.argsort(part.astype(np.uint16) if len(spots) * PARTS <= 1 << 16 else part, kind="stable")  # numbers of 16 bits are sorted by radix
     part = part[order].astype(np.int64)
     begins = np.flatnonzero(heads(part))
     planes = np.concatenate([np.ascontiguousarray(x[order]).view(np.uint8).reshape(-1, 8)[:, :n].T for x, n in zip(rows, PACKED)])
@@ -280,10 +279,10 @@ def _keys(batches: Iterator[pa.RecordBatch], shared, rate: Fraction) -> Iterator
             s = LineSets(part.column("text"))
             first, _ = s.ids()
             new, at = np.unique(first, return_index=True)
-            fresh = ~np.isin(new, seen)
+            fresh = np.searchsorted(seen, new) == np.searchsorted(seen, new, side="right")  # seen is sorted
             live = np.zeros(len(first), bool)
             live[at[fresh]] = True
-            seen = np.concatenate((seen, new[fresh])) if len(seen) < SEEN else new
+            seen = np.sort(np.concatenate((seen, new[fresh])), kind="stable") if len(seen) < SEEN else new
             bits = s.parities()
             for sets, key, rank in rule.keys(s, live, order, shift):
                 held.append(np.stack((signed(key), signed(first[sets]), signed(bits[sets]), (s.size[sets] << 16) | np.minimum(rank, 0xFFFF))))
